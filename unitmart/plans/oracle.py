@@ -210,3 +210,41 @@ full join (select bu_id, company_count, rank() over (order by company_count desc
 
 
 ORACLE_SQL = _sql()
+
+
+def _sql_wave2() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["shared_vendor_scope"] = f"select {COLUMNS['vendors']} from ({silver('vendors')}) s"
+    q["shared_cost_center_scope"] = f"select {COLUMNS['cost_centers']} from ({silver('cost_centers')}) s"
+    q["scd1_invoices"] = (f"select invoice_id, bu_id, vendor_key, cc_key, cast(amount as double) as amount, "
+                          f"updated_at, is_deleted from ({silver('gl_invoices')}) s")
+    q["dq_key_unique"] = f"""
+select invoice_id, count(*) as n_versions from ({FEEDS['gl_invoices']}) f
+group by invoice_id having count(*) > 1"""
+    q["dq_fail_gate"] = f"select {COLUMNS['cost_centers']} from ({scoped('cost_centers')}) s"
+    deal_cols = COLUMNS["deals"].replace("amount", "cast(amount as double) as amount")
+    q["bu_slice"] = f"select {deal_cols} from ({silver('deals')}) s where bu_id = 'bu_06'"
+    q["point_lookup"] = f"select {deal_cols} from ({FEEDS['deals']}) f where deal_id = 42"
+    q["page_read"] = (f"select {deal_cols} from ({FEEDS['deals']}) f "
+                      f"order by deal_id limit 100 offset 200")
+    q["incremental_extract"] = (f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f "
+                                f"where updated_at > timestamp '2024-01-15 00:00:00'")
+    q["entitled_sales"] = with_silver("deals") + f"""
+select m.bu_id, m.business_group, m.deal_count, m.avg_deal_value_usd,
+       cast(m.pipeline_value_usd as double) as pipeline_value_usd,
+       cast(m.won_revenue_usd as double) as won_revenue_usd, p.persona
+from ({SALES_MART}) m
+join (values ('corporate_executive', null, null), ('bu_03_executive', 'bu_03', null),
+             ('partner_group_executive', null, 'bg_partner'),
+             ('bu_02_online_executive', 'bu_02', 'bg_online')) p(persona, bu_id, business_group)
+  on (p.bu_id is null or p.bu_id = m.bu_id)
+ and (p.business_group is null or p.business_group = m.business_group)"""
+    q["divest_enterprise"] = with_silver("deals") + f"""
+select bu_id, cast(sum(deal_count) as bigint) as deal_count,
+       cast(sum(pipeline_value_usd) as double) as pipeline_value_usd,
+       cast(sum(won_revenue_usd) as double) as won_revenue_usd
+from ({SALES_MART}) m where bu_id <> 'bu_06' group by bu_id"""
+    return q
+
+
+ORACLE_SQL.update(_sql_wave2())

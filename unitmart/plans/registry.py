@@ -79,3 +79,94 @@ def q_bu_ranking(spark, sf_dir):
 
 
 __all__ = ["REGISTRY", "OBJECTS"]
+
+
+# --- tenant scope and CDC -------------------------------------------------
+from ..model import SHARED_BU  # noqa: E402
+from ..operators import governance, quality, reads  # noqa: E402
+from ..operators.enterprise import bu_sales_performance  # noqa: E402
+from ..operators.marts import sales_mart  # noqa: E402
+from ..operators.scope import expand_shared  # noqa: E402
+from ..sources.extract import incremental  # noqa: E402
+from .silver import silver, to_silver, unit_filter  # noqa: E402
+
+# Fixed parameters of the registered queries.
+DIVESTED_UNITS = ("bu_06",)
+LOOKUP_DEAL_ID = 42
+PAGE_OFFSET, PAGE_LIMIT = 200, 100
+EXTRACT_WATERMARK = "2024-01-15T00:00:00Z"
+ENTITLEMENTS = (
+    ("corporate_executive", None, None),
+    ("bu_03_executive", "bu_03", None),
+    ("partner_group_executive", None, "bg_partner"),
+    ("bu_02_online_executive", "bu_02", "bg_online"),
+)
+VALID_BU_RULE = f"bu_id IS NOT NULL AND bu_id <> '{SHARED_BU}'"
+
+
+@register("shared_vendor_scope")
+def q_shared_vendor_scope(spark, sf_dir):
+    """Vendors per entitled unit (shared rows re-homed), current state."""
+    return silver(spark, sf_dir, "vendors")
+
+
+@register("shared_cost_center_scope")
+def q_shared_cost_center_scope(spark, sf_dir):
+    return silver(spark, sf_dir, "cost_centers")
+
+
+@register("scd1_invoices")
+def q_scd1_invoices(spark, sf_dir):
+    """Invoice change feed (repeated keys, ties) to current state."""
+    return silver(spark, sf_dir, "gl_invoices")
+
+
+@register("dq_key_unique")
+def q_dq_key_unique(spark, sf_dir):
+    """Invoice keys that arrive more than once, with their version counts."""
+    return quality.duplicate_keys(binding.gl_invoice_changes(spark, sf_dir), ["invoice_id"])
+
+
+@register("dq_fail_gate")
+def q_dq_fail_gate(spark, sf_dir):
+    """Scoped cost-centre rows behind the fail-the-batch tenant gate."""
+    scoped = expand_shared(binding.cost_centers(spark, sf_dir))
+    return quality.expect_or_fail(scoped, "valid_bu", VALID_BU_RULE)
+
+
+@register("bu_slice")
+def q_bu_slice(spark, sf_dir):
+    """Isolated current deals of the divested unit (gate checked)."""
+    feed = unit_filter(binding.deals(spark, sf_dir), DIVESTED_UNITS)
+    return quality.expect_or_fail(to_silver(feed, "deals", DIVESTED_UNITS), "valid_bu", VALID_BU_RULE)
+
+
+@register("point_lookup")
+def q_point_lookup(spark, sf_dir):
+    return reads.point_lookup(binding.deals(spark, sf_dir), "deal_id", LOOKUP_DEAL_ID)
+
+
+@register("page_read")
+def q_page_read(spark, sf_dir):
+    return reads.page(binding.deals(spark, sf_dir), ["deal_id"], PAGE_OFFSET, PAGE_LIMIT)
+
+
+@register("incremental_extract")
+def q_incremental_extract(spark, sf_dir):
+    """Contacts changed after the stored watermark."""
+    return incremental(binding.contacts(spark, sf_dir), EXTRACT_WATERMARK)
+
+
+@register("entitled_sales")
+def q_entitled_sales(spark, sf_dir):
+    """Sales mart rows each persona may see."""
+    policy = governance.entitlements_frame(spark, ENTITLEMENTS)
+    return governance.entitled_rows(gold.sales_mart(spark, sf_dir), policy,
+                                    policy_rows=len(ENTITLEMENTS))
+
+
+@register("divest_enterprise")
+def q_divest_enterprise(spark, sf_dir):
+    """Enterprise sales roll-up of the units that remain after the divestiture."""
+    _, remainder = governance.divest(gold.sales_mart(spark, sf_dir), DIVESTED_UNITS)
+    return bu_sales_performance(remainder)
