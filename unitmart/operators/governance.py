@@ -77,3 +77,41 @@ def partition_check(whole: DataFrame, parts: Sequence[DataFrame], measures: Sequ
     for m in measures:
         ok = ok & F.col(f"whole_{m}").eqNullSafe(F.col(f"parts_{m}"))
     return j.select(F.col("whole_rows").alias("rows"), ok.alias("consistent"))
+
+
+def handover_package(spark: SparkSession, path: str,
+                     tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """Write each table of a divested unit to ``{path}/{name}`` and return the
+    manifest: rows, amount total and whether the package re-reads to the
+    same content digest that was observed while writing it.
+
+    The digest of what was written is taken with ``observe`` during the write
+    (no second pass over the source); the check re-reads the files. The
+    manifest, with content ids, is stored at ``{path}/manifest``.
+    """
+    from pyspark.sql import Observation
+
+    from ..functions.hashing import batch_id, digest_aggs
+
+    parts = []
+    for name, (df, amount) in tables.items():
+        obs = Observation(f"package_{name}")
+        df.observe(obs, *digest_aggs(df)).write.mode("overwrite").parquet(f"{path}/{name}")
+        seen = obs.get
+        back = spark.read.parquet(f"{path}/{name}")
+        total = F.sum(amount) if amount else F.lit(None)
+        parts.append(back.agg(*digest_aggs(back), total.cast("double").alias("amount_total")).select(
+            F.lit(name).alias("table_name"),
+            F.col("_rows").alias("row_count"),
+            "amount_total",
+            ((F.col("_rows") == F.lit(seen["_rows"]))
+             & F.coalesce(F.col("_hash_sum") == F.lit(seen["_hash_sum"]),
+                          F.col("_hash_sum").isNull() & F.lit(seen["_hash_sum"] is None))
+             ).alias("id_verified"),
+            batch_id(name, None).alias("content_id"),
+        ))
+    manifest = parts[0]
+    for p in parts[1:]:
+        manifest = manifest.unionByName(p)
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+    return spark.read.parquet(f"{path}/manifest").drop("content_id")

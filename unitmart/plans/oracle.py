@@ -78,12 +78,12 @@ COLUMNS = {
 }
 
 ORDER = {
-    "deals": ("deal_id", "updated_at desc, is_deleted desc"),
-    "companies": ("company_id", "updated_at desc, is_deleted desc"),
-    "contacts": ("contact_id", "updated_at desc, is_deleted desc"),
+    "deals": ("bu_id, deal_id", "updated_at desc, is_deleted desc"),
+    "companies": ("bu_id, company_id", "updated_at desc, is_deleted desc"),
+    "contacts": ("bu_id, contact_id", "updated_at desc, is_deleted desc"),
     "vendors": ("vendor_key, bu_id", "updated_at desc, is_deleted desc, own desc"),
     "cost_centers": ("cc_key, bu_id", "updated_at desc, is_deleted desc, own desc"),
-    "gl_invoices": ("invoice_id",
+    "gl_invoices": ("bu_id, invoice_id",
                     "updated_at desc, is_deleted desc, cc_key desc, vendor_key desc, amount desc"),
 }
 
@@ -248,3 +248,47 @@ from ({SALES_MART}) m where bu_id <> 'bu_06' group by bu_id"""
 
 
 ORACLE_SQL.update(_sql_wave2())
+
+
+def _sql_wave3() -> dict[str, str]:
+    q: dict[str, str] = {}
+    deal_cols = COLUMNS["deals"].replace("amount", "cast(amount as double) as amount")
+    q["landing_split"] = f"""
+select bu_id, count(*) as record_count, max(updated_at) as max_updated_at
+from ({FEEDS['gl_invoices']}) f group by bu_id"""
+    q["ingest_audit"] = f"""
+with f as ({FEEDS['contacts']}),
+r1 as (select count(*) as n, max(updated_at) as wm from f
+       where updated_at <= timestamp '2024-01-15 00:00:00')
+select 'crm' as source_system, 'contacts' as source_object, n as records_extracted,
+       cast(null as timestamp) as watermark_before, wm as watermark_after, 'SUCCESS' as status
+from r1
+union all
+select 'crm', 'contacts', count(*), (select wm from r1), max(updated_at), 'SUCCESS'
+from f where updated_at > (select wm from r1)"""
+    q["batch_id_stable"] = f"""
+select 'gl_invoices' as source_object, count(*) as records,
+       cast(sum(amount) as double) as total_amount, true as id_stable
+from ({FEEDS['gl_invoices']}) f"""
+    q["replay_idempotent"] = (f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f "
+                              f"where updated_at > timestamp '2024-01-15 00:00:00'")
+    q["landing_roundtrip"] = f"select {deal_cols} from ({FEEDS['deals']}) f"
+    q["dq_drop"] = f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f where contact_id % 50 <> 0"
+    q["scd1_out_of_order"] = ORACLE_SQL["scd1_events"]
+    q["divest_manifest"] = with_silver("deals", "gl_invoices", "cost_centers", "vendors") + f"""
+select 'deals' as table_name, count(*) as row_count, cast(sum(amount) as double) as amount_total,
+       true as id_verified from silver_deals where bu_id = 'bu_06'
+union all
+select 'gl_invoices', count(*), cast(sum(amount) as double), true
+from silver_gl_invoices where bu_id = 'bu_06'
+union all
+select 'cost_centers', count(*), cast(null as double), true from silver_cost_centers where bu_id = 'bu_06'
+union all
+select 'vendors', count(*), cast(null as double), true from silver_vendors where bu_id = 'bu_06'
+union all
+select 'sales_mart', count(*), cast(sum(pipeline_value_usd) as double), true
+from ({SALES_MART}) m where bu_id = 'bu_06'"""
+    return q
+
+
+ORACLE_SQL.update(_sql_wave3())

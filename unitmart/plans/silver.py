@@ -1,10 +1,11 @@
 """Batch silver: change feed -> tenant scope -> SCD1 current state.
 
-Each tenant only ever processes its own landing directory, so rows of
-unconfigured units are dropped before CDC; shared dimension rows are copied
-to every entitled unit first, then keyed by (key, bu_id). When a unit owns a
-key that is also shared with it, the later version wins and the own row wins
-a tie.
+Each tenant only ever processes its own landing directory and keeps its own
+silver table, so the effective CDC key is (bu_id, key): a key whose versions
+arrive under two units is current in both. Rows of unconfigured units are
+dropped before CDC; shared dimension rows are copied to every entitled unit
+first. When a unit owns a key that is also shared with it, the later version
+wins and the own row wins a tie.
 """
 
 from __future__ import annotations
@@ -33,11 +34,16 @@ def to_silver(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
     spec = OBJECTS[obj]
     scoped = scoped_feed(feed, obj, units)
     ties = (("_own",) if spec.shared else ()) + spec.tie_breakers
-    state = latest_per_key(scoped, spec.keys, spec.sequence, spec.delete_flag, ties,
+    state = latest_per_key(scoped, tenant_keys(obj), spec.sequence, spec.delete_flag, ties,
                            keep_tombstones=keep_tombstones, method=method)
     return state.drop("_own") if spec.shared else state
 
 
+def tenant_keys(obj: str) -> tuple[str, ...]:
+    keys = OBJECTS[obj].keys
+    return keys if "bu_id" in keys else ("bu_id", *keys)
+
+
 def silver(spark: SparkSession, sf_dir: str, obj: str,
            units: Sequence[str] = BUSINESS_UNITS, **kw) -> DataFrame:
     return to_silver(ENTITIES[obj](spark, sf_dir), obj, units, **kw)
