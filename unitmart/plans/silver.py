@@ -30,7 +30,7 @@ def scoped_feed(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS
 
 
 def to_silver(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
-              keep_tombstones: bool = False, method: str = "aggregate") -> DataFrame:
+              keep_tombstones: bool = False, method: str = "window") -> DataFrame:
     spec = OBJECTS[obj]
     scoped = scoped_feed(feed, obj, units)
     ties = (("_own",) if spec.shared else ()) + spec.tie_breakers
@@ -41,7 +41,7 @@ def to_silver(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
 
 def tenant_keys(obj: str) -> tuple[str, ...]:
     keys = OBJECTS[obj].keys
-    return keys if "bu_id" in keys else ("bu_id", *keys)
+    return keys if "bu_id" in keys else (*keys, "bu_id")
 
 
 def silver(spark: SparkSession, sf_dir: str, obj: str,
