@@ -101,4 +101,5 @@ def parse_landing(raw: DataFrame, schema: T.StructType) -> DataFrame:
 def quarantine(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Landed texts that parse to nothing (malformed or empty), with their file."""
     parsed = F.from_json("value", T.ArrayType(schema))
-    return raw.filter(parsed.isNull() | (F.size(parsed) == 0)).select("_file", "value")
+    keep = [c for c in ("_file",) if c in raw.columns]
+    return raw.filter(parsed.isNull() | (F.size(parsed) == 0)).select(*keep, "value")
