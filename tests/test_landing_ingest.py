@@ -125,3 +125,24 @@ def test_landing_schema_types():
                                      T.StructField("a", T.DecimalType(18, 2))]))
     assert s["u"].dataType == T.StringType() and s["a"].dataType == T.DecimalType(18, 2)
     assert "_batch_id" in s.fieldNames()
+
+
+def test_path_payload_mismatch_is_counted(spark):
+    from pyspark.sql import Observation
+    texts = ['[{"deal_id": "1", "bu_id": "bu_02", "updated_at": "2024-01-01T00:00:00Z"},'
+             ' {"deal_id": "2", "bu_id": "bu_01", "updated_at": "2024-01-01T00:00:00Z"}]']
+    obs = Observation("staging")
+    out = stage(raw(spark, texts).withColumn("tenant", F.lit("bu_01")), LANDING_SCHEMAS["deals"],
+                observation=obs)
+    assert out.count() == 2 and obs.get["path_payload_mismatch"] == 1
+
+
+def test_refresh_republishes_one_unit_only(spark, scratch):
+    from unitmart.plans.refresh import refresh
+    from conftest import SMOKE_DIR
+    paths = refresh(spark, SMOKE_DIR, scratch, mart_names=("sales_mart",))
+    full = rows(spark.read.parquet(paths["sales_mart"]))
+    refresh(spark, SMOKE_DIR, scratch, units=("bu_02",), mart_names=("sales_mart",))
+    assert rows(spark.read.parquet(paths["sales_mart"])) == full
+    perf = spark.read.parquet(paths["bu_sales_performance"])
+    assert perf.count() == 6

@@ -75,3 +75,12 @@ def test_expect_or_fail_on_null(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",), ("c",)], "k string")
     assert rows(duplicate_keys(df, ["k"])) == [("a", 2), ("c", 3)]
+
+
+def test_revoke_turns_lost_entitlement_into_delete(spark):
+    d = dim(spark, [("CC-S", "SHARED", "bu_02|bu_03", "g", 0, "2024-01-01 00:00:00"),
+                    ("CC-S", "SHARED", "bu_02", "g", 0, "2024-02-01 00:00:00")])
+    kept = rows(to_silver(d, "cost_centers"), "bu_id", "updated_at")
+    assert [u for u, _ in kept] == ["bu_02", "bu_03"]  # default: bu_03 keeps a stale copy
+    revoked = rows(to_silver(d, "cost_centers", revoke=True), "bu_id")
+    assert revoked == [("bu_02",)]

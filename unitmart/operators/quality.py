@@ -10,18 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def expect_or_drop(df: DataFrame, name: str, rule: str,
-                   observation: Observation | str | None = None) -> DataFrame:
+                   observation: Observation | str | None = None,
+                   extra_metrics: Sequence[Column] = ()) -> DataFrame:
     """``observation`` is an ``Observation`` (batch) or a metric name
     (streaming: reported in the query progress)."""
     ok = F.coalesce(F.expr(rule), F.lit(False))
     if observation is not None:
         df = df.observe(observation, F.sum(F.when(ok, 0).otherwise(1)).alias(f"dropped_{name}"),
-                        F.count(F.lit(1)).alias(f"seen_{name}"))
+                        F.count(F.lit(1)).alias(f"seen_{name}"), *extra_metrics)
     return df.filter(ok)
 
 

@@ -157,3 +157,14 @@ def q_divest_manifest(spark, sf_dir):
 
 
 __all__ = ["tenant_keys"]
+
+
+@register("mart_refresh")
+def q_mart_refresh(spark, sf_dir):
+    """Sales mart materialised by unit, then one unit re-published on its own
+    (dynamic partition overwrite); the table read back is the whole mart."""
+    from .refresh import refresh
+    base = scratch_path(spark, "mart_refresh")
+    paths = refresh(spark, sf_dir, base, mart_names=("sales_mart",), rollups=False)
+    refresh(spark, sf_dir, base, units=("bu_02",), mart_names=("sales_mart",), rollups=False)
+    return spark.read.parquet(paths["sales_mart"])

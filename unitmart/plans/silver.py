@@ -22,17 +22,20 @@ from ..operators.scope import expand_shared
 from ..sources.binding import ENTITIES
 
 
-def scoped_feed(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS) -> DataFrame:
+def scoped_feed(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
+                revoke: bool = False) -> DataFrame:
     spec = OBJECTS[obj]
     if spec.shared:
-        return expand_shared(feed.withColumn("_own", F.col("bu_id") != SHARED_BU), units)
+        return expand_shared(feed.withColumn("_own", F.col("bu_id") != SHARED_BU), units,
+                             revoke=revoke, delete_flag=spec.delete_flag)
     return feed.filter(known_unit(F.col("bu_id"), units))
 
 
 def to_silver(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
-              keep_tombstones: bool = False, method: str = "window") -> DataFrame:
+              keep_tombstones: bool = False, method: str = "window",
+              revoke: bool = False) -> DataFrame:
     spec = OBJECTS[obj]
-    scoped = scoped_feed(feed, obj, units)
+    scoped = scoped_feed(feed, obj, units, revoke)
     ties = (("_own",) if spec.shared else ()) + spec.tie_breakers
     state = latest_per_key(scoped, tenant_keys(obj), spec.sequence, spec.delete_flag, ties,
                            keep_tombstones=keep_tombstones, method=method)

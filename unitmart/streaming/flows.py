@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.landing import read_landing
+from ..sources.landing import TENANT, read_landing
 from .state import KeyedStateTable
 
 
@@ -26,7 +26,9 @@ def run_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoin
                fmt: str = "lines") -> None:
     """Append new landed files to the bronze table (one row per line or file)."""
     raw = read_landing(spark, landing_dir, fmt=fmt, stream=True)
-    _await(raw.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    parts = [c for c in (TENANT,) if c in raw.columns]
+    _await(raw.writeStream.format("parquet").partitionBy(*parts)
+           .option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start(bronze_dir))
 
 

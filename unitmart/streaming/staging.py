@@ -33,11 +33,17 @@ def stage(raw: DataFrame, schema: T.StructType, instants: Sequence[str] = ("upda
         if c in rows.columns:
             rows = rows.withColumn(c, parse_instant(c))
     has_bu = "bu_id" in rows.columns
+    metrics = []
     if has_bu and shared:
         rows = expand_shared(rows, units)
     elif has_bu and TENANT in rows.columns:
-        rows = rows.withColumn("bu_id", F.col(TENANT))  # the path decides the tenant
+        # The path decides the tenant; a payload that disagrees is counted.
+        rows = rows.withColumn("_path_mismatch", ~F.col("bu_id").eqNullSafe(F.col(TENANT)))
+        rows = rows.withColumn("bu_id", F.col(TENANT))
+        metrics = [F.sum(F.col("_path_mismatch").cast("int")).alias("path_payload_mismatch")]
     if has_bu:
         rows = expect_or_fail(rows, "valid_bu", VALID_BU)
-    rows = expect_or_drop(rows, f"valid_{sequence}", f"{sequence} IS NOT NULL", observation)
-    return rows.drop(*[c for c in (TENANT, "batch", "_file") if c in rows.columns])
+    rows = expect_or_drop(rows, f"valid_{sequence}", f"{sequence} IS NOT NULL", observation,
+                          metrics)
+    return rows.drop(*[c for c in (TENANT, "batch", "_file", "_path_mismatch")
+                       if c in rows.columns])
