@@ -146,3 +146,18 @@ def test_refresh_republishes_one_unit_only(spark, scratch):
     assert rows(spark.read.parquet(paths["sales_mart"])) == full
     perf = spark.read.parquet(paths["bu_sales_performance"])
     assert perf.count() == 6
+
+
+def test_array_chunks_spread_identical_copies(spark, scratch):
+    df = spark.range(1000).select(F.lit(7).alias("k"), F.lit("bu_01").alias("bu_id"))  # all copies
+    write_landing(df, f"{scratch}/batch=0", fmt="array", total_rows=1000, records_per_file=100)
+    r = read_landing(spark, scratch, fmt="array")
+    sizes = [x[0] for x in r.select(F.size(F.from_json("value", "array<struct<k:long>>"))).collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 150
+
+
+def test_keyset_page_matches_offset_page(spark):
+    df = spark.range(1000).withColumnRenamed("id", "deal_id")
+    a = [r[0] for r in reads.page(df, ["deal_id"], 300, 50).collect()]
+    b = [r[0] for r in reads.page_after(df, "deal_id", 299, 50).collect()]
+    assert a == b == list(range(300, 350))

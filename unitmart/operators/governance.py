@@ -61,22 +61,22 @@ def divest(df: DataFrame, units: Sequence[str], bu_col: str = "bu_id") -> tuple[
 
 
 def partition_check(whole: DataFrame, parts: Sequence[DataFrame], measures: Sequence[str]) -> DataFrame:
-    """One row: do the parts add up to the whole (counts and measure sums)?"""
-    def totals(df: DataFrame, tag: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(f"{tag}_rows"),
-                      *[F.sum(m).alias(f"{tag}_{m}") for m in measures]).withColumn("_k", F.lit(1))
-
-    w = totals(whole, "whole")
-    p = totals(parts[0], "p0")
-    for i, part in enumerate(parts[1:], start=1):
-        p = p.unionByName(totals(part, "p0"))
-    p = p.groupBy("_k").agg(F.sum("p0_rows").alias("parts_rows"),
-                            *[F.sum(f"p0_{m}").alias(f"parts_{m}") for m in measures])
-    j = w.join(p, "_k")
+    """One row: do the parts add up to the whole (row counts and measure
+    sums)? One aggregate over a tagged union, no join."""
+    tagged = whole.select(*measures, F.lit(True).alias("_whole"))
+    for part in parts:
+        tagged = tagged.unionByName(part.select(*measures, F.lit(False).alias("_whole")))
+    is_whole = F.col("_whole")
+    aggs = [F.sum(is_whole.cast("long")).alias("whole_rows"),
+            F.sum((~is_whole).cast("long")).alias("parts_rows")]
+    for m in measures:
+        aggs += [F.sum(F.when(is_whole, F.col(m))).alias(f"whole_{m}"),
+                 F.sum(F.when(~is_whole, F.col(m))).alias(f"parts_{m}")]
+    totals = tagged.agg(*aggs)
     ok = F.col("whole_rows") == F.col("parts_rows")
     for m in measures:
         ok = ok & F.col(f"whole_{m}").eqNullSafe(F.col(f"parts_{m}"))
-    return j.select(F.col("whole_rows").alias("rows"), ok.alias("consistent"))
+    return totals.select(F.col("whole_rows").alias("rows"), ok.alias("consistent"))
 
 
 def handover_package(spark: SparkSession, path: str,

@@ -32,6 +32,15 @@ def page(df: DataFrame, order_by: Sequence[str], offset: int = 0,
     return df.orderBy(*order_by).offset(offset).limit(limit)
 
 
+def page_after(df: DataFrame, key: str, after=None, limit: int = PAGE_DEFAULT_LIMIT) -> DataFrame:
+    """Keyset page: rows with ``key > after`` in key order. The filter is
+    pushed into the scan, so a deep page costs the same as the first one."""
+    validate_page(limit, 0)
+    if after is not None:
+        df = df.filter(F.col(key) > F.lit(after))
+    return df.orderBy(key).limit(limit)
+
+
 def next_offset(df: DataFrame, offset: int, limit: int) -> int | None:
     """Offset of the following page, or None after the last one."""
     validate_page(limit, offset)

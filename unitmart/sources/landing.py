@@ -7,10 +7,11 @@ its own ``bu_id``. Two file forms:
 * ``lines`` (default): JSON lines, splittable, files capped by
   ``maxRecordsPerFile``; what large extracts should use.
 * ``array``: one JSON array per file, the contract form of the original
-  feeds. Rows are grouped into arrays by a row-content hash into enough
-  chunks that each array holds about ``records_per_file`` rows, so no group
-  is unbounded; each array is written as its own file and read back with
-  ``wholetext`` (one file = one row).
+  feeds. Rows are dealt round-robin (by row position, not content, so even
+  a mass of identical copies spreads) into enough chunks that each array
+  holds about ``records_per_file`` rows; no group is unbounded. Each array
+  is written as its own file and read back with ``wholetext`` (one file =
+  one row).
 
 Instants are written with microseconds (the JSON default keeps
 milliseconds, which would reorder CDC versions).
@@ -74,7 +75,7 @@ def write_landing(df: DataFrame, path: str, fmt: str = "lines", total_rows: int
         if total_rows is None:
             total_rows = df.count()
         chunks = max(1, math.ceil(total_rows / records_per_file))
-        chunk = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(chunks))
+        chunk = F.pmod(F.monotonically_increasing_id(), F.lit(chunks))
         arrays = df.groupBy(*partition, chunk.alias("_chunk")).agg(
             F.to_json(F.collect_list(F.struct(*cols)), JSON_OPTIONS).alias("value"))
         (arrays.select(*partition, "value").write.mode("overwrite").partitionBy(*partition)

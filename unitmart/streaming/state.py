@@ -11,7 +11,11 @@ is reduced to one version per key, then only the buckets it touches are read,
 merged (same SCD1 rule, tombstones kept) and written as a new version; the
 manifest is written last, so readers never see a half-applied batch. Version
 = the streaming batch id, so a retried batch rewrites identical files.
-Driver-side traffic is bounded by B (bucket ids and manifest rows).
+Choose B so a bucket holds a few hundred MB of state: every version writes
+one file set per touched bucket. Driver-side traffic is bounded by B (bucket
+ids and manifest rows). One
+writer per table (the streaming query); the writer keeps the published
+manifest in memory, readers load it from storage.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ class KeyedStateTable:
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
         self.rule = dict(sequence=sequence, delete_flag=delete_flag, tie_breakers=tuple(tie_breakers))
         self.buckets = buckets
+        self._published: tuple[int, dict[int, int]] | None = None  # single-writer cache
 
     # -- layout ---------------------------------------------------------------
     def _bucket_of(self) -> F.Column:
@@ -43,44 +48,56 @@ class KeyedStateTable:
         return f"{self.root}/data/v={version}/{BUCKET}={bucket}"
 
     def _manifest(self) -> tuple[int, dict[int, int]]:
+        if self._published is not None:
+            return self._published[0], dict(self._published[1])
         try:
             m = self.spark.read.parquet(f"{self.root}/manifest")
         except AnalysisException:
             return -1, {}
         latest = m.agg(F.max("v")).first()[0]
         rows = m.filter(F.col("v") == latest).select(BUCKET, "version").collect()
-        return int(latest), {int(r[0]): int(r[1]) for r in rows}
+        self._published = (int(latest), {int(r[0]): int(r[1]) for r in rows})
+        return self._published[0], dict(self._published[1])
 
     def manifest(self) -> dict[int, int]:
         return self._manifest()[1]
 
-    def _read(self, manifest: dict[int, int], buckets: Sequence[int] | None = None) -> DataFrame | None:
+    def _read(self, manifest: dict[int, int], buckets: Sequence[int] | None = None,
+              schema=None) -> DataFrame | None:
         wanted = manifest if buckets is None else {b: manifest[b] for b in buckets if b in manifest}
         if not wanted:
             return None
-        return self.spark.read.parquet(*[self._data_path(v, b) for b, v in sorted(wanted.items())])
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*[self._data_path(v, b) for b, v in sorted(wanted.items())])
 
     # -- write path -----------------------------------------------------------
     def merge(self, changes: DataFrame, version: int) -> None:
         applied, manifest = self._manifest()
         if applied >= version:
             return  # retried batch whose manifest was already published
-        reduced = latest_per_key(changes, self.keys, keep_tombstones=True, **self.rule)
-        touched = [int(r[0]) for r in
-                   reduced.select(self._bucket_of().alias("b")).distinct().collect()]
-        if not touched:
-            return
-        current = self._read(manifest, touched)
-        if current is None:
-            merged = reduced
-        else:
-            merged = apply_changes(current, reduced.drop(DELETED), self.keys, **self.rule)
-        (merged.withColumn(BUCKET, self._bucket_of())
-         .repartition(BUCKET)
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}"))
+        # The reduced batch is used three times (bucket ids, merge, write):
+        # cache it rather than re-reading and re-parsing the micro-batch.
+        reduced = latest_per_key(changes, self.keys, keep_tombstones=True, **self.rule) \
+            .withColumn(BUCKET, self._bucket_of()).persist()
+        try:
+            touched = [int(r[0]) for r in reduced.select(BUCKET).distinct().collect()]
+            if not touched:
+                return
+            fresh = reduced.drop(BUCKET)
+            current = self._read(manifest, touched, schema=fresh.schema)
+            if current is None:
+                merged = fresh
+            else:
+                merged = apply_changes(current, fresh.drop(DELETED), self.keys, **self.rule)
+            (merged.withColumn(BUCKET, self._bucket_of())
+             .repartition(BUCKET)
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}"))
+        finally:
+            reduced.unpersist()
         manifest.update({b: version for b in touched})
         (self.spark.createDataFrame(sorted(manifest.items()), f"{BUCKET} int, version long")
          .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/v={version}"))
+        self._published = (version, dict(manifest))
 
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         self.merge(batch_df, batch_id)
