@@ -175,3 +175,18 @@ def q_mart_refresh(spark, sf_dir):
     paths = refresh(spark, sf_dir, base, mart_names=("sales_mart",), rollups=False)
     refresh(spark, sf_dir, base, units=("bu_02",), mart_names=("sales_mart",), rollups=False)
     return spark.read.parquet(paths["sales_mart"])
+
+
+@register("streamed_customer_mart")
+def q_streamed_customer_mart(spark, sf_dir):
+    """Companies, contacts and deals ingested, streamed through bronze and the
+    tenant-keyed silver state, then the customer mart from the state views
+    (must equal the batch mart)."""
+    from .stream_refresh import silver_view, stream_object
+    root = scratch_path(spark, "streamed_customer_mart")
+    views = {}
+    for obj in ("companies", "contacts", "deals"):
+        feed = binding.ENTITIES[obj](spark, sf_dir)
+        ingest(spark, feed, "crm", obj, f"{root}/landing", f"{root}/audit")
+        views[obj] = silver_view(stream_object(spark, root, "crm", obj, feed.schema), feed.columns)
+    return marts.customer_mart(views["companies"], views["contacts"], views["deals"])

@@ -35,7 +35,9 @@ def stage(raw: DataFrame, schema: T.StructType, instants: Sequence[str] = ("upda
     has_bu = "bu_id" in rows.columns
     metrics = []
     if has_bu and shared:
-        rows = expand_shared(rows, units)
+        # ``_own`` (not a re-homed shared copy) breaks CDC ties in favour of
+        # the unit's own row.
+        rows = expand_shared(rows.withColumn("_own", F.col("bu_id") != SHARED_BU), units)
     elif has_bu and TENANT in rows.columns:
         # The path decides the tenant; a payload that disagrees is counted.
         rows = rows.withColumn("_path_mismatch", ~F.col("bu_id").eqNullSafe(F.col(TENANT)))
