@@ -58,3 +58,13 @@ def test_triggered_streams_take_each_file_once(spark, scratch):
     run()  # nothing new: no change
     assert rows(table.view(), "k", "v") == [(1, "a2")]
     assert spark.read.parquet(f"{scratch}/bronze").count() == 4
+
+
+def test_tombstones_expire_by_event_time(spark, scratch):
+    table = KeyedStateTable(spark, scratch, ["k"], buckets=1, tombstone_retention_seconds=86400)
+    table.merge(changes(spark, [(1, "a", "2024-01-01 00:00:00", 0)]), 0)
+    table.merge(changes(spark, [(1, "a", "2024-01-02 00:00:00", 1)]), 1)
+    assert table.state().filter("_deleted").count() == 1  # within retention
+    table.merge(changes(spark, [(2, "b", "2024-01-10 00:00:00", 0)]), 2)
+    assert table.state().filter("_deleted").count() == 0  # expired when its bucket was rewritten
+    assert rows(table.view(), "k") == [(2,)]

@@ -43,19 +43,34 @@ def bu_customer_performance(customers: DataFrame) -> DataFrame:
     )
 
 
+RANKED_METRICS = (
+    ("won_revenue_usd", "sales_rank"),
+    ("total_spend_usd", "spend_rank"),
+    ("company_count", "customer_rank"),
+)
+
+
 def bu_ranking(sales_perf: DataFrame, finance_perf: DataFrame,
                customer_perf: DataFrame) -> DataFrame:
     """Which unit sells most, spends most, has the largest customer base.
 
-    Inputs hold one row per unit (bounded by the number of units), so the
-    un-partitioned ranking windows run over a handful of rows.
+    The three roll-ups are stacked into one long (unit, metric, value) table,
+    ranked per metric (a window partitioned by metric over one row per unit)
+    and turned back into one row per unit by a group-by: no joins. Values
+    are exact decimals, so ranking and output keep full precision.
     """
-    def ranked(df: DataFrame, metric: str, name: str) -> DataFrame:
-        w = Window.orderBy(F.col(metric).desc_nulls_last())
-        return df.select("bu_id", metric, F.rank().over(w).cast("bigint").alias(name))
-
-    return (
-        ranked(sales_perf, "won_revenue_usd", "sales_rank")
-        .join(ranked(finance_perf, "total_spend_usd", "spend_rank"), "bu_id", "full")
-        .join(ranked(customer_perf, "company_count", "customer_rank"), "bu_id", "full")
-    )
+    inputs = (sales_perf, finance_perf, customer_perf)
+    value_type = "decimal(38,2)"
+    stacked = None
+    for df, (metric, _) in zip(inputs, RANKED_METRICS):
+        part = df.select("bu_id", F.lit(metric).alias("metric"),
+                         F.col(metric).cast(value_type).alias("value"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    w = Window.partitionBy("metric").orderBy(F.col("value").desc_nulls_last())
+    ranked = stacked.withColumn("rank", F.rank().over(w).cast("bigint"))
+    out = []
+    for df, (metric, rank_name) in zip(inputs, RANKED_METRICS):
+        pick = F.col("metric") == metric
+        out += [F.max(F.when(pick, F.col("value"))).cast(df.schema[metric].dataType).alias(metric),
+                F.max(F.when(pick, F.col("rank"))).alias(rank_name)]
+    return ranked.groupBy("bu_id").agg(*out)

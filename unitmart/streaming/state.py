@@ -34,10 +34,15 @@ BUCKET = "cdc_bucket"
 class KeyedStateTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
                  sequence: str = "updated_at", delete_flag: str = "is_deleted",
-                 tie_breakers: Sequence[str] = (), buckets: int = 64):
+                 tie_breakers: Sequence[str] = (), buckets: int = 64,
+                 tombstone_retention_seconds: int | None = None):
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
         self.rule = dict(sequence=sequence, delete_flag=delete_flag, tie_breakers=tuple(tie_breakers))
         self.buckets = buckets
+        # Tombstones older (in event time) than the newest change of the batch
+        # minus this retention are dropped when their bucket is rewritten; a
+        # change older than an expired tombstone could then resurrect a key.
+        self.retention = tombstone_retention_seconds
         self._published: tuple[int, dict[int, int]] | None = None  # single-writer cache
 
     # -- layout ---------------------------------------------------------------
@@ -80,7 +85,10 @@ class KeyedStateTable:
         reduced = latest_per_key(changes, self.keys, keep_tombstones=True, **self.rule) \
             .withColumn(BUCKET, self._bucket_of()).persist()
         try:
-            touched = [int(r[0]) for r in reduced.select(BUCKET).distinct().collect()]
+            seq = self.rule["sequence"]
+            stats = reduced.agg(F.collect_set(BUCKET).alias("b"),
+                                F.max(F.col(seq).cast("timestamp_ntz")).alias("m")).first()
+            touched = sorted(int(b) for b in (stats["b"] or []))
             if not touched:
                 return
             fresh = reduced.drop(BUCKET)
@@ -89,6 +97,10 @@ class KeyedStateTable:
                 merged = fresh
             else:
                 merged = apply_changes(current, fresh.drop(DELETED), self.keys, **self.rule)
+            if self.retention is not None and stats["m"] is not None:
+                cutoff = F.lit(stats["m"].isoformat(sep=" ")).cast("timestamp_ntz") \
+                    - F.make_dt_interval(secs=F.lit(self.retention))
+                merged = merged.filter(~F.col(DELETED) | (F.col(seq).cast("timestamp_ntz") >= cutoff))
             (merged.withColumn(BUCKET, self._bucket_of())
              .repartition(BUCKET)
              .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}"))
