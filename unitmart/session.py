@@ -58,3 +58,19 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique directory under the shared root for one run."""
     return "/".join([shared_root(spark), "unitmart", *parts, uuid.uuid4().hex])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table directory exists, asked of its Hadoop filesystem (so
+    first runs need no exception for control flow)."""
+    jvm = getattr(spark, "_jvm", None)
+    jsc = getattr(spark, "_jsc", None)
+    if jvm is None or jsc is None:  # Spark Connect: fall back to a read attempt
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except AnalysisException:
+            return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))

@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import batch_id as batch_id_expr
 from ..functions.hashing import digest_aggs
-from ..model import AUDIT_FAILED, AUDIT_SUCCESS
+from ..model import AUDIT_FAILED, AUDIT_SCHEMA, AUDIT_SUCCESS
+from ..session import path_exists
 from .extract import incremental, instant
 from .landing import DEFAULT_RECORDS_PER_FILE, stamp_lineage, write_landing
 
@@ -39,10 +39,9 @@ class BatchResult:
 
 
 def _read_audit(spark: SparkSession, audit_root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(audit_root)
-    except AnalysisException:
+    if not path_exists(spark, audit_root):
         return None
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_root)
 
 
 def current_watermark(spark: SparkSession, audit_root: str, source_system: str,

@@ -22,10 +22,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from ..operators.cdc import DELETED, apply_changes, latest_per_key, live
 
 BUCKET = "cdc_bucket"
@@ -55,10 +55,9 @@ class KeyedStateTable:
     def _manifest(self) -> tuple[int, dict[int, int]]:
         if self._published is not None:
             return self._published[0], dict(self._published[1])
-        try:
-            m = self.spark.read.parquet(f"{self.root}/manifest")
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.root}/manifest"):
             return -1, {}
+        m = self.spark.read.parquet(f"{self.root}/manifest")
         latest = m.agg(F.max("v")).first()[0]
         rows = m.filter(F.col("v") == latest).select(BUCKET, "version").collect()
         self._published = (int(latest), {int(r[0]): int(r[1]) for r in rows})
