@@ -161,3 +161,11 @@ def test_keyset_page_matches_offset_page(spark):
     a = [r[0] for r in reads.page(df, ["deal_id"], 300, 50).collect()]
     b = [r[0] for r in reads.page_after(df, "deal_id", 299, 50).collect()]
     assert a == b == list(range(300, 350))
+
+
+def test_absent_unit_lands_under_unknown_and_numeric_batch_ids_stay_text(spark, scratch):
+    df = spark.createDataFrame([(1, None), (2, "bu_01")], "k long, bu_id string")
+    write_landing(df, f"{scratch}/batch=1234567890123456")
+    r = read_landing(spark, scratch)
+    assert dict(r.dtypes)["batch"] == "string"
+    assert rows(r.select("tenant").distinct()) == [("UNKNOWN",), ("bu_01",)]

@@ -46,7 +46,8 @@ def test_triggered_streams_take_each_file_once(spark, scratch):
     schema = landing_schema(feed.schema)
 
     def run():
-        run_bronze(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ck/b")
+        run_bronze(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ck/b",
+                   partitions=("batch",))
         run_silver(spark, f"{scratch}/bronze", f"{scratch}/ck/s",
                    lambda r: stage(r, schema), table)
 

@@ -140,7 +140,8 @@ def q_scd1_out_of_order(spark, sf_dir):
     stage_fn = _stage_fn(feed, sequence="ts")
     for i in reversed(range(OUT_OF_ORDER_BATCHES)):
         write_landing(feed.filter(part == i), f"{root}/landing/batch={i}", tenant_col=None)
-        run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ck/bronze")
+        run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ck/bronze",
+                   partitions=("batch",))
         run_silver(spark, f"{root}/bronze", f"{root}/ck/silver", stage_fn, table)
     return table.view().select(*feed.columns)
 

@@ -84,10 +84,19 @@ def write_landing(df: DataFrame, path: str, fmt: str = "lines", total_rows: int
         raise ValueError(f"unknown landing format {fmt!r}")
 
 
-def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: bool = False) -> DataFrame:
-    """Raw landed text: ``value`` (+ partition columns, + source file)."""
+LANDING_PARTITIONS = ("batch", TENANT)
+
+
+def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: bool = False,
+                 partitions: tuple[str, ...] = LANDING_PARTITIONS) -> DataFrame:
+    """Raw landed text: ``value`` (+ partition columns, + source file).
+
+    Partition columns are declared as strings: a batch id made only of
+    digits must not be inferred as a number in one run and text in the next.
+    """
+    schema = ", ".join(["value string", *[f"{c} string" for c in partitions]])
     reader = spark.readStream if stream else spark.read
-    df = reader.format("text").option("wholetext", fmt == "array").load(path)
+    df = reader.schema(schema).format("text").option("wholetext", fmt == "array").load(path)
     return df.withColumn("_file", F.col("_metadata.file_path"))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.landing import TENANT, read_landing
+from ..sources.landing import LANDING_PARTITIONS, TENANT, read_landing
 from .state import KeyedStateTable
 
 
@@ -23,9 +23,9 @@ def _await(query) -> None:
 
 
 def run_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
-               fmt: str = "lines") -> None:
+               fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
     """Append new landed files to the bronze table (one row per line or file)."""
-    raw = read_landing(spark, landing_dir, fmt=fmt, stream=True)
+    raw = read_landing(spark, landing_dir, fmt=fmt, stream=True, partitions=partitions)
     parts = [c for c in (TENANT,) if c in raw.columns]
     _await(raw.writeStream.format("parquet").partitionBy(*parts)
            .option("checkpointLocation", checkpoint)
