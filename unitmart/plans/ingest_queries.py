@@ -71,7 +71,10 @@ def q_batch_id_stable(spark, sf_dir):
     """Batch id of the invoice feed equals the id after repartitioning and
     column/row reordering (both ids from one aggregate over a union; no join)."""
     feed = binding.gl_invoice_changes(spark, sf_dir)
-    shuffled = feed.repartition(7, "vendor_key").select(*reversed(feed.columns)) \
+    # A different layout of the same rows: round-robin (no key, so no hot
+    # partition) at the session's shuffle width, columns and rows reordered.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = feed.repartition(width).select(*reversed(feed.columns)) \
         .sortWithinPartitions(F.col("amount").desc())
     both = feed.withColumn("_variant", F.lit(0)).unionByName(shuffled.withColumn("_variant", F.lit(1)))
     per_variant = both.groupBy("_variant").agg(
