@@ -105,3 +105,15 @@ def test_divest_slice_plus_remainder_is_whole(spark):
     assert piece.count() == 2 and rest.count() == 2
     check = governance.partition_check(mart, [piece, rest], ["v"]).collect()[0]
     assert check.consistent and check.rows == 4
+
+
+def test_fx_rates_convert_and_unknown_currency_is_null(spark):
+    d = spark.createDataFrame(
+        [(1, "bu_01", "g", Decimal("100.00"), "won", "EUR"), (2, "bu_01", "g", Decimal("10.00"), "won", "USD"),
+         (3, "bu_01", "g", Decimal("5.00"), "won", "XXX")],
+        f"deal_id long, bu_id string, business_group string, amount {MONEY}, stage string, currency string")
+    fx = spark.createDataFrame([("EUR", Decimal("1.10")), ("USD", Decimal("1.00"))],
+                               "currency string, rate_to_usd decimal(18,6)")
+    r = report(marts.sales_mart(d, fx)).collect()[0]
+    assert r.pipeline_value_usd == 120.0 and r.deal_count == 3
+    assert report(marts.sales_mart(d)).collect()[0].pipeline_value_usd == 115.0

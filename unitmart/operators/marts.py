@@ -29,7 +29,23 @@ def report(df: DataFrame) -> DataFrame:
     ])
 
 
-def sales_mart(deals: DataFrame) -> DataFrame:
+def to_usd(df: DataFrame, fx_rates: DataFrame | None, amount_cols: tuple[str, ...],
+           currency_col: str = "currency") -> DataFrame:
+    """Convert amounts with a ``(currency, rate_to_usd)`` table; an amount in a
+    currency without a rate becomes null rather than being summed as USD.
+    Without rates the amounts pass through unchanged (the ``*_usd`` columns
+    then add currencies as they come, like the original marts)."""
+    if fx_rates is None:
+        return df
+    rates = fx_rates.select(F.col("currency").alias("_fx_currency"), F.col("rate_to_usd"))
+    joined = df.join(rates, F.col(currency_col) == F.col("_fx_currency"), "left")
+    return joined.withColumns({
+        c: (F.col(c) * F.col("rate_to_usd")).cast(df.schema[c].dataType) for c in amount_cols
+    }).drop("_fx_currency", "rate_to_usd")
+
+
+def sales_mart(deals: DataFrame, fx_rates: DataFrame | None = None) -> DataFrame:
+    deals = to_usd(deals, fx_rates, ("amount",))
     amount = F.col("amount")
     won = F.when(F.lower(F.col("stage")).isin(*WON_STAGES), amount).otherwise(F.lit(0))
     return deals.groupBy(*GROUP).agg(
