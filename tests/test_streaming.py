@@ -69,3 +69,18 @@ def test_tombstones_expire_by_event_time(spark, scratch):
     table.merge(changes(spark, [(2, "b", "2024-01-10 00:00:00", 0)]), 2)
     assert table.state().filter("_deleted").count() == 0  # expired when its bucket was rewritten
     assert rows(table.view(), "k") == [(2,)]
+
+
+def test_streamed_shared_dimension_equals_batch_silver(spark, scratch):
+    from conftest import SMOKE_DIR
+    from unitmart.plans.silver import silver
+    from unitmart.plans.stream_refresh import silver_view, stream_object
+    from unitmart.sources import binding
+    from unitmart.sources.ingest import ingest
+
+    feed = binding.cost_centers(spark, SMOKE_DIR)
+    ingest(spark, feed, "erp", "cost_centers", f"{scratch}/landing", f"{scratch}/audit")
+    table = stream_object(spark, scratch, "erp", "cost_centers", feed.schema, buckets=4)
+    streamed = silver_view(table, feed.columns)
+    assert rows(streamed) == rows(silver(spark, SMOKE_DIR, "cost_centers"))
+    assert streamed.filter("bu_id = 'SHARED'").count() == 0
