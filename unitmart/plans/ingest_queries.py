@@ -184,13 +184,13 @@ def q_mart_refresh(spark, sf_dir):
 @register("streamed_customer_mart")
 def q_streamed_customer_mart(spark, sf_dir):
     """Companies, contacts and deals ingested, streamed through bronze and the
-    tenant-keyed silver state, then the customer mart from the state views
-    (must equal the batch mart)."""
-    from .stream_refresh import silver_view, stream_object
+    tenant-keyed silver state (the three objects' flows run concurrently),
+    then the customer mart from the state views (must equal the batch mart)."""
+    from .stream_refresh import silver_view, stream_objects
     root = scratch_path(spark, "streamed_customer_mart")
-    views = {}
-    for obj in ("companies", "contacts", "deals"):
-        feed = binding.ENTITIES[obj](spark, sf_dir)
+    feeds = {obj: binding.ENTITIES[obj](spark, sf_dir) for obj in ("companies", "contacts", "deals")}
+    for obj, feed in feeds.items():
         ingest(spark, feed, "crm", obj, f"{root}/landing", f"{root}/audit")
-        views[obj] = silver_view(stream_object(spark, root, "crm", obj, feed.schema), feed.columns)
+    tables = stream_objects(spark, root, {obj: ("crm", f.schema) for obj, f in feeds.items()})
+    views = {obj: silver_view(tables[obj], feeds[obj].columns) for obj in feeds}
     return marts.customer_mart(views["companies"], views["contacts"], views["deals"])

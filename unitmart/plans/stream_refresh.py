@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..model import BUSINESS_UNITS, OBJECTS
 from ..sources.landing import instant_columns, landing_schema
-from ..streaming.flows import run_bronze, run_silver
+from ..streaming.flows import await_all, run_bronze, run_silver, start_bronze, start_silver
 from ..streaming.staging import stage
 from ..streaming.state import KeyedStateTable
 from .silver import tenant_keys
@@ -45,5 +45,27 @@ def stream_object(spark: SparkSession, root: str, source_system: str, obj: str,
     return table
 
 
+def stream_objects(spark: SparkSession, root: str, objects: dict[str, tuple[str, object]],
+                   units: Sequence[str] = BUSINESS_UNITS, fmt: str = "lines",
+                   buckets: int = 16) -> dict[str, KeyedStateTable]:
+    """Run the flows of several objects concurrently: all bronze flows, then
+    all silver flows (``objects``: name -> (source system, feed schema))."""
+    tables = {obj: state_table(spark, root, obj, buckets) for obj in objects}
+    await_all([start_bronze(spark, f"{root}/landing/{src}/{obj}", f"{root}/bronze/{obj}",
+                            f"{root}/ck/bronze_{obj}", fmt)
+               for obj, (src, _) in objects.items()])
+    queries = []
+    for obj, (_, feed_schema) in objects.items():
+        spec = OBJECTS[obj]
+        schema = landing_schema(feed_schema)
+        instants = instant_columns(feed_schema) or [spec.sequence]
+        staged = (lambda sc, ins, sp: lambda raw: stage(
+            raw, sc, ins, shared=sp.shared, sequence=sp.sequence, units=units))(schema, instants, spec)
+        queries.append(start_silver(spark, f"{root}/bronze/{obj}", f"{root}/ck/silver_{obj}",
+                                    staged, tables[obj]))
+    await_all(queries)
+    return tables
+
+
 def silver_view(table: KeyedStateTable, feed_columns: Sequence[str]) -> DataFrame:
     return table.view().select(*feed_columns)

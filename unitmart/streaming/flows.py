@@ -22,14 +22,26 @@ def _await(query) -> None:
         raise query.exception()
 
 
-def run_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
-               fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
-    """Append new landed files to the bronze table (one row per line or file)."""
+def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
+                 fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS):
+    """Start the triggered flow appending new landed files to the bronze table
+    (one row per line or per file); returns the running query."""
     raw = read_landing(spark, landing_dir, fmt=fmt, stream=True, partitions=partitions)
     parts = [c for c in (TENANT,) if c in raw.columns]
-    _await(raw.writeStream.format("parquet").partitionBy(*parts)
-           .option("checkpointLocation", checkpoint)
-           .trigger(availableNow=True).start(bronze_dir))
+    return (raw.writeStream.format("parquet").partitionBy(*parts)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(bronze_dir))
+
+
+def run_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
+               fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
+    _await(start_bronze(spark, landing_dir, bronze_dir, checkpoint, fmt, partitions))
+
+
+def await_all(queries) -> None:
+    """Wait for concurrently started triggered flows; re-raise the first failure."""
+    for q in queries:
+        _await(q)
 
 
 def bronze_stream(spark: SparkSession, bronze_dir: str) -> DataFrame:
@@ -44,9 +56,15 @@ def run_staging_to_table(spark: SparkSession, bronze_dir: str, staged_dir: str,
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(staged_dir))
 
 
+def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
+                 stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable):
+    """Start the triggered flow applying staged changes of new bronze rows to
+    the keyed state; returns the running query."""
+    return (stage(bronze_stream(spark, bronze_dir)).writeStream
+            .foreachBatch(table.foreach_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def run_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
                stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable) -> None:
-    """Apply the staged changes of new bronze rows to the keyed state."""
-    _await(stage(bronze_stream(spark, bronze_dir)).writeStream
-           .foreachBatch(table.foreach_batch).option("checkpointLocation", checkpoint)
-           .trigger(availableNow=True).start())
+    _await(start_silver(spark, bronze_dir, checkpoint, stage, table))
