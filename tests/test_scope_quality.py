@@ -84,3 +84,10 @@ def test_revoke_turns_lost_entitlement_into_delete(spark):
     assert [u for u, _ in kept] == ["bu_02", "bu_03"]  # default: bu_03 keeps a stale copy
     revoked = rows(to_silver(d, "cost_centers", revoke=True), "bu_id")
     assert revoked == [("bu_02",)]
+
+
+def test_scale_settings_width():
+    from unitmart.session import scale_settings
+    s = scale_settings(60 << 40, 8000)  # 60 TB shuffle, 1000 executors x 8 cores
+    assert int(s["spark.sql.shuffle.partitions"]) == 245760
+    assert scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
