@@ -89,5 +89,6 @@ def test_revoke_turns_lost_entitlement_into_delete(spark):
 def test_scale_settings_width():
     from unitmart.session import scale_settings
     s = scale_settings(60 << 40, 8000)  # 60 TB shuffle, 1000 executors x 8 cores
-    assert int(s["spark.sql.shuffle.partitions"]) == 245760
+    assert int(s["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert scale_settings(4 << 40, 8000)["spark.sql.shuffle.partitions"] == "16384"
     assert scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
