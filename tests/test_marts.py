@@ -117,3 +117,19 @@ def test_fx_rates_convert_and_unknown_currency_is_null(spark):
     r = report(marts.sales_mart(d, fx)).collect()[0]
     assert r.pipeline_value_usd == 120.0 and r.deal_count == 3
     assert report(marts.sales_mart(d)).collect()[0].pipeline_value_usd == 115.0
+
+
+def test_units_add_up_to_enterprise_and_divestiture_partitions_it(spark):
+    from conftest import SMOKE_DIR
+    from unitmart.plans import gold
+    sales = gold.sales_mart(spark, SMOKE_DIR)
+    perf = enterprise.bu_sales_performance(sales)
+    per_unit = sales.groupBy("bu_id").agg(F.sum("deal_count").alias("n"), F.sum("won_revenue_usd").alias("w"))
+    assert rows(per_unit) == rows(perf.select("bu_id", "deal_count", "won_revenue_usd"))
+    totals = sales.agg(F.sum("deal_count")).first()[0]
+    assert perf.agg(F.sum("deal_count")).first()[0] == totals > 0
+    piece, rest = governance.divest(sales, ["bu_06"])
+    check = governance.partition_check(sales, [piece, rest],
+                                       ["deal_count", "pipeline_value_usd", "won_revenue_usd"]).first()
+    assert check.consistent and check.rows == sales.count()
+    assert rest.filter("bu_id = 'bu_06'").count() == 0 and piece.count() == 3

@@ -10,12 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..model import OBJECTS
+from ..model import SHARED_BU
+from ..operators import governance, quality, reads
 from ..operators.cdc import latest_per_key
+from ..operators.enterprise import bu_sales_performance
 from ..operators.marts import report
+from ..operators.scope import expand_shared
 from ..session import ensure_conf
 from ..sources import binding
+from ..sources.extract import incremental
 from . import gold
+from .silver import silver, to_silver, unit_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -78,17 +83,7 @@ def q_bu_ranking(spark, sf_dir):
     return gold.ranking(spark, sf_dir)
 
 
-__all__ = ["REGISTRY", "OBJECTS"]
-
-
-# --- tenant scope and CDC -------------------------------------------------
-from ..model import SHARED_BU  # noqa: E402
-from ..operators import governance, quality, reads  # noqa: E402
-from ..operators.enterprise import bu_sales_performance  # noqa: E402
-from ..operators.marts import sales_mart  # noqa: E402
-from ..operators.scope import expand_shared  # noqa: E402
-from ..sources.extract import incremental  # noqa: E402
-from .silver import silver, to_silver, unit_filter  # noqa: E402
+# --- tenant scope, CDC, reads and governance ----------------------------------
 
 # Fixed parameters of the registered queries.
 DIVESTED_UNITS = ("bu_06",)
