@@ -46,8 +46,9 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 S, L, I, D, B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
-# Landing-file schemas, one per object (instants stay strings until staging
-# normalises them; unknown fields are dropped by ``from_json``).
+# The landing contract of the source objects, field names and
+# types in source order (instants stay strings until staging normalises them;
+# unknown fields are dropped by ``from_json``).
 LANDING_SCHEMAS: dict[str, T.StructType] = {
     "companies": _schema(
         ("company_id", S), ("name", S), ("domain", S), ("industry", S), ("country", S),
