@@ -169,3 +169,31 @@ def test_absent_unit_lands_under_unknown_and_numeric_batch_ids_stay_text(spark,
     r = read_landing(spark, scratch)
     assert dict(r.dtypes)["batch"] == "string"
     assert rows(r.select("tenant").distinct()) == [("UNKNOWN",), ("bu_01",)]
+
+
+def test_pretty_printed_arrays_under_shared_directory(spark, scratch):
+    text = """[
+  {
+    "cc_key": "CC-SHARED-9",
+    "business_group": "bg_online",
+    "is_shared": 1,
+    "shared_with": "bu_02|bu_05",
+    "bu_id": "SHARED",
+    "is_deleted": 0,
+    "updated_at": "2026-08-31T14:12:59.123456+03:00"
+  },
+  {
+    "cc_key": "CC-01-1",
+    "bu_id": "bu_01",
+    "is_deleted": 0,
+    "updated_at": "2026-08-31T14:12:59+02:00"
+  }
+]"""
+    for tenant in ("SHARED", "bu_01"):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(
+            f"{scratch}/batch=b1/tenant={tenant}")
+    raw = read_landing(spark, scratch, fmt="array")
+    out = stage(raw, CC, shared=True).dropDuplicates(["cc_key", "bu_id"])
+    assert rows(out, "cc_key", "bu_id") == [("CC-01-1", "bu_01"), ("CC-SHARED-9", "bu_02"),
+                                            ("CC-SHARED-9", "bu_05")]
+    assert str(out.filter("cc_key = 'CC-01-1'").first()["updated_at"]) == "2026-08-31 12:12:59"
