@@ -22,7 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists
@@ -79,17 +81,41 @@ class KeyedStateTable:
         applied, manifest = self._manifest()
         if applied >= version:
             return  # retried batch whose manifest was already published
+        reduced = latest_per_key(changes, self.keys, keep_tombstones=True, **self.rule) \
+            .withColumn(BUCKET, self._bucket_of())
+        if not manifest:
+            touched = self._write_first(reduced, version)
+        else:
+            touched = self._write_merged(reduced, manifest, version)
+        if not touched:
+            return
+        manifest.update({b: version for b in touched})
+        (self.spark.createDataFrame(sorted(manifest.items()), f"{BUCKET} int, version long")
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/v={version}"))
+        self._published = (version, dict(manifest))
+
+    def _write(self, df: DataFrame, version: int) -> None:
+        (df.repartition(BUCKET)
+         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}"))
+
+    def _write_first(self, reduced: DataFrame, version: int) -> list[int]:
+        """Empty state: nothing to read, so the touched buckets are collected
+        while writing (an observed set, bounded by the bucket count)."""
+        obs = Observation(f"cdc_buckets_{uuid.uuid4().hex}")
+        self._write(reduced.observe(obs, F.collect_set(BUCKET).alias("b")), version)
+        return sorted(int(b) for b in (obs.get.get("b") or []))
+
+    def _write_merged(self, reduced: DataFrame, manifest: dict[int, int], version: int) -> list[int]:
         # The reduced batch is used three times (bucket ids, merge, write):
         # cache it rather than re-reading and re-parsing the micro-batch.
-        reduced = latest_per_key(changes, self.keys, keep_tombstones=True, **self.rule) \
-            .withColumn(BUCKET, self._bucket_of()).persist()
+        reduced = reduced.persist()
         try:
             seq = self.rule["sequence"]
             stats = reduced.agg(F.collect_set(BUCKET).alias("b"),
                                 F.max(F.col(seq).cast("timestamp_ntz")).alias("m")).first()
             touched = sorted(int(b) for b in (stats["b"] or []))
             if not touched:
-                return
+                return []
             fresh = reduced.drop(BUCKET)
             current = self._read(manifest, touched, schema=fresh.schema)
             if current is None:
@@ -100,15 +126,10 @@ class KeyedStateTable:
                 cutoff = F.lit(stats["m"].isoformat(sep=" ")).cast("timestamp_ntz") \
                     - F.make_dt_interval(secs=F.lit(self.retention))
                 merged = merged.filter(~F.col(DELETED) | (F.col(seq).cast("timestamp_ntz") >= cutoff))
-            (merged.withColumn(BUCKET, self._bucket_of())
-             .repartition(BUCKET)
-             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}"))
+            self._write(merged.withColumn(BUCKET, self._bucket_of()), version)
+            return touched
         finally:
             reduced.unpersist()
-        manifest.update({b: version for b in touched})
-        (self.spark.createDataFrame(sorted(manifest.items()), f"{BUCKET} int, version long")
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/v={version}"))
-        self._published = (version, dict(manifest))
 
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         self.merge(batch_df, batch_id)
