@@ -84,3 +84,18 @@ def test_streamed_shared_dimension_equals_batch_silver(spark, scratch):
     streamed = silver_view(table, feed.columns)
     assert rows(streamed) == rows(silver(spark, SMOKE_DIR, "cost_centers"))
     assert streamed.filter("bu_id = 'SHARED'").count() == 0
+
+
+def test_malformed_landed_file_goes_to_quarantine(spark, scratch):
+    from unitmart.plans.stream_refresh import silver_view, stream_objects
+    feed = spark.createDataFrame([(1, "bu_01", "2024-01-01 00:00:00", 0)],
+                                 "contact_id long, bu_id string, t string, is_deleted int") \
+        .select("contact_id", "bu_id", F.col("t").cast("timestamp_ntz").alias("updated_at"), "is_deleted")
+    write_landing(feed, f"{scratch}/landing/crm/contacts/batch=good")
+    spark.createDataFrame([("{not json",)], "value string").coalesce(1).write.text(
+        f"{scratch}/landing/crm/contacts/batch=bad/tenant=bu_01")
+    tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)}, buckets=2,
+                            keep_quarantine=True)
+    assert rows(silver_view(tables["contacts"], feed.columns), "contact_id") == [(1,)]
+    q = spark.read.parquet(f"{scratch}/quarantine/contacts").collect()
+    assert [r.value for r in q] == ["{not json"] and "batch=bad" in q[0]._file

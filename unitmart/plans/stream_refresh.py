@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..model import BUSINESS_UNITS, OBJECTS
 from ..sources.landing import instant_columns, landing_schema
-from ..streaming.flows import await_all, run_bronze, run_silver, start_bronze, start_silver
+from ..streaming.flows import (await_all, run_bronze, run_silver, start_bronze,
+                               start_quarantine, start_silver)
 from ..streaming.staging import stage
 from ..streaming.state import KeyedStateTable
 from .silver import tenant_keys
@@ -47,9 +48,11 @@ def stream_object(spark: SparkSession, root: str, source_system: str, obj: str,
 
 def stream_objects(spark: SparkSession, root: str, objects: dict[str, tuple[str, object]],
                    units: Sequence[str] = BUSINESS_UNITS, fmt: str = "lines",
-                   buckets: int = 16) -> dict[str, KeyedStateTable]:
+                   buckets: int = 16, keep_quarantine: bool = False) -> dict[str, KeyedStateTable]:
     """Run the flows of several objects concurrently: all bronze flows, then
-    all silver flows (``objects``: name -> (source system, feed schema))."""
+    all silver flows (``objects``: name -> (source system, feed schema)).
+    ``keep_quarantine`` also keeps unparseable landed texts per object under
+    ``{root}/quarantine/{object}``."""
     tables = {obj: state_table(spark, root, obj, buckets) for obj in objects}
     await_all([start_bronze(spark, f"{root}/landing/{src}/{obj}", f"{root}/bronze/{obj}",
                             f"{root}/ck/bronze_{obj}", fmt)
@@ -63,6 +66,10 @@ def stream_objects(spark: SparkSession, root: str, objects: dict[str, tuple[str,
             raw, sc, ins, shared=sp.shared, sequence=sp.sequence, units=units))(schema, instants, spec)
         queries.append(start_silver(spark, f"{root}/bronze/{obj}", f"{root}/ck/silver_{obj}",
                                     staged, tables[obj]))
+        if keep_quarantine:
+            queries.append(start_quarantine(spark, f"{root}/bronze/{obj}",
+                                            f"{root}/quarantine/{obj}",
+                                            f"{root}/ck/quarantine_{obj}", schema))
     await_all(queries)
     return tables
 

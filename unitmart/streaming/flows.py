@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.landing import LANDING_PARTITIONS, TENANT, read_landing
+from ..sources.landing import LANDING_PARTITIONS, TENANT, quarantine, read_landing
 from .state import KeyedStateTable
 
 
@@ -68,3 +68,12 @@ def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
 def run_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
                stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable) -> None:
     _await(start_silver(spark, bronze_dir, checkpoint, stage, table))
+
+
+def start_quarantine(spark: SparkSession, bronze_dir: str, quarantine_dir: str, checkpoint: str,
+                     schema):
+    """Start the triggered flow keeping landed texts that parse to nothing
+    (malformed or empty files), with the file they came from."""
+    return (quarantine(bronze_stream(spark, bronze_dir), schema).writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+            .start(quarantine_dir))
