@@ -197,3 +197,11 @@ def test_pretty_printed_arrays_under_shared_directory(spark, scratch):
     assert rows(out, "cc_key", "bu_id") == [("CC-01-1", "bu_01"), ("CC-SHARED-9", "bu_02"),
                                             ("CC-SHARED-9", "bu_05")]
     assert str(out.filter("cc_key = 'CC-01-1'").first()["updated_at"]) == "2026-08-31 12:12:59"
+
+
+def test_ordered_extract_is_in_update_order(spark):
+    df = spark.range(500).select(
+        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (id * 7919) % 500)")
+        .alias("updated_at")).repartition(5)
+    got = [r[0] for r in incremental(df, "2024-01-01T00:00:10Z", ordered=True).collect()]
+    assert len(got) == 489 and got == sorted(got)
