@@ -49,7 +49,7 @@ def test_triggered_streams_take_each_file_once(spark, scratch):
         run_bronze(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ck/b",
                    partitions=("batch",))
         run_silver(spark, f"{scratch}/bronze", f"{scratch}/ck/s",
-                   lambda r: stage(r, schema), table)
+                   lambda r: stage(r, schema), table, partitions=("batch",))
 
     write_landing(feed, f"{scratch}/landing/batch=0", tenant_col=None)
     run()
@@ -81,7 +81,7 @@ def test_streamed_shared_dimension_equals_batch_silver(spark, scratch):
     feed = binding.cost_centers(spark, SMOKE_DIR)
     ingest(spark, feed, "erp", "cost_centers", f"{scratch}/landing", f"{scratch}/audit")
     table = stream_object(spark, scratch, "erp", "cost_centers", feed.schema, buckets=4)
-    streamed = silver_view(table, feed.columns)
+    streamed = silver_view(table, feed.schema)
     assert rows(streamed) == rows(silver(spark, SMOKE_DIR, "cost_centers"))
     assert streamed.filter("bu_id = 'SHARED'").count() == 0
 
@@ -96,6 +96,14 @@ def test_malformed_landed_file_goes_to_quarantine(spark, scratch):
         f"{scratch}/landing/crm/contacts/batch=bad/tenant=bu_01")
     tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)}, buckets=2,
                             keep_quarantine=True)
-    assert rows(silver_view(tables["contacts"], feed.columns), "contact_id") == [(1,)]
+    assert rows(silver_view(tables["contacts"], feed.schema), "contact_id") == [(1,)]
     q = spark.read.parquet(f"{scratch}/quarantine/contacts").collect()
     assert [r.value for r in q] == ["{not json"] and "batch=bad" in q[0]._file
+
+
+def test_object_without_landed_files_yields_empty_silver(spark, scratch):
+    from unitmart.plans.stream_refresh import silver_view, stream_objects
+    feed = changes(spark, [(1, "a", "2024-01-01 00:00:00", 0)])
+    tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)}, buckets=2)
+    view = silver_view(tables["contacts"], feed.schema)
+    assert view.count() == 0 and view.columns == feed.columns

@@ -145,7 +145,8 @@ def q_scd1_out_of_order(spark, sf_dir):
         write_landing(feed.filter(part == i), f"{root}/landing/batch={i}", tenant_col=None)
         run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ck/bronze",
                    partitions=("batch",))
-        run_silver(spark, f"{root}/bronze", f"{root}/ck/silver", stage_fn, table)
+        run_silver(spark, f"{root}/bronze", f"{root}/ck/silver", stage_fn, table,
+                   partitions=("batch",))
     return table.view().select(*feed.columns)
 
 
@@ -192,5 +193,5 @@ def q_streamed_customer_mart(spark, sf_dir):
     for obj, feed in feeds.items():
         ingest(spark, feed, "crm", obj, f"{root}/landing", f"{root}/audit")
     tables = stream_objects(spark, root, {obj: ("crm", f.schema) for obj, f in feeds.items()})
-    views = {obj: silver_view(tables[obj], feeds[obj].columns) for obj in feeds}
+    views = {obj: silver_view(tables[obj], feeds[obj].schema) for obj in feeds}
     return marts.customer_mart(views["companies"], views["contacts"], views["deals"])

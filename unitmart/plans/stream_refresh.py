@@ -74,5 +74,10 @@ def stream_objects(spark: SparkSession, root: str, objects: dict[str, tuple[str,
     return tables
 
 
-def silver_view(table: KeyedStateTable, feed_columns: Sequence[str]) -> DataFrame:
-    return table.view().select(*feed_columns)
+def silver_view(table: KeyedStateTable, feed_schema) -> DataFrame:
+    """Live rows of a state table in the feed's columns (empty before the
+    first batch)."""
+    view = table.view()
+    if view is None:
+        return table.spark.createDataFrame([], feed_schema)
+    return view.select(*feed_schema.fieldNames())

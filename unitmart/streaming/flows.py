@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.landing import LANDING_PARTITIONS, TENANT, quarantine, read_landing
+from ..session import path_exists
 from .state import KeyedStateTable
 
 
@@ -25,7 +26,10 @@ def _await(query) -> None:
 def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
                  fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS):
     """Start the triggered flow appending new landed files to the bronze table
-    (one row per line or per file); returns the running query."""
+    (one row per line or per file); returns the running query, or None when
+    nothing has been landed for the object yet."""
+    if not path_exists(spark, landing_dir):
+        return None
     raw = read_landing(spark, landing_dir, fmt=fmt, stream=True, partitions=partitions)
     parts = [c for c in (TENANT,) if c in raw.columns]
     return (raw.writeStream.format("parquet").partitionBy(*parts)
@@ -35,45 +39,60 @@ def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpo
 
 def run_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
                fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
-    _await(start_bronze(spark, landing_dir, bronze_dir, checkpoint, fmt, partitions))
+    await_all([start_bronze(spark, landing_dir, bronze_dir, checkpoint, fmt, partitions)])
 
 
 def await_all(queries) -> None:
     """Wait for concurrently started triggered flows; re-raise the first failure."""
     for q in queries:
-        _await(q)
+        if q is not None:
+            _await(q)
 
 
-def bronze_stream(spark: SparkSession, bronze_dir: str) -> DataFrame:
-    schema = spark.read.parquet(bronze_dir).schema
-    return spark.readStream.schema(schema).parquet(bronze_dir)
+def bronze_schema(partitions: tuple[str, ...] = LANDING_PARTITIONS) -> str:
+    """Bronze columns: the landed text, its partition values and source file."""
+    return ", ".join(["value string", *[f"{c} string" for c in partitions], "_file string"])
+
+
+def bronze_stream(spark: SparkSession, bronze_dir: str,
+                  partitions: tuple[str, ...] = LANDING_PARTITIONS) -> DataFrame:
+    return spark.readStream.schema(bronze_schema(partitions)).parquet(bronze_dir)
 
 
 def run_staging_to_table(spark: SparkSession, bronze_dir: str, staged_dir: str, checkpoint: str,
-                         stage: Callable[[DataFrame], DataFrame]) -> None:
+                         stage: Callable[[DataFrame], DataFrame],
+                         partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
     """Persist the staged changes (a private table, used for inspection)."""
-    _await(stage(bronze_stream(spark, bronze_dir)).writeStream.format("parquet")
+    if not path_exists(spark, bronze_dir):
+        return
+    _await(stage(bronze_stream(spark, bronze_dir, partitions)).writeStream.format("parquet")
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(staged_dir))
 
 
 def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
-                 stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable):
+                 stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable,
+                 partitions: tuple[str, ...] = LANDING_PARTITIONS):
     """Start the triggered flow applying staged changes of new bronze rows to
-    the keyed state; returns the running query."""
-    return (stage(bronze_stream(spark, bronze_dir)).writeStream
+    the keyed state; returns the running query (None without a bronze table)."""
+    if not path_exists(spark, bronze_dir):
+        return None
+    return (stage(bronze_stream(spark, bronze_dir, partitions)).writeStream
             .foreachBatch(table.foreach_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def run_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
-               stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable) -> None:
-    _await(start_silver(spark, bronze_dir, checkpoint, stage, table))
+               stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable,
+               partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
+    await_all([start_silver(spark, bronze_dir, checkpoint, stage, table, partitions)])
 
 
 def start_quarantine(spark: SparkSession, bronze_dir: str, quarantine_dir: str, checkpoint: str,
-                     schema):
+                     schema, partitions: tuple[str, ...] = LANDING_PARTITIONS):
     """Start the triggered flow keeping landed texts that parse to nothing
     (malformed or empty files), with the file they came from."""
-    return (quarantine(bronze_stream(spark, bronze_dir), schema).writeStream.format("parquet")
+    if not path_exists(spark, bronze_dir):
+        return None
+    return (quarantine(bronze_stream(spark, bronze_dir, partitions), schema).writeStream.format("parquet")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True)
             .start(quarantine_dir))
