@@ -6,7 +6,7 @@ returns a DataFrame over what it wrote, so the result proves the round trip.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import batch_id, digest_aggs
@@ -22,7 +22,7 @@ from ..streaming.flows import run_bronze, run_silver, run_staging_to_table
 from ..streaming.staging import stage
 from ..streaming.state import KeyedStateTable
 from .registry import DIVESTED_UNITS, EXTRACT_WATERMARK, register
-from .silver import tenant_keys, to_silver, unit_filter
+from .silver import to_silver, unit_filter
 
 # Fixed parameters of these queries.
 AUDIT_FIRST_RUN_CUTOFF = "2024-01-15T00:00:00Z"
@@ -168,8 +168,6 @@ def q_divest_manifest(spark, sf_dir):
     return governance.handover_package(spark, f"{root}/package", tables)
 
 
-__all__ = ["tenant_keys"]
-
 
 @register("mart_refresh")
 def q_mart_refresh(spark, sf_dir):
