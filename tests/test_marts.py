@@ -133,3 +133,14 @@ def test_units_add_up_to_enterprise_and_divestiture_partitions_it(spark):
                                        ["deal_count", "pipeline_value_usd", "won_revenue_usd"]).first()
     assert check.consistent and check.rows == sales.count()
     assert rest.filter("bu_id = 'bu_06'").count() == 0 and piece.count() == 3
+
+
+def test_isolated_layout_unions_to_the_same_rollups(spark, scratch):
+    from conftest import SMOKE_DIR
+    from unitmart.plans.refresh import refresh
+    a = refresh(spark, SMOKE_DIR, f"{scratch}/p", mart_names=("sales_mart", "finance_mart"))
+    b = refresh(spark, SMOKE_DIR, f"{scratch}/i", mart_names=("sales_mart", "finance_mart"),
+                layout="isolated")
+    for name in ("bu_sales_performance", "bu_finance_performance"):
+        assert rows(spark.read.parquet(a[name])) == rows(spark.read.parquet(b[name]))
+    assert spark.read.parquet(b["bu_06.sales_mart"]).select("bu_id").distinct().collect()[0][0] == "bu_06"

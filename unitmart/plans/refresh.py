@@ -31,8 +31,17 @@ ROLLUPS = {
 
 def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] = BUSINESS_UNITS,
             mart_names: Sequence[str] = tuple(MART_INPUTS), prefix: str = "",
-            rollups: bool = True) -> dict[str, str]:
-    """Rebuild the given marts (and the silver tables they need) for ``units``."""
+            rollups: bool = True, layout: str = "partitioned") -> dict[str, str]:
+    """Rebuild the given marts (and the silver tables they need) for ``units``.
+
+    ``layout="partitioned"``: one table per mart, a ``bu_id=`` partition per
+    unit. ``layout="isolated"``: every unit's gold marts under its own
+    location ``{base}/{prefix}{unit}/gold/{mart}`` (a unit can be handed over
+    as a directory); the enterprise roll-up then unions the unit marts by
+    name.
+    """
+    if layout == "isolated":
+        return _refresh_isolated(spark, sf_dir, base, units, mart_names, prefix, rollups)
     paths: dict[str, str] = {}
     needed = sorted({obj for m in mart_names for obj in MART_INPUTS[m]})
     for obj in needed:
@@ -53,3 +62,23 @@ def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] =
                 paths[name] = table_path(base, "enterprise", name, prefix)
                 materialize(fn(read_table(spark, paths[mart])), paths[name])
     return paths
+
+
+def _refresh_isolated(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str],
+                      mart_names: Sequence[str], prefix: str, rollups: bool) -> dict[str, str]:
+    shared = refresh(spark, sf_dir, base, units, mart_names, prefix, rollups=False)
+    paths = {k: v for k, v in shared.items() if k not in MART_INPUTS}
+    for m in mart_names:
+        mart = read_table(spark, shared[m])
+        for unit in units:
+            unit_path = table_path(f"{base}/{prefix}{unit}", "gold", m)
+            # one unit's partition, written where only that unit's readers look
+            mart.filter(mart["bu_id"] == unit).write.mode("overwrite").parquet(unit_path)
+            paths[f"{unit}.{m}"] = unit_path
+    if rollups:
+        for name, (mart, fn) in ROLLUPS.items():
+            if mart in mart_names:
+                unit_marts = [spark.read.parquet(paths[f"{u}.{mart}"]) for u in units]
+                paths[name] = table_path(base, "enterprise", name, prefix)
+                materialize(fn(enterprise.union_units(unit_marts)), paths[name])
+    return paths
