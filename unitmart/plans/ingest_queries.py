@@ -31,7 +31,9 @@ OUT_OF_ORDER_BATCHES = 4
 # State buckets: size each at a few hundred MB of state at scale; the events
 # state is one row per user here.
 EVENT_STATE_BUCKETS = 8
-MALFORMED_EVERY = 50  # every 50th contact carries an unparseable instant (dq_drop binding)
+# dq_drop binding: contact changes derived from error events arrive with an
+# unparseable timestamp text.
+MALFORMED_STAGE = "error"
 
 
 def _stage_fn(feed: DataFrame, obj: str | None = None, sequence: str = "updated_at"):
@@ -121,7 +123,7 @@ def q_dq_drop(spark, sf_dir):
     """Contacts whose instant text is malformed are dropped (and counted)."""
     root = scratch_path(spark, "dq_drop")
     feed = binding.contacts(spark, sf_dir)
-    text = F.when(F.col("contact_id") % MALFORMED_EVERY == 0, F.lit("not-a-timestamp")) \
+    text = F.when(F.col("lifecycle_stage") == MALFORMED_STAGE, F.lit("not-a-timestamp")) \
         .otherwise(F.date_format("updated_at", JSON_OPTIONS["timestampNTZFormat"]))
     write_landing(feed.withColumn("updated_at", text), f"{root}/landing/batch=0")
     staged = stage(read_landing(spark, f"{root}/landing"), landing_schema(feed.schema))

@@ -273,7 +273,8 @@ from ({FEEDS['gl_invoices']}) f"""
     q["replay_idempotent"] = (f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f "
                               f"where updated_at > timestamp '2024-01-15 00:00:00'")
     q["landing_roundtrip"] = f"select {deal_cols} from ({FEEDS['deals']}) f"
-    q["dq_drop"] = f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f where contact_id % 50 <> 0"
+    q["dq_drop"] = (f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f "
+                    f"where lifecycle_stage <> 'error'")
     q["scd1_out_of_order"] = ORACLE_SQL["scd1_events"]
     q["divest_manifest"] = with_silver("deals", "gl_invoices", "cost_centers", "vendors") + f"""
 select 'deals' as table_name, count(*) as row_count, cast(sum(amount) as double) as amount_total,
