@@ -107,3 +107,20 @@ def test_object_without_landed_files_yields_empty_silver(spark, scratch):
     tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)}, buckets=2)
     view = silver_view(tables["contacts"], feed.schema)
     assert view.count() == 0 and view.columns == feed.columns
+
+
+def test_streamed_run_of_all_objects_equals_batch_gold(spark, scratch):
+    from conftest import SMOKE_DIR
+    from unitmart.operators.marts import report
+    from unitmart.plans import gold
+    from unitmart.plans.lakehouse import run_all
+    from unitmart.sources.binding import ENTITIES
+
+    paths = run_all(spark, {obj: fn(spark, SMOKE_DIR) for obj, fn in ENTITIES.items()}, scratch,
+                    buckets=4)
+    for name, batch in (("sales_mart", gold.sales_mart), ("finance_mart", gold.finance_mart),
+                        ("customer_mart", gold.customer_mart)):
+        streamed = report(spark.read.parquet(paths[name]))
+        expected = report(batch(spark, SMOKE_DIR))
+        assert rows(streamed.select(*expected.columns)) == rows(expected), name
+    assert spark.read.parquet(paths["bu_finance_performance"]).count() == 6
