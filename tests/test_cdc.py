@@ -102,3 +102,10 @@ def test_result_independent_of_arrival_order_and_batching(spark):
         for b in batches[1:]:
             state = apply_changes(state, feed(spark, b), ["k"])
         assert rows(live(state)) == expected, f"trial {trial}"
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_remaining_columns_close_the_order(spark, method):
+    # equal sequence (null), not deletes, equal payload: the raw flag decides (0 > null)
+    df = feed(spark, [("a", None, None, None), ("a", None, None, 0)])
+    assert rows(latest_per_key(df, ["k"], method=method)) == [("a", None, None, 0)]

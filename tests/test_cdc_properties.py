@@ -20,10 +20,12 @@ change = st.tuples(
 
 
 def brute_force(feed):
-    """Per key the greatest (sequence, is-delete, payload), nulls lowest; drop deletes."""
+    """Per key the greatest (sequence, is-delete, then the remaining columns in
+    column order: payload ``v``, raw flag), nulls lowest; drop deletes."""
     best = {}
     for k, v, t, d in feed:
-        rank = (t is not None, t if t is not None else -1, d == 1, v is not None, v or "")
+        rank = (t is not None, t if t is not None else -1, d == 1, v is not None, v or "",
+                d is not None, d if d is not None else -1)
         if k not in best or rank > best[k][0]:
             best[k] = (rank, (k, v, None if t is None else BASE + datetime.timedelta(minutes=t), d))
     return sorted((r for rank, r in best.values() if not rank[2]), key=repr)
