@@ -195,3 +195,18 @@ def q_streamed_customer_mart(spark, sf_dir):
     tables = stream_objects(spark, root, {obj: ("crm", f.schema) for obj, f in feeds.items()})
     views = {obj: silver_view(tables[obj], feeds[obj].schema) for obj in feeds}
     return marts.customer_mart(views["companies"], views["contacts"], views["deals"])
+
+
+@register("streamed_finance_mart")
+def q_streamed_finance_mart(spark, sf_dir):
+    """Invoice changes and cost centres (shared rows re-homed in staging)
+    ingested, streamed through bronze and the tenant-keyed silver state, then
+    the finance mart from the state views (must equal the batch mart)."""
+    from .stream_refresh import silver_view, stream_objects
+    root = scratch_path(spark, "streamed_finance_mart")
+    feeds = {obj: binding.ENTITIES[obj](spark, sf_dir) for obj in ("gl_invoices", "cost_centers")}
+    for obj, feed in feeds.items():
+        ingest(spark, feed, "erp", obj, f"{root}/landing", f"{root}/audit")
+    tables = stream_objects(spark, root, {obj: ("erp", f.schema) for obj, f in feeds.items()})
+    views = {obj: silver_view(tables[obj], feeds[obj].schema) for obj in feeds}
+    return marts.finance_mart(views["gl_invoices"], views["cost_centers"])

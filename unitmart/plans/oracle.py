@@ -295,3 +295,4 @@ from ({SALES_MART}) m where bu_id = 'bu_06'"""
 ORACLE_SQL.update(_sql_wave3())
 ORACLE_SQL["mart_refresh"] = ORACLE_SQL["sales_mart"]
 ORACLE_SQL["streamed_customer_mart"] = ORACLE_SQL["customer_mart"]
+ORACLE_SQL["streamed_finance_mart"] = ORACLE_SQL["finance_mart"]
