@@ -14,8 +14,9 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8, app_name="unitmart-tests")
+def spark(tmp_path_factory):
+    s = build_session(master="local[4]", shuffle_partitions=8, app_name="unitmart-tests",
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})
     yield s
     s.stop()
 

@@ -1,14 +1,13 @@
 """Session settings and the shared scratch location.
 
 Intermediate tables (landing files, bronze, CDC state, stream checkpoints,
-hand-over packages) live under the cluster's shared ``spark.checkpoint.dir``.
-The session's value is always used; only when it is unset (a bare local test
-session) is a private directory created and registered.
+hand-over packages) live under the cluster's shared ``spark.checkpoint.dir``,
+or the checkpoint directory set on the context. There is no default: a folder
+that only one machine sees would make later reads incomplete.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,10 +47,7 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Unset only in bare test sessions: register a private one.
-        root = tempfile.mkdtemp(prefix="unitmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
@@ -70,8 +66,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         try:
             spark.read.format("binaryFile").load(path).limit(0).collect()
             return True
-        except AnalysisException:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise  # not allowed to look, or the like: never "absent"
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))
 
