@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op6_bpe
 from .language_id import op7_language_id
 from .packing import op4_packing
+from .syncmers import op8_syncmers
 from .token_files import op3_token_files
 from .toxicity import op5_toxicity
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
+    "op8_syncmers": op8_syncmers,
 }
 
 ORACLE_SQL: dict[str, str] = {}
