@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_bpe
+from .html_text import op9_html_text
 from .language_id import op7_language_id
 from .packing import op4_packing
 from .syncmers import op8_syncmers
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
     "op8_syncmers": op8_syncmers,
+    "op9_html_text": op9_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
