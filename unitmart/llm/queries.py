@@ -10,11 +10,13 @@ from .bpe import op6_bpe
 from .html_text import op9_html_text
 from .language_id import op7_language_id
 from .packing import op4_packing
+from .quality_rules import op1_quality_rules
 from .syncmers import op8_syncmers
 from .token_files import op3_token_files
 from .toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
