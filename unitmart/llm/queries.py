@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op6_bpe
 from .html_text import op9_html_text
 from .language_id import op7_language_id
+from .near_dedup import op10_near_dedup
 from .packing import op4_packing
 from .quality_rules import op1_quality_rules
 from .syncmers import op8_syncmers
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_syncmers": op8_syncmers,
     "op9_html_text": op9_html_text,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
