@@ -12,12 +12,14 @@ from .language_id import op7_language_id
 from .near_dedup import op10_near_dedup
 from .packing import op4_packing
 from .quality_rules import op1_quality_rules
+from .substring_dedup import op2_substring_dedup
 from .syncmers import op8_syncmers
 from .token_files import op3_token_files
 from .toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
