@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +105,16 @@ def sketches(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys, size
 
 
+def node_of(text: str):
+    """The node of a text column."""
+
+    @F.pandas_udf("binary")
+    def nodes(texts: pd.Series) -> pd.Series:
+        return texts.map(digest, na_action=None)
+
+    return nodes(F.coalesce(text, F.lit("")))
+
+
 def sketch_table(df: DataFrame, key: str, text: str) -> DataFrame:
     """(id, node, n, keys) of every row."""
     src = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))

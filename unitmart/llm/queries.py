@@ -17,6 +17,15 @@ from .syncmers import op8_syncmers
 from .token_files import op3_token_files
 from .toxicity import op5_toxicity
 
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline.py`` at the repository top."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -28,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_syncmers": op8_syncmers,
     "op9_html_text": op9_html_text,
     "op10_near_dedup": op10_near_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {}

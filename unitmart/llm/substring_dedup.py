@@ -275,28 +275,37 @@ def removed_words(n: int, windows: list[int] | None) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: its id, n_words, n_removed, kept (the kept words,
-    joined by one space) and cut (whether any word was removed)."""
-    marked = repeated_windows(df, key, text)
-    rows = _source(df, key, text).join(marked, ["id", "tie"], "left").select("id", "text", "windows")
+def cut_text(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
+    """One row per input row: the ``keep`` columns, n_words, n_removed and kept
+    (the kept words, joined by one space)."""
+    marked = repeated_windows(df, key, text).select(
+        F.col("id").alias("_id"), F.col("tie").alias("_tie"), F.col("windows").alias("_windows"))
+    rows = df.select(*keep, F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
+    kept_schema = rows.drop("_key", "_text").schema
+    rows = (rows.withColumn("_tied", F.xxhash64(F.coalesce("_text", F.lit(""))))
+            .join(marked, (F.col("_key") == F.col("_id")) & (F.col("_tied") == F.col("_tie")), "left")
+            .select(*keep, "_text", "_windows"))
 
     def run(batch: pa.RecordBatch):
-        for part in slices(batch, "text"):
+        for part in slices(batch, batch.num_columns - 2):
+            texts, windows = part.column(part.num_columns - 2).to_pylist(), part.column(part.num_columns - 1)
             n_words, n_removed, kept = [], [], []
-            for t, windows in zip(part.column("text").to_pylist(), part.column("windows")):
+            for t, own in zip(texts, windows):
                 words = (t or "").encode().split()
-                gone = removed_words(len(words), windows.values if windows.is_valid else None)
+                gone = removed_words(len(words), np.asarray(own.values) if own.is_valid else None)
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
-                kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if n_removed[-1] else words).decode())
+                if n_removed[-1]:
+                    words = [w for w, g in zip(words, gone.tolist()) if not g]
+                kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept)],
-                names=["id", "n_words", "n_removed", "kept"])
+                [*part.columns[:-2], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                names=[*part.schema.names[:-2], "n_words", "n_removed", "kept"])
 
-    return map_arrow(rows, run, "id bigint, n_words bigint, n_removed bigint, kept string").withColumnRenamed("id", key)
+    kept_ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept_schema)
+    return map_arrow(rows, run, f"{kept_ddl}n_words bigint, n_removed bigint, kept string")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(documents(spark, sf_dir)).select(
+    return cut_text(documents(spark, sf_dir), "doc_id", "text", "doc_id").select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
