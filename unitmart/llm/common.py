@@ -20,7 +20,7 @@ from ..session import scratch_path
 # live at once, so a pass stays within some tens of MB.
 PASS_BYTES = 1 << 20
 # Text in one Arrow batch sent to a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 # words are runs of anything but space, \t, \n, \v, \f, \r
 WORD_BREAK = r"[\x20\x09-\x0D]+"
