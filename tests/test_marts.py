@@ -93,7 +93,7 @@ def test_entitlements_per_persona(spark):
                                  "bu_id string, business_group string, deal_count long")
     policy = governance.entitlements_frame(spark, [("ceo", None, None), ("bu2", "bu_02", None),
                                                    ("online", None, "bg_online")])
-    out = rows(governance.entitled_rows(mart, policy, policy_rows=3), "persona", "deal_count")
+    out = rows(governance.entitled_rows(mart, policy), "persona", "deal_count")
     assert out == [("bu2", 2), ("bu2", 3), ("ceo", 1), ("ceo", 2), ("ceo", 3), ("online", 2)]
     assert rows(governance.visible_to_persona(mart, policy, "online"), "deal_count") == [(2,)]
 

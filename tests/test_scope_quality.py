@@ -7,9 +7,14 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import rows
+from unitmart.operators import governance
 from unitmart.operators.quality import duplicate_keys, expect_or_drop, expect_or_fail
 from unitmart.operators.scope import expand_shared, scope_for_unit
+from unitmart.plans.catalog import QUERIES
 from unitmart.plans.silver import to_silver
+from unitmart.sources import binding
+from unitmart.sources.landing import landing_schema, read_landing, write_landing
+from unitmart.streaming.staging import stage
 
 DIM = "cc_key string, bu_id string, shared_with string, business_group string, is_deleted int, t string"
 
@@ -86,9 +91,48 @@ def test_revoke_turns_lost_entitlement_into_delete(spark):
     assert revoked == [("bu_02",)]
 
 
-def test_scale_settings_width():
-    from unitmart.session import scale_settings
-    s = scale_settings(60 << 40, 8000)  # 60 TB shuffle, 1000 executors x 8 cores
-    assert int(s["spark.sql.shuffle.partitions"]) == 100_000  # capped
-    assert scale_settings(4 << 40, 8000)["spark.sql.shuffle.partitions"] == "16384"
-    assert scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+DEAL = "deal_id long, bu_id string, stage string, amount decimal(18,2), t string, is_deleted int"
+
+
+def flawed(spark, *extra):
+    data = [(1, None, "won", None, "2024-01-01 00:00:00", 0), (2, "bu_09", "won", None, "2024-01-01 00:00:00", 0),
+            (3, "bu_01", "won", None, None, 0), (4, "bu_01", "won", None, "2024-01-01 00:00:00", 0), *extra]
+    return spark.createDataFrame(data, DEAL).withColumn("updated_at", F.col("t").cast("timestamp_ntz")).drop("t")
+
+
+def test_batch_and_streaming_admit_the_same_rows(spark, scratch):
+    feed = flawed(spark)
+    assert rows(to_silver(feed, "deals"), "deal_id") == [(4,)]
+    write_landing(feed, f"{scratch}/landing/batch=0")
+    obs = Observation("gate")
+    staged = stage(read_landing(spark, f"{scratch}/landing"), landing_schema(feed.schema), observation=obs)
+    assert rows(staged, "deal_id") == [(4,)]
+    seen = obs.get
+    assert (seen["seen"], seen["unconfigured_unit"], seen["dropped_valid_updated_at"]) == (4, 2, 1)
+
+
+def test_shared_row_of_an_unshared_object_fails_both_paths(spark, scratch):
+    feed = flawed(spark, (5, "SHARED", "won", None, "2024-01-01 00:00:00", 0))
+    with pytest.raises(Exception, match="valid_bu"):
+        to_silver(feed, "deals").collect()
+    write_landing(feed, f"{scratch}/landing/batch=0")
+    with pytest.raises(Exception, match="valid_bu"):
+        stage(read_landing(spark, f"{scratch}/landing"), landing_schema(feed.schema)).collect()
+
+
+@pytest.mark.parametrize("unit", [None, "garbage"])
+def test_registered_gate_raises_on_incoming_rows(spark, monkeypatch, unit):
+    bad = dim(spark, [("CC-1", unit, None, "secret", 0, "2024-01-01 00:00:00")])
+    monkeypatch.setattr(binding, "cost_centers", lambda spark, sf_dir: bad)
+    with pytest.raises(Exception, match="valid_bu") as e:
+        QUERIES["dq_fail_gate"](spark, "").collect()
+    assert "CC-1" in str(e.value) and "secret" not in str(e.value)
+
+
+def test_overlapping_policies_give_one_row(spark):
+    mart = spark.createDataFrame([("bu_02", "g", 1), ("bu_02", "g", 1), ("bu_07", None, 2)], "bu_id string, business_group string, n int")
+    policy = governance.entitlements_frame(spark, [("p", "bu_02", None), ("p", None, "g"), ("p", "bu_02", "g"),
+                                                   ("all", None, None), ("none", "bu_01", None)])
+    assert rows(governance.visible_to_persona(mart, policy, "p")) == [("bu_02", "g", 1)] * 2
+    assert rows(governance.visible_to_persona(mart, policy, "all")) == rows(mart)
+    assert governance.visible_to_persona(mart, policy, "none").count() == 0

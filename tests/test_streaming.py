@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from unitmart.operators.cdc import latest_per_key
+from unitmart.session import path_exists
 from unitmart.sources.landing import landing_schema, write_landing
 from unitmart.streaming.flows import run_bronze, run_silver
 from unitmart.streaming.staging import stage
-from unitmart.streaming.state import KeyedStateTable
+from unitmart.streaming.state import ChangeTable
 
 
 def changes(spark, data):
@@ -22,16 +23,31 @@ def test_state_table_batches_equal_one_shot(spark, scratch):
     b2 = [(1, "old", "2024-01-01 00:00:00", 0), (2, "del", "2024-01-06 00:00:00", 1),
           (3, "c", "2024-01-02 00:00:00", 0)]
     b3 = [(2, "stale", "2024-01-03 00:00:00", 0), (3, "c2", "2024-01-03 00:00:00", 0)]
-    table = KeyedStateTable(spark, scratch, ["k"], buckets=4)
-    for version, b in enumerate([b1, b2, b3]):
-        table.merge(changes(spark, b), version)
     one_shot = latest_per_key(changes(spark, b1 + b2 + b3), ["k"])
-    assert rows(table.view()) == rows(one_shot) == [(1, "a", _ts("2024-01-05"), 0),
-                                                    (3, "c2", _ts("2024-01-03"), 0)]
-    # a retried batch whose manifest is already published is a no-op
-    table.merge(changes(spark, [(9, "x", "2024-02-01 00:00:00", 0)]), 2)
-    assert table.view().count() == 2
-    assert table.state().filter("_deleted").count() == 1  # tombstone kept
+    want = [(1, "a", _ts("2024-01-05"), 0), (3, "c2", _ts("2024-01-03"), 0)]
+    assert rows(one_shot) == want
+    for compact_after in (None, 0, 1, 2):
+        table = ChangeTable(spark, f"{scratch}/{compact_after}", ["k"])
+        for batch, b in enumerate([b1, b2, b3]):
+            table.append(changes(spark, b), batch)
+            table.append(changes(spark, b), batch)  # a retried batch replaces itself
+            if batch == compact_after:
+                table.compact()
+                table.compact()  # nothing new: no change
+                table.append(changes(spark, [(9, "x", "2024-02-01 00:00:00", 0)]), batch)  # held by the snapshot
+        assert rows(table.view()) == want
+        assert table.state().filter("_deleted").count() == 1  # tombstone kept
+
+
+def test_compaction_removes_what_it_supersedes(spark, scratch):
+    table = ChangeTable(spark, scratch, ["k"])
+    assert table.view() is None and table.compact() is None
+    for batch in range(3):
+        table.append(changes(spark, [(batch, "v", "2024-01-01 00:00:00", 0)]), batch)
+        table.compact()
+    assert table.pointer() == (2, 2) and table.view().count() == 3
+    assert not path_exists(spark, f"{scratch}/snapshots/n=1") and path_exists(spark, f"{scratch}/snapshots/n=2")
+    assert not path_exists(spark, f"{scratch}/changes/_batch=2")
 
 
 def _ts(day):
@@ -42,7 +58,7 @@ def _ts(day):
 def test_triggered_streams_take_each_file_once(spark, scratch):
     feed = changes(spark, [(1, "a", "2024-01-01 00:00:00", 0), (2, "b", "2024-01-01 00:00:00", 0)])
     later = changes(spark, [(1, "a2", "2024-01-02 00:00:00", 0), (2, "b", "2024-01-03 00:00:00", 1)])
-    table = KeyedStateTable(spark, f"{scratch}/state", ["k"], buckets=2)
+    table = ChangeTable(spark, f"{scratch}/state", ["k"])
     schema = landing_schema(feed.schema)
 
     def run():
@@ -61,13 +77,13 @@ def test_triggered_streams_take_each_file_once(spark, scratch):
     assert spark.read.parquet(f"{scratch}/bronze").count() == 4
 
 
-def test_tombstones_expire_by_event_time(spark, scratch):
-    table = KeyedStateTable(spark, scratch, ["k"], buckets=1, tombstone_retention_seconds=86400)
-    table.merge(changes(spark, [(1, "a", "2024-01-01 00:00:00", 0)]), 0)
-    table.merge(changes(spark, [(1, "a", "2024-01-02 00:00:00", 1)]), 1)
-    assert table.state().filter("_deleted").count() == 1  # within retention
-    table.merge(changes(spark, [(2, "b", "2024-01-10 00:00:00", 0)]), 2)
-    assert table.state().filter("_deleted").count() == 0  # expired when its bucket was rewritten
+def test_a_late_older_change_never_revives_a_key(spark, scratch):
+    table = ChangeTable(spark, scratch, ["k"])
+    table.append(changes(spark, [(1, "a", "2024-01-02 00:00:00", 1)]), 0)
+    table.compact()
+    table.append(changes(spark, [(2, "b", "2024-09-01 00:00:00", 0)]), 1)
+    table.compact()
+    table.append(changes(spark, [(1, "a", "2024-01-01 00:00:00", 0)]), 2)
     assert rows(table.view(), "k") == [(2,)]
 
 
@@ -80,7 +96,7 @@ def test_streamed_shared_dimension_equals_batch_silver(spark, scratch):
 
     feed = binding.cost_centers(spark, SMOKE_DIR)
     ingest(spark, feed, "erp", "cost_centers", f"{scratch}/landing", f"{scratch}/audit")
-    table = stream_object(spark, scratch, "erp", "cost_centers", feed.schema, buckets=4)
+    table = stream_object(spark, scratch, "erp", "cost_centers", feed.schema)
     streamed = silver_view(table, feed.schema)
     assert rows(streamed) == rows(silver(spark, SMOKE_DIR, "cost_centers"))
     assert streamed.filter("bu_id = 'SHARED'").count() == 0
@@ -94,7 +110,7 @@ def test_malformed_landed_file_goes_to_quarantine(spark, scratch):
     write_landing(feed, f"{scratch}/landing/crm/contacts/batch=good")
     spark.createDataFrame([("{not json",)], "value string").coalesce(1).write.text(
         f"{scratch}/landing/crm/contacts/batch=bad/tenant=bu_01")
-    tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)}, buckets=2,
+    tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)},
                             keep_quarantine=True)
     assert rows(silver_view(tables["contacts"], feed.schema), "contact_id") == [(1,)]
     q = spark.read.parquet(f"{scratch}/quarantine/contacts").collect()
@@ -104,7 +120,7 @@ def test_malformed_landed_file_goes_to_quarantine(spark, scratch):
 def test_object_without_landed_files_yields_empty_silver(spark, scratch):
     from unitmart.plans.stream_refresh import silver_view, stream_objects
     feed = changes(spark, [(1, "a", "2024-01-01 00:00:00", 0)])
-    tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)}, buckets=2)
+    tables = stream_objects(spark, scratch, {"contacts": ("crm", feed.schema)})
     view = silver_view(tables["contacts"], feed.schema)
     assert view.count() == 0 and view.columns == feed.columns
 
@@ -116,8 +132,7 @@ def test_streamed_run_of_all_objects_equals_batch_gold(spark, scratch):
     from unitmart.plans.lakehouse import run_all
     from unitmart.sources.binding import ENTITIES
 
-    paths = run_all(spark, {obj: fn(spark, SMOKE_DIR) for obj, fn in ENTITIES.items()}, scratch,
-                    buckets=4)
+    paths = run_all(spark, {obj: fn(spark, SMOKE_DIR) for obj, fn in ENTITIES.items()}, scratch)
     for name, batch in (("sales_mart", gold.sales_mart), ("finance_mart", gold.finance_mart),
                         ("customer_mart", gold.customer_mart)):
         streamed = report(spark.read.parquet(paths[name]))

@@ -1,11 +1,13 @@
 """Content-addressed batch ids.
 
-A batch id depends only on (object, previous watermark, multiset of rows):
-each row is hashed with ``xxhash64`` over its columns in name order, the
-hashes are summed exactly as ``decimal(38,0)`` (a plain long sum overflows
-under ANSI; XOR would cancel duplicate rows) and the count is added. The sum
-is a partial aggregate, so the id costs one pass with no shuffle of rows and
-is the same after any repartitioning or reordering.
+A batch's digest depends only on (object, previous watermark, multiset of
+rows). Each row is hashed over its columns in name order, every value with its
+column's name and a null marker (the hash functions skip nulls, so without
+them a value could move between nullable columns unseen). Two hashes with
+different seeds are summed exactly as ``decimal(38,0)`` (a plain long sum
+overflows under ANSI; XOR would cancel duplicate rows) beside the row count:
+partial aggregates, one pass, the same after any repartitioning or reordering.
+The batch id is the digest's first characters.
 """
 
 from __future__ import annotations
@@ -14,28 +16,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ID_LENGTH = 16
+DIGESTS = ("_digest_a", "_digest_b")
 
 
-def row_hash(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
-    cols = sorted(c for c in df.columns if c not in exclude)
-    return F.xxhash64(*[F.col(c) for c in cols])
+def row_hash(df: DataFrame, exclude: tuple[str, ...] = (), seed: str = "") -> Column:
+    parts = [F.lit(seed)]
+    for c in sorted(c for c in df.columns if c not in exclude):
+        parts += [F.lit(c), F.col(c).isNull(), F.col(c)]
+    return F.xxhash64(*parts)
 
 
 def digest_aggs(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[Column]:
-    return [
-        F.sum(row_hash(df, exclude).cast("decimal(38,0)")).alias("_hash_sum"),
-        F.count(F.lit(1)).alias("_rows"),
-    ]
+    return [F.sum(row_hash(df, exclude, d).cast("decimal(38,0)")).alias(d) for d in DIGESTS] + [
+        F.count(F.lit(1)).alias("_rows")]
 
 
-def batch_id(object_name: str, watermark_before: str | None,
-             hash_sum: Column | None = None, rows: Column | None = None) -> Column:
-    hash_sum = F.col("_hash_sum") if hash_sum is None else hash_sum
-    rows = F.col("_rows") if rows is None else rows
+def content_digest(object_name: str, watermark_before: str | None) -> Column:
+    """Hex digest of an aggregate with ``digest_aggs``."""
     text = F.concat_ws(
         "|", F.lit(object_name), F.lit(watermark_before if watermark_before is not None else "None"),
-        F.coalesce(hash_sum.cast("string"), F.lit("0")), rows.cast("string"))
-    return F.substring(F.sha2(text, 256), 1, ID_LENGTH)
+        *[F.coalesce(F.col(d).cast("string"), F.lit("0")) for d in DIGESTS], F.col("_rows").cast("string"))
+    return F.sha2(text, 256)
+
+
+def batch_id(object_name: str, watermark_before: str | None) -> Column:
+    return F.substring(content_digest(object_name, watermark_before), 1, ID_LENGTH)
 
 
 def content_id(df: DataFrame, object_name: str, watermark_before: str | None) -> DataFrame:

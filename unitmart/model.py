@@ -120,4 +120,5 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("watermark_before", T.TimestampNTZType()),
     T.StructField("watermark_after", T.TimestampNTZType()),
     T.StructField("status", S),
+    T.StructField("content_digest", S),
 ])

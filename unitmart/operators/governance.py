@@ -1,8 +1,8 @@
 """Row entitlements and divestiture of a business unit.
 
 Entitlements are a policy table ``(persona, bu_id, business_group)`` where a
-null means "all". Null units are expanded over the configured units, so the
-visibility test is an equi-join on ``bu_id`` with a residual group test.
+null means "all". A persona sees a row once, however many of its policies
+allow it.
 """
 
 from __future__ import annotations
@@ -12,46 +12,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import BUSINESS_UNITS
-
 ENTITLEMENT_SCHEMA = "persona string, bu_id string, business_group string"
-# Policies handed over as a driver-side list are broadcast only up to this many
-# rows; a larger policy goes through a normal (AQE-planned) join.
-MAX_BROADCAST_POLICY_ROWS = 10_000
+ALL_UNITS = "*"
 
 
 def entitlements_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), ENTITLEMENT_SCHEMA)
 
 
-def _expanded(policy: DataFrame, units: Sequence[str]) -> DataFrame:
-    unit = F.col("bu_id")
-    all_units = F.array(*[F.lit(u) for u in units])
-    return policy.select(
-        "persona",
-        F.explode(F.when(unit.isNull(), all_units).otherwise(F.array(unit))).alias("_unit"),
-        F.col("business_group").alias("_group"),
-    )
-
+def entitled_rows(mart: DataFrame, policy: DataFrame) -> DataFrame:
+    """Mart rows per persona allowed to see them (persona column added).
 
-def entitled_rows(mart: DataFrame, policy: DataFrame, units: Sequence[str] = BUSINESS_UNITS,
-                  policy_rows: int | None = None) -> DataFrame:
-    """Mart rows per persona allowed to see them (persona column added)."""
-    ent = _expanded(policy, units)
-    if policy_rows is not None and policy_rows * len(units) <= MAX_BROADCAST_POLICY_ROWS:
-        ent = F.broadcast(ent)
-    cond = (F.col("bu_id") == F.col("_unit")) & (
-        F.col("_group").isNull() | (F.col("_group") == F.col("business_group")))
-    return mart.join(ent, cond, "inner").drop("_unit", "_group")
+    Every row looks up its own unit and "all units": an equi-join whatever the
+    units are. A policy for all groups of a unit makes the others of that unit
+    redundant; what still overlaps is one row per persona and mart row.
+    """
+    rules = policy.select(
+        "persona", F.coalesce("bu_id", F.lit(ALL_UNITS)).alias("_unit"), F.col("business_group").alias("_group"))
+    rules = rules.groupBy("persona", "_unit").agg(
+        F.max(F.col("_group").isNull()).alias("_every"), F.collect_set("_group").alias("_groups"))
+    keyed = mart.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "_unit", F.explode(F.array_compact(F.array("bu_id", F.lit(ALL_UNITS)))))
+    allowed = F.col("_every") | F.coalesce(F.array_contains("_groups", F.col("business_group")), F.lit(False))
+    return (keyed.join(rules, "_unit").filter(allowed).dropDuplicates(["persona", "_row"])
+            .select(*mart.columns, "persona"))
 
 
-def visible_to_persona(mart: DataFrame, policy: DataFrame, persona: str,
-                       units: Sequence[str] = BUSINESS_UNITS) -> DataFrame:
-    """One persona's view: left-semi join, the mart's columns only."""
-    ent = _expanded(policy.filter(F.col("persona") == persona), units)
-    cond = (F.col("bu_id") == F.col("_unit")) & (
-        F.col("_group").isNull() | (F.col("_group") == F.col("business_group")))
-    return mart.join(ent, cond, "left_semi")
+def visible_to_persona(mart: DataFrame, policy: DataFrame, persona: str) -> DataFrame:
+    """One persona's view: the mart's columns only."""
+    return entitled_rows(mart, policy.filter(F.col("persona") == persona)).drop("persona")
 
 
 def divest(df: DataFrame, units: Sequence[str], bu_col: str = "bu_id") -> tuple[DataFrame, DataFrame]:
@@ -91,7 +80,7 @@ def handover_package(spark: SparkSession, path: str,
     """
     from pyspark.sql import Observation
 
-    from ..functions.hashing import batch_id, digest_aggs
+    from ..functions.hashing import DIGESTS, batch_id, digest_aggs
 
     parts = []
     for name, (df, amount) in tables.items():
@@ -104,10 +93,8 @@ def handover_package(spark: SparkSession, path: str,
             F.lit(name).alias("table_name"),
             F.col("_rows").alias("row_count"),
             "amount_total",
-            ((F.col("_rows") == F.lit(seen["_rows"]))
-             & F.coalesce(F.col("_hash_sum") == F.lit(seen["_hash_sum"]),
-                          F.col("_hash_sum").isNull() & F.lit(seen["_hash_sum"] is None))
-             ).alias("id_verified"),
+            F.forall(F.array(*[F.col(c).eqNullSafe(F.lit(seen[c])) for c in ("_rows", *DIGESTS)]),
+                     lambda same: same).alias("id_verified"),
             batch_id(name, None).alias("content_id"),
         ))
     manifest = parts[0]

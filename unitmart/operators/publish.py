@@ -1,16 +1,19 @@
 """Materialised tables: one directory per (layer, table), partitioned by unit.
 
 Tenant isolation is a partition directory (``bu_id=…``), so a unit's reader
-prunes to its own files. Re-publishing a subset of units uses dynamic
-partition overwrite: only the partitions present in the new data are
-replaced, the other units' files stay untouched.
+prunes to its own files. A full publish replaces the whole table. Publishing
+named units replaces exactly theirs: a named unit that has no rows any more
+loses its partition, the other units' files stay untouched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import remove_path
 
 
 def table_path(base: str, layer: str, name: str, prefix: str = "") -> str:
@@ -18,11 +21,16 @@ def table_path(base: str, layer: str, name: str, prefix: str = "") -> str:
     return f"{base.rstrip('/')}/{prefix}{layer}/{name}"
 
 
-def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ("bu_id",),
-                dynamic: bool = True) -> None:
-    (df.write.mode("overwrite").partitionBy(*partition_by)
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-     .parquet(path))
+def materialize(df: DataFrame, path: str, units: Sequence[str] | None = None) -> None:
+    """``units``: the units that ``df`` is the new content of; None means all."""
+    if units is None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bu_id").parquet(path)
+        return
+    seen = Observation()
+    rows = df.filter(F.col("bu_id").isin(list(units))).observe(seen, F.collect_set("bu_id").alias("units"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bu_id").parquet(path))
+    for unit in set(units) - set(seen.get["units"] or []):  # at most the named units
+        remove_path(df.sparkSession, f"{path}/bu_id={unit}")
 
 
 def read_table(spark: SparkSession, path: str, units: Sequence[str] | None = None) -> DataFrame:

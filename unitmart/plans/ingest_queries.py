@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import batch_id, digest_aggs
-from ..model import OBJECTS
+from ..model import MONEY, OBJECTS, SHARED_BU
 from ..operators import governance, marts
 from ..session import scratch_path
 from ..sources import binding
@@ -20,17 +20,17 @@ from ..sources.landing import (JSON_OPTIONS, TENANT, instant_columns, landing_sc
                                parse_landing, read_landing, write_landing)
 from ..streaming.flows import run_bronze, run_silver, run_staging_to_table
 from ..streaming.staging import stage
-from ..streaming.state import KeyedStateTable
+from ..streaming.state import ChangeTable
 from .registry import DIVESTED_UNITS, EXTRACT_WATERMARK, register
 from .silver import to_silver, unit_filter
 
 # Fixed parameters of these queries.
+SWAPPED = {"vendor_key": "cc_key", "cc_key": "vendor_key"}
+LATER_SHARED_WITH = "bu_02|bu_06"  # bu_03 has left the list
+LATER_SHARED_AT = "2024-06-01T00:00:00Z"
 AUDIT_FIRST_RUN_CUTOFF = "2024-01-15T00:00:00Z"
 ROUNDTRIP_RECORDS_PER_FILE = 20_000
 OUT_OF_ORDER_BATCHES = 4
-# State buckets: size each at a few hundred MB of state at scale; the events
-# state is one row per user here.
-EVENT_STATE_BUCKETS = 8
 # dq_drop binding: contact changes derived from error events arrive with an
 # unparseable timestamp text.
 MALFORMED_STAGE = "error"
@@ -40,7 +40,8 @@ def _stage_fn(feed: DataFrame, obj: str | None = None, sequence: str = "updated_
     schema = landing_schema(feed.schema)
     instants = instant_columns(feed.schema) or [sequence]
     shared = bool(obj and OBJECTS[obj].shared)
-    return lambda raw: stage(raw, schema, instants, shared=shared, sequence=sequence)
+    keys = OBJECTS[obj].keys if obj else ()
+    return lambda raw: stage(raw, schema, instants, shared=shared, sequence=sequence, keys=keys)
 
 
 @register("landing_split")
@@ -65,40 +66,53 @@ def q_ingest_audit(spark, sf_dir):
     first = feed.filter(F.col("updated_at") <= instant(AUDIT_FIRST_RUN_CUTOFF))  # feed as of run 1
     ingest(spark, first, "crm", "contacts", land, audit)
     ingest(spark, feed, "crm", "contacts", land, audit)  # run 2 resumes from the stored mark
-    return audit_table(spark, audit).drop("batch_id", "run_timestamp")
+    return audit_table(spark, audit).drop("batch_id", "run_timestamp", "content_digest")
 
 
 @register("batch_id_stable")
 def q_batch_id_stable(spark, sf_dir):
-    """Batch id of the invoice feed equals the id after repartitioning and
-    column/row reordering (both ids from one aggregate over a union; no join)."""
+    """Digests of the invoice feed: the same for the columns in another order,
+    another one when two columns swap their values."""
     feed = binding.gl_invoice_changes(spark, sf_dir)
-    # A different layout of the same rows: round-robin (no key, so no hot
-    # partition) at the session's shuffle width, columns and rows reordered.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shuffled = feed.repartition(width).select(*reversed(feed.columns)) \
-        .sortWithinPartitions(F.col("amount").desc())
-    both = feed.withColumn("_variant", F.lit(0)).unionByName(shuffled.withColumn("_variant", F.lit(1)))
-    per_variant = both.groupBy("_variant").agg(
-        *digest_aggs(feed), F.sum("amount").alias("_amount")
-    ).select("_variant", "_rows", "_amount", batch_id("gl_invoices", None).alias("_id"))
-    return per_variant.agg(
+    moved = feed.select(*[F.col(SWAPPED.get(c, c)).alias(c) for c in feed.columns])
+    variants = [feed, feed.select(*reversed(feed.columns)), moved]
+    digests = [v.agg(*digest_aggs(v), F.sum("amount").alias("_amount")).select(
+        F.lit(i).alias("_variant"), "_rows", "_amount", batch_id("gl_invoices", None).alias("_id"))
+        for i, v in enumerate(variants)]
+    every = digests[0].unionByName(digests[1]).unionByName(digests[2])
+    pick = lambda i, c: F.max(F.when(F.col("_variant") == i, F.col(c)))
+    return every.agg(
         F.lit("gl_invoices").alias("source_object"),
-        F.max(F.when(F.col("_variant") == 0, F.col("_rows"))).alias("records"),
-        F.max(F.when(F.col("_variant") == 0, F.col("_amount"))).alias("total_amount"),
-        (F.count_distinct("_id") == 1).alias("id_stable"),
+        pick(0, "_rows").alias("records"), pick(0, "_amount").alias("total_amount"),
+        ((pick(0, "_id") == pick(1, "_id")) & (pick(0, "_id") != pick(2, "_id"))).alias("id_stable"),
     )
 
 
+@register("moved_null_batches")
+def q_moved_null_batches(spark, sf_dir):
+    """Two batches with one watermark that differ only in which nullable column
+    holds a value: both are landed."""
+    root = scratch_path(spark, "moved_null_batches")
+    feed = binding.deals(spark, sf_dir).select("deal_id", "bu_id", "stage", "updated_at")
+    text, none = F.concat(F.lit("s"), "deal_id"), F.lit(None).cast("string")
+    first = feed.withColumns({"stage": text, "note": none})
+    second = feed.withColumns({"stage": none, "note": text})
+    for batch in (first, second):
+        ingest(spark, batch, "crm", "deals", f"{root}/landing", f"{root}/audit", use_stored_watermark=False)
+    rows = parse_landing(read_landing(spark, f"{root}/landing/crm/deals"), landing_schema(first.schema))
+    return rows.groupBy("bu_id").agg(
+        F.count("stage").alias("with_stage"), F.count("note").alias("with_note"),
+        F.count_distinct("batch").alias("batches"))
+
+
 @register("replay_idempotent")
 def q_replay_idempotent(spark, sf_dir):
-    """Land, crash before the audit, re-run, replay again: one copy is landed."""
+    """Land a batch and replay it twice: one copy is landed."""
     root = scratch_path(spark, "replay_idempotent")
     feed = binding.contacts(spark, sf_dir)
     land, audit = f"{root}/landing", f"{root}/audit"
-    runs = [ingest(spark, feed, "crm", "contacts", land, audit, watermark=EXTRACT_WATERMARK,
-                   write_audit=(i > 0)) for i in range(3)]
-    if len({r.batch_id for r in runs}) != 1 or runs[2].status != "SKIPPED":
+    runs = [ingest(spark, feed, "crm", "contacts", land, audit, watermark=EXTRACT_WATERMARK) for _ in range(3)]
+    if len({r.batch_id for r in runs}) != 1 or [r.status for r in runs[1:]] != ["SKIPPED"] * 2:
         raise RuntimeError(f"replay was not idempotent: {runs}")
     staged = stage(read_landing(spark, f"{land}/crm/contacts"), landing_schema(feed.schema),
                    instant_columns(feed.schema))
@@ -120,7 +134,7 @@ def q_landing_roundtrip(spark, sf_dir):
 
 @register("dq_drop")
 def q_dq_drop(spark, sf_dir):
-    """Contacts whose instant text is malformed are dropped (and counted)."""
+    """Contacts whose instant text is malformed are dropped."""
     root = scratch_path(spark, "dq_drop")
     feed = binding.contacts(spark, sf_dir)
     text = F.when(F.col("lifecycle_stage") == MALFORMED_STAGE, F.lit("not-a-timestamp")) \
@@ -140,15 +154,17 @@ def q_scd1_out_of_order(spark, sf_dir):
                       F.unix_micros(F.max("ts").cast("timestamp"))).first()
     step = (hi - lo) // OUT_OF_ORDER_BATCHES + 1
     part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo)) / F.lit(step))
-    table = KeyedStateTable(spark, f"{root}/state", ["user_id"], sequence="ts",
-                            buckets=EVENT_STATE_BUCKETS)
+    table = ChangeTable(spark, f"{root}/state", ["user_id"], sequence="ts")
     stage_fn = _stage_fn(feed, sequence="ts")
     for i in reversed(range(OUT_OF_ORDER_BATCHES)):
-        write_landing(feed.filter(part == i), f"{root}/landing/batch={i}", tenant_col=None)
+        own = F.coalesce(part, F.lit(0)) == i  # a change without a time comes last
+        write_landing(feed.filter(own), f"{root}/landing/batch={i}", tenant_col=None)
         run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ck/bronze",
                    partitions=("batch",))
         run_silver(spark, f"{root}/bronze", f"{root}/ck/silver", stage_fn, table,
                    partitions=("batch",))
+        if i == OUT_OF_ORDER_BATCHES // 2:
+            table.compact()  # later batches are merged with a snapshot
     return table.view().select(*feed.columns)
 
 
@@ -173,15 +189,68 @@ def q_divest_manifest(spark, sf_dir):
 
 @register("mart_refresh")
 def q_mart_refresh(spark, sf_dir):
-    """Sales mart materialised by unit, then one unit re-published on its own
-    (dynamic partition overwrite); the table read back is the whole mart."""
+    """Sales mart of all units, then one unit published anew after its amounts
+    doubled; the table read back is the whole mart with that unit's new rows."""
     from .refresh import refresh
     base = scratch_path(spark, "mart_refresh")
     paths = refresh(spark, sf_dir, base, mart_names=("sales_mart",), rollups=False)
-    refresh(spark, sf_dir, base, units=("bu_02",), mart_names=("sales_mart",), rollups=False)
+    doubled = binding.deals(spark, sf_dir).withColumn("amount", (F.col("amount") * 2).cast(MONEY))
+    refresh(spark, sf_dir, base, units=("bu_02",), mart_names=("sales_mart",), rollups=False,
+            feeds={"deals": doubled})
     return spark.read.parquet(paths["sales_mart"])
 
 
+@register("refresh_forgets")
+def q_refresh_forgets(spark, sf_dir):
+    """Two units lose all rows: one before a full refresh, one before a refresh
+    of its own; nothing of them is left in the sales mart."""
+    from .refresh import refresh
+    base = scratch_path(spark, "refresh_forgets")
+    feed = binding.deals(spark, sf_dir)
+    run = lambda lost, **kw: refresh(
+        spark, sf_dir, base, mart_names=("sales_mart",), rollups=False,
+        feeds={"deals": feed.filter(~F.col("bu_id").isin(lost))}, **kw)
+    run([])
+    run(["bu_03"])
+    return spark.read.parquet(run(["bu_03", "bu_05"], units=("bu_05",))["sales_mart"])
+
+
+@register("isolated_rollup")
+def q_isolated_rollup(spark, sf_dir):
+    """Enterprise roll-up of marts that each unit keeps under a place of its
+    own, with a prefix: the by-name union of the unit marts."""
+    from .refresh import refresh
+    paths = refresh(spark, sf_dir, scratch_path(spark, "isolated_rollup"), mart_names=("sales_mart",),
+                    prefix="ci_", layout="isolated")
+    return spark.read.parquet(paths["bu_sales_performance"])
+
+
+@register("streamed_gated_sales_mart")
+def q_streamed_gated_sales_mart(spark, sf_dir):
+    """The flawed deals landed, streamed and gated: the mart equals the batch
+    path's (``gated_sales_mart``)."""
+    from .stream_refresh import silver_view, stream_object
+    root = scratch_path(spark, "streamed_gated_sales_mart")
+    feed = binding.flawed_deals(spark, sf_dir)
+    ingest(spark, feed, "crm", "deals", f"{root}/landing", f"{root}/audit")
+    return marts.sales_mart(silver_view(stream_object(spark, root, "crm", "deals", feed.schema), feed.schema))
+
+
+@register("streamed_lost_entitlement")
+def q_streamed_lost_entitlement(spark, sf_dir):
+    """Cost centres in two batches: in the second the shared ones are no longer
+    shared with one unit, which then has none of them."""
+    from .stream_refresh import silver_view, stream_object
+    root = scratch_path(spark, "streamed_lost_entitlement")
+    feed = binding.cost_centers(spark, sf_dir)
+    later = feed.filter(F.col("bu_id") == SHARED_BU).withColumns({
+        "shared_with": F.lit(LATER_SHARED_WITH), "updated_at": instant(LATER_SHARED_AT)})
+    for batch in (feed, later):
+        ingest(spark, batch, "erp", "cost_centers", f"{root}/landing", f"{root}/audit")
+        table = stream_object(spark, root, "erp", "cost_centers", feed.schema, revoke=True)
+    return silver_view(table, feed.schema)
+
+
 @register("streamed_customer_mart")
 def q_streamed_customer_mart(spark, sf_dir):
     """Companies, contacts and deals ingested, streamed through bronze and the

@@ -21,13 +21,13 @@ from .stream_refresh import silver_view, stream_objects
 
 
 def run_all(spark: SparkSession, feeds: dict[str, DataFrame], root: str,
-            units: Sequence[str] = BUSINESS_UNITS, buckets: int = 16) -> dict[str, str]:
+            units: Sequence[str] = BUSINESS_UNITS) -> dict[str, str]:
     """``feeds``: object name -> its source DataFrame (a change feed)."""
     for obj, feed in feeds.items():
         ingest(spark, feed, OBJECTS[obj].source_system, obj, f"{root}/landing", f"{root}/audit")
     tables = stream_objects(
         spark, root, {obj: (OBJECTS[obj].source_system, f.schema) for obj, f in feeds.items()},
-        units=units, buckets=buckets)
+        units=units)
     s = {obj: silver_view(tables[obj], feeds[obj].schema) for obj in feeds}
     builders = {
         "sales_mart": (("deals",), lambda: marts.sales_mart(s["deals"])),

@@ -229,16 +229,20 @@ group by invoice_id having count(*) > 1"""
                       f"order by deal_id limit 100 offset 200")
     q["incremental_extract"] = (f"select {COLUMNS['contacts']} from ({FEEDS['contacts']}) f "
                                 f"where updated_at > timestamp '2024-01-15 00:00:00'")
-    q["entitled_sales"] = with_silver("deals") + f"""
+    q["entitled_sales"] = with_silver("deals") + f""",
+mart as ({SALES_MART}),
+policy as (select * from (values ('corporate_executive', null, null), ('bu_03_executive', 'bu_03', null),
+             ('partner_group_executive', null, 'bg_partner'),
+             ('bu_02_online_executive', 'bu_02', 'bg_online'), ('bu_02_and_online_executive', 'bu_02', null),
+             ('bu_02_and_online_executive', null, 'bg_online')) r(persona, bu_id, business_group)),
+personas as (select distinct persona from policy)
 select m.bu_id, m.business_group, m.deal_count, m.avg_deal_value_usd,
        cast(m.pipeline_value_usd as double) as pipeline_value_usd,
        cast(m.won_revenue_usd as double) as won_revenue_usd, p.persona
-from ({SALES_MART}) m
-join (values ('corporate_executive', null, null), ('bu_03_executive', 'bu_03', null),
-             ('partner_group_executive', null, 'bg_partner'),
-             ('bu_02_online_executive', 'bu_02', 'bg_online')) p(persona, bu_id, business_group)
-  on (p.bu_id is null or p.bu_id = m.bu_id)
- and (p.business_group is null or p.business_group = m.business_group)"""
+from mart m cross join personas p
+where exists (select 1 from policy r where r.persona = p.persona
+              and (r.bu_id is null or r.bu_id = m.bu_id)
+              and (r.business_group is null or r.business_group = m.business_group))"""
     q["divest_enterprise"] = with_silver("deals") + f"""
 select bu_id, cast(sum(deal_count) as bigint) as deal_count,
        cast(sum(pipeline_value_usd) as double) as pipeline_value_usd,
@@ -296,3 +300,50 @@ ORACLE_SQL.update(_sql_wave3())
 ORACLE_SQL["mart_refresh"] = ORACLE_SQL["sales_mart"]
 ORACLE_SQL["streamed_customer_mart"] = ORACLE_SQL["customer_mart"]
 ORACLE_SQL["streamed_finance_mart"] = ORACLE_SQL["finance_mart"]
+
+
+def _sql_wave4() -> dict[str, str]:
+    q: dict[str, str] = {}
+    flawed = f"""
+  select deal_id, company_id,
+         case when deal_id % 41 = 0 then null when deal_id % 43 = 0 then 'bu_09' else bu_id end as bu_id,
+         business_group, amount, stage, case when deal_id % 37 <> 0 then updated_at end as updated_at, is_deleted
+  from ({FEEDS['deals']}) f"""
+    silver_flawed = f"""
+with silver_deals as (select * from (
+    select *, row_number() over (partition by bu_id, deal_id order by updated_at desc, is_deleted desc) as rn
+    from ({flawed}) s where bu_id in ({UNITS}) and updated_at is not null) r
+  where rn = 1 and is_deleted = 0)"""
+    report = (f"\nselect bu_id, business_group, deal_count, avg_deal_value_usd, "
+              + money("pipeline_value_usd", "won_revenue_usd") + f" from ({SALES_MART}) m")
+    q["gated_sales_mart"] = q["streamed_gated_sales_mart"] = silver_flawed + report
+    q["gate_counts"] = f"""
+select count(*) as seen,
+       cast(sum(case when bu_id is null or bu_id not in ({UNITS}) then 1 else 0 end) as bigint) as unconfigured_unit,
+       cast(sum(case when bu_id in ({UNITS}) and updated_at is null then 1 else 0 end) as bigint)
+         as dropped_valid_updated_at
+from ({flawed}) s"""
+    q["moved_null_batches"] = f"""
+select bu_id, count(*) as with_stage, count(*) as with_note, cast(2 as bigint) as batches
+from ({FEEDS['deals']}) f group by bu_id"""
+    q["mart_refresh"] = with_silver("deals") + f"""
+select bu_id, business_group, deal_count,
+       case when bu_id = 'bu_02' then 2 * avg_deal_value_usd else avg_deal_value_usd end as avg_deal_value_usd,
+       cast(case when bu_id = 'bu_02' then 2 * pipeline_value_usd else pipeline_value_usd end as double)
+         as pipeline_value_usd,
+       cast(case when bu_id = 'bu_02' then 2 * won_revenue_usd else won_revenue_usd end as double) as won_revenue_usd
+from ({SALES_MART}) m"""
+    q["refresh_forgets"] = ORACLE_SQL["sales_mart"] + " where bu_id not in ('bu_03', 'bu_05')"
+    q["isolated_rollup"] = ORACLE_SQL["bu_sales_performance"]
+    later = "timestamp '2024-06-01 00:00:00'"
+    cols = COLUMNS["cost_centers"]
+    q["streamed_lost_entitlement"] = f"""
+with s as ({silver('cost_centers')}), gone as (
+  select cc_key from ({FEEDS['cost_centers']}) f where bu_id = 'SHARED')
+select {cols.replace('shared_with', "case when is_shared = 1 then 'bu_02|bu_06' end as shared_with")
+        .replace('updated_at', f'case when is_shared = 1 then {later} else updated_at end as updated_at')}
+from s where not (bu_id = 'bu_03' and cc_key in (select cc_key from gone))"""
+    return q
+
+
+ORACLE_SQL.update(_sql_wave4())

@@ -2,20 +2,20 @@
 
 Each layer is written (partitioned by ``bu_id``) and the next one reads the
 written table, so lineage is cut at every layer and a lost executor only
-recomputes from the last written table. Refreshing a subset of units replaces
-only their partitions (dynamic partition overwrite).
+recomputes from the last written table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..model import BUSINESS_UNITS
 from ..operators import enterprise, marts
 from ..operators.publish import materialize, read_table, table_path
-from .silver import silver
+from ..sources.binding import ENTITIES
+from .silver import to_silver
 
 MART_INPUTS = {
     "sales_mart": ("deals",),
@@ -31,8 +31,11 @@ ROLLUPS = {
 
 def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] = BUSINESS_UNITS,
             mart_names: Sequence[str] = tuple(MART_INPUTS), prefix: str = "",
-            rollups: bool = True, layout: str = "partitioned") -> dict[str, str]:
-    """Rebuild the given marts (and the silver tables they need) for ``units``.
+            rollups: bool = True, layout: str = "partitioned",
+            feeds: dict[str, DataFrame] | None = None) -> dict[str, str]:
+    """Rebuild the given marts (and the silver tables they need). All units are
+    a full refresh, which replaces whole tables; fewer replace their partitions.
+    ``feeds`` stand in for the bound change feeds of some objects.
 
     ``layout="partitioned"``: one table per mart, a ``bu_id=`` partition per
     unit. ``layout="isolated"``: every unit's gold marts under its own
@@ -41,12 +44,15 @@ def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] =
     name.
     """
     if layout == "isolated":
-        return _refresh_isolated(spark, sf_dir, base, units, mart_names, prefix, rollups)
+        return _refresh_isolated(spark, sf_dir, base, units, mart_names, prefix, rollups, feeds)
     paths: dict[str, str] = {}
+    feeds = feeds or {}
+    only = None if set(units) >= set(BUSINESS_UNITS) else units
     needed = sorted({obj for m in mart_names for obj in MART_INPUTS[m]})
     for obj in needed:
         paths[obj] = table_path(base, "silver", obj, prefix)
-        materialize(silver(spark, sf_dir, obj, units), paths[obj])
+        feed = feeds[obj] if obj in feeds else ENTITIES[obj](spark, sf_dir)
+        materialize(to_silver(feed, obj, units), paths[obj], only)
     s = {obj: read_table(spark, paths[obj], units) for obj in needed}
     builders = {
         "sales_mart": lambda: marts.sales_mart(s["deals"]),
@@ -55,7 +61,7 @@ def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] =
     }
     for m in mart_names:
         paths[m] = table_path(base, "gold", m, prefix)
-        materialize(builders[m](), paths[m])
+        materialize(builders[m](), paths[m], only)
     if rollups:
         for name, (mart, fn) in ROLLUPS.items():
             if mart in mart_names:
@@ -65,8 +71,9 @@ def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] =
 
 
 def _refresh_isolated(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str],
-                      mart_names: Sequence[str], prefix: str, rollups: bool) -> dict[str, str]:
-    shared = refresh(spark, sf_dir, base, units, mart_names, prefix, rollups=False)
+                      mart_names: Sequence[str], prefix: str, rollups: bool,
+                      feeds: dict[str, DataFrame] | None) -> dict[str, str]:
+    shared = refresh(spark, sf_dir, base, units, mart_names, prefix, rollups=False, feeds=feeds)
     paths = {k: v for k, v in shared.items() if k not in MART_INPUTS}
     for m in mart_names:
         mart = read_table(spark, shared[m])

@@ -10,12 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..model import SHARED_BU
+from ..model import BUSINESS_UNITS, OBJECTS
 from ..operators import governance, quality, reads
 from ..operators.cdc import latest_per_key
 from ..operators.enterprise import bu_sales_performance
+from ..operators import marts
+from ..operators.gate import admit_object, rejection_metrics
 from ..operators.marts import report
-from ..operators.scope import expand_shared
 from ..session import ensure_conf
 from ..sources import binding
 from ..sources.extract import incremental
@@ -95,8 +96,10 @@ ENTITLEMENTS = (
     ("bu_03_executive", "bu_03", None),
     ("partner_group_executive", None, "bg_partner"),
     ("bu_02_online_executive", "bu_02", "bg_online"),
+    # overlapping policies: a row that both allow is one row
+    ("bu_02_and_online_executive", "bu_02", None),
+    ("bu_02_and_online_executive", None, "bg_online"),
 )
-VALID_BU_RULE = f"bu_id IS NOT NULL AND bu_id <> '{SHARED_BU}'"
 
 
 @register("shared_vendor_scope")
@@ -124,16 +127,31 @@ def q_dq_key_unique(spark, sf_dir):
 
 @register("dq_fail_gate")
 def q_dq_fail_gate(spark, sf_dir):
-    """Scoped cost-centre rows behind the fail-the-batch tenant gate."""
-    scoped = expand_shared(binding.cost_centers(spark, sf_dir))
-    return quality.expect_or_fail(scoped, "valid_bu", VALID_BU_RULE)
+    """Scoped cost-centre rows behind the fail-the-batch tenant gate, which
+    sees the incoming rows: one of no or of an unconfigured unit raises."""
+    return admit_object(binding.cost_centers(spark, sf_dir), "cost_centers", strict=True).drop("_own")
 
 
 @register("bu_slice")
 def q_bu_slice(spark, sf_dir):
     """Isolated current deals of the divested unit (gate checked)."""
-    feed = unit_filter(binding.deals(spark, sf_dir), DIVESTED_UNITS)
-    return quality.expect_or_fail(to_silver(feed, "deals", DIVESTED_UNITS), "valid_bu", VALID_BU_RULE)
+    feed = unit_filter(admit_object(binding.deals(spark, sf_dir), "deals", strict=True), DIVESTED_UNITS)
+    return to_silver(feed, "deals", DIVESTED_UNITS)
+
+
+@register("gated_sales_mart")
+def q_gated_sales_mart(spark, sf_dir):
+    """Sales mart over deals of which some have no unit, an unconfigured unit
+    or no update time: none of those reaches the mart."""
+    return marts.sales_mart(to_silver(binding.flawed_deals(spark, sf_dir), "deals", columns=gold.DEAL_COLUMNS))
+
+
+@register("gate_counts")
+def q_gate_counts(spark, sf_dir):
+    """What the gate sees and rejects of the flawed deals."""
+    spec = OBJECTS["deals"]
+    return binding.flawed_deals(spark, sf_dir).agg(
+        *rejection_metrics(spec.shared, spec.sequence, BUSINESS_UNITS))
 
 
 @register("point_lookup")
@@ -156,8 +174,7 @@ def q_incremental_extract(spark, sf_dir):
 def q_entitled_sales(spark, sf_dir):
     """Sales mart rows each persona may see."""
     policy = governance.entitlements_frame(spark, ENTITLEMENTS)
-    return governance.entitled_rows(gold.sales_mart(spark, sf_dir), policy,
-                                    policy_rows=len(ENTITLEMENTS))
+    return governance.entitled_rows(gold.sales_mart(spark, sf_dir), policy)
 
 
 @register("divest_enterprise")

@@ -2,9 +2,8 @@
 
 Each tenant only ever processes its own landing directory and keeps its own
 silver table, so the effective CDC key is (bu_id, key): a key whose versions
-arrive under two units is current in both. Rows of unconfigured units are
-dropped before CDC; shared dimension rows are copied to every entitled unit
-first. When a unit owns a key that is also shared with it, the later version
+arrive under two units is current in both. The gate (``operators.gate``) comes
+before CDC; it copies shared dimension rows to every entitled unit. When a unit owns a key that is also shared with it, the later version
 wins and the own row wins a tie.
 """
 
@@ -16,26 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tenant import known_unit
-from ..model import BUSINESS_UNITS, OBJECTS, SHARED_BU
+from ..model import BUSINESS_UNITS, OBJECTS
 from ..operators.cdc import latest_per_key
-from ..operators.scope import expand_shared
+from ..operators.gate import admit_object
 from ..sources.binding import ENTITIES
 
 
-def scoped_feed(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
-                revoke: bool = False) -> DataFrame:
-    spec = OBJECTS[obj]
-    if spec.shared:
-        return expand_shared(feed.withColumn("_own", F.col("bu_id") != SHARED_BU), units,
-                             revoke=revoke, delete_flag=spec.delete_flag)
-    return feed.filter(known_unit(F.col("bu_id"), units))
-
-
 def to_silver(feed: DataFrame, obj: str, units: Sequence[str] = BUSINESS_UNITS,
               keep_tombstones: bool = False, method: str = "window",
-              revoke: bool = False) -> DataFrame:
+              revoke: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
+    """``columns``: what the reader needs besides the keys; only these and the
+    ordering columns go through the shuffle."""
     spec = OBJECTS[obj]
-    scoped = scoped_feed(feed, obj, units, revoke)
+    if columns is not None:
+        order = {*tenant_keys(obj), spec.sequence, spec.delete_flag, *spec.tie_breakers, *columns}
+        order |= {"shared_with"} if spec.shared else set()
+        feed = feed.select(*[c for c in feed.columns if c in order])
+    scoped = admit_object(feed, obj, units, revoke=revoke)
+    if columns is not None and spec.shared:
+        scoped = scoped.drop("shared_with")
     ties = (("_own",) if spec.shared else ()) + spec.tie_breakers
     state = latest_per_key(scoped, tenant_keys(obj), spec.sequence, spec.delete_flag, ties,
                            keep_tombstones=keep_tombstones, method=method)

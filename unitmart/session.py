@@ -74,29 +74,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))
 
 
-def scale_settings(largest_shuffle_bytes: int, total_cores: int,
-                   target_partition_bytes: int = 256 << 20,
-                   max_width: int = 100_000) -> dict[str, str]:
-    """Settings for a cluster run, derived from the biggest shuffle expected
-    (for these jobs: the CDC shuffle of the largest change feed).
-
-    The shuffle width gives each reducer about ``target_partition_bytes`` at
-    the biggest exchange (at least two waves of tasks), capped at
-    ``max_width`` so map-output bookkeeping on the driver stays bounded
-    (beyond it reducers grow and sort-spill); AQE coalesces the
-    smaller exchanges back to that size and splits skewed join partitions.
-    Scans are split at the same size. Broadcasts stay behind the planner's
-    size check (``autoBroadcastJoinThreshold``), with sort-merge beyond it.
-    """
-    width = min(max_width, max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes)))
-    size = f"{target_partition_bytes // (1 << 20)}m"
-    return {
-        **REQUIRED_CONF,
-        "spark.sql.shuffle.partitions": str(width),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
-        "spark.sql.files.maxPartitionBytes": size,
-        "spark.sql.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    }
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table directory that a newer one has superseded."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -45,6 +45,20 @@ def _static_ts() -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{STATIC_VERSION_TS}'")
 
 
+# keys whose deals are flawed: no unit, an unconfigured unit, no update time
+NO_UNIT_EVERY, FOREIGN_UNIT_EVERY, NO_TIME_EVERY = 41, 43, 37
+FOREIGN_UNIT = "bu_09"
+
+
+def flawed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deals feed with rows that must not reach a mart."""
+    k = F.col("deal_id")
+    return deals(spark, sf_dir).withColumns({
+        "bu_id": F.when(k % NO_UNIT_EVERY == 0, None).when(k % FOREIGN_UNIT_EVERY == 0, FOREIGN_UNIT).otherwise(F.col("bu_id")),
+        "updated_at": F.when(k % NO_TIME_EVERY != 0, F.col("updated_at")),
+    })
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")

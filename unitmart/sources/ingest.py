@@ -4,7 +4,8 @@ Order matters: data first, then the audit row; the watermark *is* the audit
 (``max(watermark_after)`` of successful batches), so there is no second copy
 that could run ahead of the data. A crash before the audit re-extracts the
 same rows, which gives the same batch id and rewrites the same batch path; a
-batch already audited as successful is skipped (replay is a no-op).
+batch already audited as successful, with an equal row count and complete
+digest, is skipped (replay is a no-op).
 
 Only scalars reach the driver: row count, the new watermark and the batch id.
 """
@@ -16,8 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import batch_id as batch_id_expr
-from ..functions.hashing import digest_aggs
+from ..functions.hashing import ID_LENGTH, content_digest, digest_aggs
 from ..model import AUDIT_FAILED, AUDIT_SCHEMA, AUDIT_SUCCESS
 from ..session import path_exists
 from .extract import incremental, instant
@@ -34,7 +34,7 @@ class BatchResult:
     records: int
     watermark_before: str | None
     watermark_after: str | None
-    status: str  # SUCCESS, SKIPPED (already audited), EMPTY (nothing new), LANDED (no audit)
+    status: str  # SUCCESS, SKIPPED (already audited), EMPTY (nothing new)
     path: str | None
 
 
@@ -56,41 +56,46 @@ def current_watermark(spark: SparkSession, audit_root: str, source_system: str,
     return row["wm"] if row else None
 
 
-def already_landed(spark: SparkSession, audit_root: str, batch: str) -> bool:
+def landed_as(spark: SparkSession, audit_root: str, digest: str, rows: int) -> tuple[str, bool]:
+    """(batch id for this content, whether it is landed already). The same
+    content is an audited batch with an equal row count and complete digest; a
+    different one that shares the short id gets a longer id."""
     audit = _read_audit(spark, audit_root)
     if audit is None:
-        return False
-    hit = audit.filter((F.col("batch_id") == batch) & (F.col("status") == AUDIT_SUCCESS))
-    return hit.limit(1).count() > 0
+        return digest[:ID_LENGTH], False
+    done = audit.filter(F.col("status") == AUDIT_SUCCESS)
+    same = done.filter((F.col("content_digest") == digest) & (F.col("records_extracted") == rows)).first()
+    if same is not None:
+        return same["batch_id"], True
+    taken = done.filter(F.col("batch_id") == digest[:ID_LENGTH]).limit(1).count() > 0
+    return (digest if taken else digest[:ID_LENGTH]), False
 
 
 def append_audit(spark: SparkSession, audit_root: str, batch: str, source_system: str,
                  object_name: str, records: int, wm_before: str | None, wm_after: str | None,
-                 status: str = AUDIT_SUCCESS) -> None:
+                 status: str = AUDIT_SUCCESS, digest: str | None = None) -> None:
     row = spark.createDataFrame(
-        [(batch, source_system, object_name, records, wm_before, wm_after, status)],
+        [(batch, source_system, object_name, records, wm_before, wm_after, status, digest)],
         "batch_id string, source_system string, source_object string, records_extracted long, "
-        "wb string, wa string, status string")
+        "wb string, wa string, status string, content_digest string")
     out = row.select(
         "batch_id", "source_system", "source_object",
         F.current_timestamp().alias("run_timestamp"), "records_extracted",
         F.col("wb").cast("timestamp").cast("timestamp_ntz").alias("watermark_before"),
         F.col("wa").cast("timestamp").cast("timestamp_ntz").alias("watermark_after"),
-        "status")
+        "status", "content_digest")
     out.coalesce(1).write.mode("append").parquet(audit_root)
 
 
 def ingest(spark: SparkSession, feed: DataFrame, source_system: str, object_name: str,
            landing_root: str, audit_root: str, watermark: str | None = None,
            use_stored_watermark: bool = True, fmt: str = "lines",
-           sequence: str = "updated_at", ingested_at: Column | None = None,
-           write_audit: bool = True, tenant_col: str | None = "bu_id",
+           sequence: str = "updated_at", ingested_at: Column | None = None, tenant_col: str | None = "bu_id",
            records_per_file: int = DEFAULT_RECORDS_PER_FILE,
            lookback_seconds: int = 0) -> BatchResult:
     """Land the rows of ``feed`` changed after the watermark as one batch.
 
     ``watermark`` overrides the stored one (replays, back-fills);
-    ``write_audit=False`` simulates a crash between landing and audit;
     ``lookback_seconds`` also re-reads rows committed late with a timestamp
     just before the mark (the strict ``>`` would miss them; CDC absorbs the
     repeats).
@@ -102,25 +107,24 @@ def ingest(spark: SparkSession, feed: DataFrame, source_system: str, object_name
     stats = extract.agg(
         *digest_aggs(extract),
         F.date_format(F.max(sequence), WATERMARK_FORMAT).alias("_wm"),
-    ).select("_rows", "_wm", batch_id_expr(object_name, wm_before).alias("_id")).first()
+    ).select("_rows", "_wm", content_digest(object_name, wm_before).alias("_digest")).first()
     rows = int(stats["_rows"])
     if rows == 0:
         return BatchResult(None, 0, wm_before, wm_before, "EMPTY", None)
-    batch, wm_after = stats["_id"], stats["_wm"]
+    digest, wm_after = stats["_digest"], stats["_wm"]
+    batch, landed_before = landed_as(spark, audit_root, digest, rows)
     path = f"{landing_root}/{source_system}/{object_name}/batch={batch}"
-    if already_landed(spark, audit_root, batch):
+    if landed_before:
         return BatchResult(batch, rows, wm_before, wm_after, "SKIPPED", path)
     landed = stamp_lineage(extract, source_system, object_name, batch, ingested_at)
     try:
         write_landing(landed, path, fmt, rows, records_per_file, tenant_col)
     except Exception:
-        if write_audit:
-            append_audit(spark, audit_root, batch, source_system, object_name, rows,
-                         wm_before, wm_before, AUDIT_FAILED)
+        append_audit(spark, audit_root, batch, source_system, object_name, rows,
+                     wm_before, wm_before, AUDIT_FAILED, digest)
         raise
-    if not write_audit:
-        return BatchResult(batch, rows, wm_before, wm_after, "LANDED", path)
-    append_audit(spark, audit_root, batch, source_system, object_name, rows, wm_before, wm_after)
+    append_audit(spark, audit_root, batch, source_system, object_name, rows, wm_before, wm_after,
+                 digest=digest)
     return BatchResult(batch, rows, wm_before, wm_after, AUDIT_SUCCESS, path)
 
 

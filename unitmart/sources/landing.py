@@ -88,7 +88,8 @@ LANDING_PARTITIONS = ("batch", TENANT)
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: bool = False,
-                 partitions: tuple[str, ...] = LANDING_PARTITIONS) -> DataFrame:
+                 partitions: tuple[str, ...] = LANDING_PARTITIONS,
+                 max_bytes: str | None = None) -> DataFrame:
     """Raw landed text: ``value`` (+ partition columns, + source file).
 
     Partition columns are declared as strings: a batch id made only of
@@ -96,6 +97,8 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: boo
     """
     schema = ", ".join(["value string", *[f"{c} string" for c in partitions]])
     reader = spark.readStream if stream else spark.read
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     df = reader.schema(schema).format("text").option("wholetext", fmt == "array").load(path)
     return df.withColumn("_file", F.col("_metadata.file_path"))
 

@@ -3,6 +3,8 @@
 Each flow is a Structured Streaming query with its own checkpoint, so every
 landed file is taken exactly once across runs (the file source remembers
 paths), and a run processes whatever arrived since the last one, then stops.
+A micro-batch takes at most ``MAX_BYTES_PER_TRIGGER`` of files, so a backlog is
+worked off in bounded steps.
 Checkpoints and tables live under the shared checkpoint root.
 """
 
@@ -14,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.landing import LANDING_PARTITIONS, TENANT, quarantine, read_landing
 from ..session import path_exists
-from .state import KeyedStateTable
+from .state import ChangeTable
+
+
+MAX_BYTES_PER_TRIGGER = str(64 << 30)
 
 
 def _await(query) -> None:
@@ -30,7 +35,8 @@ def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpo
     nothing has been landed for the object yet."""
     if not path_exists(spark, landing_dir):
         return None
-    raw = read_landing(spark, landing_dir, fmt=fmt, stream=True, partitions=partitions)
+    raw = read_landing(spark, landing_dir, fmt=fmt, stream=True, partitions=partitions,
+                       max_bytes=MAX_BYTES_PER_TRIGGER)
     parts = [c for c in (TENANT,) if c in raw.columns]
     return (raw.writeStream.format("parquet").partitionBy(*parts)
             .option("checkpointLocation", checkpoint)
@@ -56,7 +62,8 @@ def bronze_schema(partitions: tuple[str, ...] = LANDING_PARTITIONS) -> str:
 
 def bronze_stream(spark: SparkSession, bronze_dir: str,
                   partitions: tuple[str, ...] = LANDING_PARTITIONS) -> DataFrame:
-    return spark.readStream.schema(bronze_schema(partitions)).parquet(bronze_dir)
+    return (spark.readStream.schema(bronze_schema(partitions))
+            .option("maxBytesPerTrigger", MAX_BYTES_PER_TRIGGER).parquet(bronze_dir))
 
 
 def run_staging_to_table(spark: SparkSession, bronze_dir: str, staged_dir: str, checkpoint: str,
@@ -70,7 +77,7 @@ def run_staging_to_table(spark: SparkSession, bronze_dir: str, staged_dir: str,
 
 
 def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
-                 stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable,
+                 stage: Callable[[DataFrame], DataFrame], table: ChangeTable,
                  partitions: tuple[str, ...] = LANDING_PARTITIONS):
     """Start the triggered flow applying staged changes of new bronze rows to
     the keyed state; returns the running query (None without a bronze table)."""
@@ -82,7 +89,7 @@ def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
 
 
 def run_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
-               stage: Callable[[DataFrame], DataFrame], table: KeyedStateTable,
+               stage: Callable[[DataFrame], DataFrame], table: ChangeTable,
                partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
     await_all([start_silver(spark, bronze_dir, checkpoint, stage, table, partitions)])
 

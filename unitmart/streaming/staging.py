@@ -1,10 +1,9 @@
-"""Staging: landed text -> typed, tenant-scoped, quality-checked changes.
+"""Staging: landed text -> typed, admitted changes of the configured units.
 
-Works on batch and streaming frames alike. Steps, in order:
-parse (array-of-struct) -> instants to UTC -> tenant (path tenant stamped on
-the row, or shared rows copied to entitled units) -> fail gate (tenant) ->
-drop rule (missing sequence). The fail gate runs first, so a row breaking
-both rules fails the batch.
+Works on batch and streaming frames alike. Steps, in order: parse
+(array-of-struct) -> instants to UTC -> tenant (the path tenant is stamped on
+the rows of objects that cannot be shared) -> gate (``operators.gate``, the
+same as the batch path's).
 """
 
 from __future__ import annotations
@@ -15,37 +14,31 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import BUSINESS_UNITS, SHARED_BU
-from ..operators.quality import expect_or_drop, expect_or_fail
-from ..operators.scope import expand_shared
+from ..model import BUSINESS_UNITS
+from ..operators.gate import admit
+from ..operators.quality import expect_or_drop
 from ..sources.extract import parse_instant
 from ..sources.landing import TENANT, parse_landing
 
-VALID_BU = f"bu_id IS NOT NULL AND bu_id <> '{SHARED_BU}'"
-
 
 def stage(raw: DataFrame, schema: T.StructType, instants: Sequence[str] = ("updated_at",),
           shared: bool = False, sequence: str = "updated_at",
-          units: Sequence[str] = BUSINESS_UNITS,
+          units: Sequence[str] = BUSINESS_UNITS, keys: Sequence[str] = (), revoke: bool = False,
           observation: Observation | str | None = None) -> DataFrame:
+    """``observation`` also counts rows whose payload tenant disagrees with
+    the path's."""
     rows = parse_landing(raw, schema)
     for c in instants:
         if c in rows.columns:
             rows = rows.withColumn(c, parse_instant(c))
-    has_bu = "bu_id" in rows.columns
-    metrics = []
-    if has_bu and shared:
-        # ``_own`` (not a re-homed shared copy) breaks CDC ties in favour of
-        # the unit's own row.
-        rows = expand_shared(rows.withColumn("_own", F.col("bu_id") != SHARED_BU), units)
-    elif has_bu and TENANT in rows.columns:
-        # The path decides the tenant; a payload that disagrees is counted.
-        rows = rows.withColumn("_path_mismatch", ~F.col("bu_id").eqNullSafe(F.col(TENANT)))
-        rows = rows.withColumn("bu_id", F.col(TENANT))
-        metrics = [F.sum(F.col("_path_mismatch").cast("int")).alias("path_payload_mismatch")]
-    if has_bu:
-        rows = expect_or_fail(rows, "valid_bu", VALID_BU)
-    rows = expect_or_drop(rows, f"valid_{sequence}", f"{sequence} IS NOT NULL", observation,
-                          metrics)
-    return rows.drop(*[c for c in (TENANT, "batch", "_file", "_path_mismatch")
-                       if c in rows.columns])
+    extra = []
+    if "bu_id" not in rows.columns:  # a feed without tenants: only the drop rule
+        rows = expect_or_drop(rows, f"valid_{sequence}", f"{sequence} IS NOT NULL", observation)
+    else:
+        if not shared and TENANT in rows.columns:
+            rows = rows.withColumn("_path_mismatch", ~F.col("bu_id").eqNullSafe(F.col(TENANT)))
+            rows = rows.withColumn("bu_id", F.col(TENANT))
+            extra = [F.sum(F.col("_path_mismatch").cast("int")).alias("path_payload_mismatch")]
+        rows = admit(rows, shared, sequence, units, keys, revoke=revoke, observation=observation,
+                     extra_metrics=extra)
+    return rows.drop(*[c for c in (TENANT, "batch", "_file", "_path_mismatch") if c in rows.columns])

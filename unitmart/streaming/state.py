@@ -1,144 +1,87 @@
-"""Keyed current-state table maintained by micro-batches (SCD1 without a
-MERGE-capable table format).
-
-Layout under ``root``::
-
-    data/v={version}/cdc_bucket={b}/part-*.parquet   rows of bucket b as of version
-    manifest/v={version}/part-*.parquet              (cdc_bucket, version) for all buckets
-
-Keys are hashed into ``buckets`` (``pmod(xxhash64(keys), B)``). A micro-batch
-is reduced to one version per key, then only the buckets it touches are read,
-merged (same SCD1 rule, tombstones kept) and written as a new version; the
-manifest is written last, so readers never see a half-applied batch. Version
-= the streaming batch id, so a retried batch rewrites identical files.
-Choose B so a bucket holds a few hundred MB of state: every version writes
-one file set per touched bucket. Driver-side traffic is bounded by B (bucket
-ids and manifest rows). One
-writer per table (the streaming query); the writer keeps the published
-manifest in memory, readers load it from storage.
+"""Current state of a keyed object from an append-only change table (SCD1
+without a MERGE-capable table format).
+
+A micro-batch only appends its staged changes, under its own batch id, so a
+retried batch replaces what it wrote. The state is ``latest_per_key`` over the
+last snapshot and the changes after it; it does not depend on how the changes
+were cut into batches. ``compact`` stores that state as a new snapshot, at the
+session's shuffle width, then moves the pointer (one appended row) and removes
+what it superseded. Tombstones are kept, so an older change that arrives after
+a delete never revives a key. One writer per table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
 from ..operators.cdc import DELETED, apply_changes, latest_per_key, live
+from ..session import path_exists, remove_path
 
-BUCKET = "cdc_bucket"
+BATCH = "_batch"
 
 
-class KeyedStateTable:
+class ChangeTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
                  sequence: str = "updated_at", delete_flag: str = "is_deleted",
-                 tie_breakers: Sequence[str] = (), buckets: int = 64,
-                 tombstone_retention_seconds: int | None = None):
+                 tie_breakers: Sequence[str] = ()):
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
         self.rule = dict(sequence=sequence, delete_flag=delete_flag, tie_breakers=tuple(tie_breakers))
-        self.buckets = buckets
-        # Tombstones older (in event time) than the newest change of the batch
-        # minus this retention are dropped when their bucket is rewritten; a
-        # change older than an expired tombstone could then resurrect a key.
-        self.retention = tombstone_retention_seconds
-        self._published: tuple[int, dict[int, int]] | None = None  # single-writer cache
-
-    # -- layout ---------------------------------------------------------------
-    def _bucket_of(self) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
-
-    def _data_path(self, version: int, bucket: int) -> str:
-        return f"{self.root}/data/v={version}/{BUCKET}={bucket}"
-
-    def _manifest(self) -> tuple[int, dict[int, int]]:
-        if self._published is not None:
-            return self._published[0], dict(self._published[1])
-        if not path_exists(self.spark, f"{self.root}/manifest"):
-            return -1, {}
-        m = self.spark.read.parquet(f"{self.root}/manifest")
-        latest = m.agg(F.max("v")).first()[0]
-        rows = m.filter(F.col("v") == latest).select(BUCKET, "version").collect()
-        self._published = (int(latest), {int(r[0]): int(r[1]) for r in rows})
-        return self._published[0], dict(self._published[1])
-
-    def manifest(self) -> dict[int, int]:
-        return self._manifest()[1]
-
-    def _read(self, manifest: dict[int, int], buckets: Sequence[int] | None = None,
-              schema=None) -> DataFrame | None:
-        wanted = manifest if buckets is None else {b: manifest[b] for b in buckets if b in manifest}
-        if not wanted:
+
+    def pointer(self) -> tuple[int, int]:
+        """(snapshot number, last batch in it); (-1, -1) before the first."""
+        path = f"{self.root}/pointer"
+        if not path_exists(self.spark, path):
+            return -1, -1
+        row = self.spark.read.parquet(path).agg(F.max(F.struct("snapshot", "upto")).alias("p")).first()
+        return int(row.p.snapshot), int(row.p.upto)
+
+    def append(self, changes: DataFrame, batch_id: int) -> None:
+        if batch_id <= self.pointer()[1]:
+            return  # a retried batch that a snapshot already holds
+        parts = ["bu_id"] if "bu_id" in changes.columns else []
+        (changes.write.mode("overwrite").partitionBy(*parts)
+         .parquet(f"{self.root}/changes/{BATCH}={batch_id}"))
+
+    foreach_batch = append
+
+    def _snapshot(self, number: int) -> DataFrame | None:
+        return None if number < 0 else self.spark.read.parquet(f"{self.root}/snapshots/n={number}")
+
+    def _changes(self, number: int, after: int) -> DataFrame | None:
+        path, known = f"{self.root}/changes", self._snapshot(number)
+        if not path_exists(self.spark, path):
             return None
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(*[self._data_path(v, b) for b, v in sorted(wanted.items())])
-
-    # -- write path -----------------------------------------------------------
-    def merge(self, changes: DataFrame, version: int) -> None:
-        applied, manifest = self._manifest()
-        if applied >= version:
-            return  # retried batch whose manifest was already published
-        reduced = latest_per_key(changes, self.keys, keep_tombstones=True, **self.rule) \
-            .withColumn(BUCKET, self._bucket_of())
-        if not manifest:
-            touched = self._write_first(reduced, version)
-        else:
-            touched = self._write_merged(reduced, manifest, version)
-        if not touched:
-            return
-        manifest.update({b: version for b in touched})
-        (self.spark.createDataFrame(sorted(manifest.items()), f"{BUCKET} int, version long")
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/v={version}"))
-        self._published = (version, dict(manifest))
-
-    def _write(self, df: DataFrame, version: int) -> None:
-        (df.repartition(BUCKET)
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}"))
-
-    def _write_first(self, reduced: DataFrame, version: int) -> list[int]:
-        """Empty state: nothing to read, so the touched buckets are collected
-        while writing (an observed set, bounded by the bucket count)."""
-        obs = Observation(f"cdc_buckets_{uuid.uuid4().hex}")
-        self._write(reduced.observe(obs, F.collect_set(BUCKET).alias("b")), version)
-        return sorted(int(b) for b in (obs.get.get("b") or []))
-
-    def _write_merged(self, reduced: DataFrame, manifest: dict[int, int], version: int) -> list[int]:
-        # The reduced batch is used three times (bucket ids, merge, write):
-        # cache it rather than re-reading and re-parsing the micro-batch.
-        reduced = reduced.persist()
-        try:
-            seq = self.rule["sequence"]
-            stats = reduced.agg(F.collect_set(BUCKET).alias("b"),
-                                F.max(F.col(seq).cast("timestamp_ntz")).alias("m")).first()
-            touched = sorted(int(b) for b in (stats["b"] or []))
-            if not touched:
-                return []
-            fresh = reduced.drop(BUCKET)
-            current = self._read(manifest, touched, schema=fresh.schema)
-            if current is None:
-                merged = fresh
-            else:
-                merged = apply_changes(current, fresh.drop(DELETED), self.keys, **self.rule)
-            if self.retention is not None and stats["m"] is not None:
-                cutoff = F.lit(stats["m"].isoformat(sep=" ")).cast("timestamp_ntz") \
-                    - F.make_dt_interval(secs=F.lit(self.retention))
-                merged = merged.filter(~F.col(DELETED) | (F.col(seq).cast("timestamp_ntz") >= cutoff))
-            self._write(merged.withColumn(BUCKET, self._bucket_of()), version)
-            return touched
-        finally:
-            reduced.unpersist()
-
-    def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
-        self.merge(batch_df, batch_id)
-
-    # -- read path ------------------------------------------------------------
+        reader = self.spark.read
+        if known is not None:  # every batch may be in the snapshot by now
+            reader = reader.schema(known.drop(DELETED).withColumn(BATCH, F.lit(0)).schema)
+        return reader.parquet(path).filter(F.col(BATCH) > after)
+
     def state(self) -> DataFrame | None:
         """All keys including tombstones (``_deleted``)."""
-        return self._read(self.manifest())
+        number, upto = self.pointer()
+        changes = self._changes(number, upto)
+        if number < 0:
+            return None if changes is None else latest_per_key(
+                changes.drop(BATCH), self.keys, keep_tombstones=True, **self.rule)
+        current = self._snapshot(number)
+        return current if changes is None else apply_changes(current, changes.drop(BATCH), self.keys, **self.rule)
 
     def view(self) -> DataFrame | None:
         s = self.state()
         return None if s is None else live(s)
+
+    def compact(self) -> None:
+        number, upto = self.pointer()
+        changes = self._changes(number, upto)
+        last = None if changes is None else changes.agg(F.max(BATCH)).first()[0]
+        if last is None:
+            return
+        self.state().write.mode("overwrite").parquet(f"{self.root}/snapshots/n={number + 1}")
+        (self.spark.createDataFrame([(number + 1, int(last))], "snapshot bigint, upto bigint").coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/pointer"))
+        old = [r[0] for r in changes.select(BATCH).distinct().collect()]  # batches since the last snapshot
+        for path in [f"changes/{BATCH}={b}" for b in old] + [f"snapshots/n={number}"]:
+            remove_path(self.spark, f"{self.root}/{path}")
