@@ -40,4 +40,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# words as the contract defines them; window n of a document is words n to n+12
+SUBSTRING_SQL = """
+with split as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+windows as (
+  select doc_id, i, array_to_string(w[i:i + 12], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from split where len(w) >= 13)),
+firsts as (select g, min(doc_id) as first_id from windows group by g),
+gone as (
+  select doc_id, list(distinct p) as ps
+  from (select v.doc_id, unnest(range(v.i, v.i + 13)) as p
+        from windows v join firsts f on v.g = f.g where f.first_id < v.doc_id)
+  group by doc_id)
+select s.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(ps), 0) as bigint) as n_removed,
+       sha256(coalesce(array_to_string(
+         case when ps is null then w
+              else list_transform(list_filter(range(1, len(w) + 1), lambda p: not list_contains(ps, p)), lambda p: w[p]) end,
+         ' '), '')) as kept_sha256
+from split s left join gone on s.doc_id = gone.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": SUBSTRING_SQL}
