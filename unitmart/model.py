@@ -84,6 +84,14 @@ LANDING_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+# What each source relation requires of its rows.
+REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
+    "vendors": ("vendor_key", "name", "bu_id", "updated_at"),
+    "cost_centers": ("cc_key", "name", "bu_id", "updated_at"),
+    "gl_invoices": ("invoice_id", "bu_id", "vendor_key", "cc_key", "amount", "updated_at"),
+}
+
+
 @dataclass(frozen=True)
 class ObjectSpec:
     """How one source object becomes a silver table."""

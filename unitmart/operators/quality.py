@@ -35,6 +35,22 @@ def expect_or_fail(df: DataFrame, name: str, rule: str, keys: Sequence[str] = ()
     return df.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(msg).cast("boolean")))
 
 
+def relation_violations(df: DataFrame, required: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One row: rows, rows with a null in a required column, and keys of more
+    than one row (a key with a null is not one)."""
+    null = F.lit(False)
+    for c in required:
+        null = null | F.col(c).isNull()
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(null.cast("bigint")).alias("_null"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("records"),
+        F.coalesce(F.sum("_null"), F.lit(0)).alias("not_null_violations"),
+        F.count(F.when((F.col("_n") > 1) & known, 1)).alias("key_violations"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n_versions") -> DataFrame:
     """Keys seen more than once (partial counts combine map-side)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)

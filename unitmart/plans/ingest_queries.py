@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import batch_id, digest_aggs
-from ..model import MONEY, OBJECTS, SHARED_BU
+from ..model import LANDING_SCHEMAS, MONEY, OBJECTS, SHARED_BU
 from ..operators import governance, marts
 from ..session import scratch_path
 from ..sources import binding
@@ -132,6 +132,22 @@ def q_landing_roundtrip(spark, sf_dir):
     return spark.read.parquet(f"{root}/staged").select(*feed.columns)
 
 
+@register("landed_invoice_documents")
+def q_landed_invoice_documents(spark, sf_dir):
+    """Invoices with the full landing contract: landed as JSON arrays that are
+    pretty-printed over many lines, streamed, parsed with the declared schema
+    and staged."""
+    root = scratch_path(spark, "landed_invoice_documents")
+    feed = binding.invoice_documents(spark, sf_dir)
+    landing, schema = f"{root}/landing", LANDING_SCHEMAS["gl_invoices"]
+    write_landing(feed, f"{landing}/batch=0", "array", feed.count(), ROUNDTRIP_RECORDS_PER_FILE, pretty=True)
+    run_bronze(spark, landing, f"{root}/bronze", f"{root}/ck/bronze", "array")
+    run_staging_to_table(spark, f"{root}/bronze", f"{root}/staged", f"{root}/ck/staged",
+                         lambda raw: stage(raw, schema, ("updated_at", "invoice_date", "due_date"),
+                                           keys=OBJECTS["gl_invoices"].keys))
+    return spark.read.parquet(f"{root}/staged").select(*feed.columns)
+
+
 @register("dq_drop")
 def q_dq_drop(spark, sf_dir):
     """Contacts whose instant text is malformed are dropped."""

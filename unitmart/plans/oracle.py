@@ -343,6 +343,27 @@ with s as ({silver('cost_centers')}), gone as (
 select {cols.replace('shared_with', "case when is_shared = 1 then 'bu_02|bu_06' end as shared_with")
         .replace('updated_at', f'case when is_shared = 1 then {later} else updated_at end as updated_at')}
 from s where not (bu_id = 'bu_03' and cc_key in (select cc_key from gone))"""
+    q["landed_invoice_documents"] = f"""
+select 'INV-' || cast(l_orderkey * 10 + l_linenumber as varchar) as invoice_id, {bu('l_partkey')} as bu_id,
+       'V-' || cast(l_suppkey as varchar) as vendor_key, 'CC-' || cast(l_partkey as varchar) as cc_key,
+       cast(cast(l_extendedprice as decimal(18,2)) as double) as amount,
+       case l_suppkey % 3 when 0 then 'USD' when 1 then 'EUR' else 'GBP' end as currency,
+       cast(cast(l_quantity as decimal(18,2)) as double) as tax_amount,
+       l_shipdate as invoice_date, l_shipdate as due_date,
+       case when l_linestatus = 'F' then 'PAID' else 'OPEN' end as status,
+       case when l_returnflag <> 'N' then 'NET' || cast(l_linenumber as varchar) end as payment_terms,
+       {flag("l_returnflag = 'A'")} as is_deleted, l_shipdate as updated_at
+from lineitem"""
+    parts = []
+    for obj, keys, null in (("vendors", "vendor_key, bu_id", "name is null"),
+                            ("cost_centers", "cc_key, bu_id", "name is null"),
+                            ("gl_invoices", "invoice_id", "vendor_key % 17 = 0 or amount is null")):
+        parts.append(f"""
+select '{obj}' as source_object, cast(sum(n) as bigint) as records, cast(sum(bad) as bigint) as not_null_violations,
+       count(*) filter (where n > 1) as key_violations
+from (select {keys}, count(*) as n, sum(case when {null} then 1 else 0 end) as bad
+      from ({FEEDS[obj]}) f group by {keys}) k""")
+    q["source_rule_violations"] = " union all ".join(parts)
     return q
 
 

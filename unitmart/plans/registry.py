@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..model import BUSINESS_UNITS, OBJECTS
+from ..model import BUSINESS_UNITS, OBJECTS, REQUIRED_COLUMNS
 from ..operators import governance, quality, reads
 from ..operators.cdc import latest_per_key
 from ..operators.enterprise import bu_sales_performance
@@ -89,6 +90,7 @@ def q_bu_ranking(spark, sf_dir):
 # Fixed parameters of the registered queries.
 DIVESTED_UNITS = ("bu_06",)
 LOOKUP_DEAL_ID = 42
+NO_AMOUNT_EVERY = 17  # vendors whose invoices lack the amount
 PAGE_OFFSET, PAGE_LIMIT = 200, 100
 EXTRACT_WATERMARK = "2024-01-15T00:00:00Z"
 ENTITLEMENTS = (
@@ -125,6 +127,17 @@ def q_dq_key_unique(spark, sf_dir):
     return quality.duplicate_keys(binding.gl_invoice_changes(spark, sf_dir), ["invoice_id"])
 
 
+@register("source_rule_violations")
+def q_source_rule_violations(spark, sf_dir):
+    """NOT NULL and key rules of the source relations, per object."""
+    feeds = {obj: binding.ENTITIES[obj](spark, sf_dir) for obj in REQUIRED_COLUMNS}
+    feeds["gl_invoices"] = feeds["gl_invoices"].withColumn(
+        "amount", F.when(F.col("vendor_key") % NO_AMOUNT_EVERY != 0, F.col("amount")))
+    found = [quality.relation_violations(feed, REQUIRED_COLUMNS[obj], OBJECTS[obj].keys)
+             .select(F.lit(obj).alias("source_object"), "*") for obj, feed in feeds.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @register("dq_fail_gate")
 def q_dq_fail_gate(spark, sf_dir):
     """Scoped cost-centre rows behind the fail-the-batch tenant gate, which

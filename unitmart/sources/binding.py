@@ -158,6 +158,31 @@ def gl_invoice_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# what the invoice documents say beside the ledger columns
+CURRENCIES = ("USD", "EUR", "GBP")
+
+
+def invoice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices with every field of the landing contract, instants as text."""
+    li = read_table(spark, sf_dir, "lineitem")
+    at = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    currency = F.col("l_suppkey") % 3
+    return li.select(
+        F.concat(F.lit("INV-"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("invoice_id"),
+        bu_of(F.col("l_partkey")).alias("bu_id"),
+        F.concat(F.lit("V-"), F.col("l_suppkey").cast("string")).alias("vendor_key"),
+        F.concat(F.lit("CC-"), F.col("l_partkey").cast("string")).alias("cc_key"),
+        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        F.when(currency == 0, CURRENCIES[0]).when(currency == 1, CURRENCIES[1]).otherwise(CURRENCIES[2]).alias("currency"),
+        F.col("l_quantity").cast(MONEY).alias("tax_amount"),
+        at.alias("invoice_date"), at.alias("due_date"),
+        F.when(F.col("l_linestatus") == "F", "PAID").otherwise("OPEN").alias("status"),
+        F.when(F.col("l_returnflag") != "N", F.concat(F.lit("NET"), F.col("l_linenumber").cast("string"))).alias("payment_terms"),
+        _flag(F.col("l_returnflag") == "A").alias("is_deleted"),
+        at.alias("updated_at"),
+    )
+
+
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generic CDC feed: key ``user_id``, sequence ``ts``, an error event deletes."""
     e = read_table(spark, sf_dir, "events")

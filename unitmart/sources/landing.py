@@ -4,8 +4,8 @@ Layout: ``{root}/{source}/{object}/batch={id}/tenant={bu}/part-*.json``.
 ``tenant`` is a partition directory (the path tenant), while the payload keeps
 its own ``bu_id``. Two file forms:
 
-* ``lines`` (default): JSON lines, splittable, files capped by
-  ``maxRecordsPerFile``; what large extracts should use.
+* ``lines`` (default): JSON lines, splittable, one file per task and tenant
+  (so sized by the bytes of an input split); what large extracts should use.
 * ``array``: one JSON array per file, the contract form of the original
   feeds. Rows are dealt round-robin (by row position, not content, so even
   a mass of identical copies spreads) into enough chunks that each array
@@ -61,23 +61,24 @@ def instant_columns(feed_schema: T.StructType) -> list[str]:
 
 def write_landing(df: DataFrame, path: str, fmt: str = "lines", total_rows: int | None = None,
                   records_per_file: int = DEFAULT_RECORDS_PER_FILE,
-                  tenant_col: str | None = "bu_id") -> None:
-    """Write one batch; rewriting the same batch path replaces it."""
+                  tenant_col: str | None = "bu_id", pretty: bool = False) -> None:
+    """Write one batch; rewriting the same batch path replaces it. ``pretty``
+    prints arrays over many lines."""
     cols = df.columns
     partition = []
     if tenant_col is not None:
         df = df.withColumn(TENANT, F.coalesce(F.col(tenant_col), F.lit(UNKNOWN_BU)))
         partition = [TENANT]
     if fmt == "lines":
-        (df.write.mode("overwrite").partitionBy(*partition).options(**JSON_OPTIONS)
-         .option("maxRecordsPerFile", records_per_file).json(path))
+        df.write.mode("overwrite").partitionBy(*partition).options(**JSON_OPTIONS).json(path)
     elif fmt == "array":
         if total_rows is None:
             total_rows = df.count()
         chunks = max(1, math.ceil(total_rows / records_per_file))
         chunk = F.pmod(F.monotonically_increasing_id(), F.lit(chunks))
         arrays = df.groupBy(*partition, chunk.alias("_chunk")).agg(
-            F.to_json(F.collect_list(F.struct(*cols)), JSON_OPTIONS).alias("value"))
+            F.to_json(F.collect_list(F.struct(*cols)),
+                      {**JSON_OPTIONS, "pretty": str(pretty).lower()}).alias("value"))
         (arrays.select(*partition, "value").write.mode("overwrite").partitionBy(*partition)
          .option("maxRecordsPerFile", 1).text(path))
     else:
