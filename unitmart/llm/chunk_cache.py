@@ -11,35 +11,19 @@ of a special token, goes to the library as a whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Callable
+import struct
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-SAFE = re.compile(r"[\x00-\x1b\x20-ɏ]*\Z")
+SAFE = re.compile(r"[\x00-\x1b\x20-\u024f]*\Z")
+GAP = re.compile(r"\s\s")
 CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-KEEP = 120_000
-
-
-class Recent(dict):
-    """A dict that makes missing values and forgets in two generations, so its
-    size stays under twice ``keep``."""
-
-    def __init__(self, make: Callable[[str], object], keep: int = KEEP):
-        super().__init__()
-        self.make, self.keep, self.old = make, keep, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.keep:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+# chunks that a worker remembers, in each of two generations (some 200 bytes each)
+KEEP = 600_000
 
 
 def token_file(name: str) -> str:
@@ -48,13 +32,39 @@ def token_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Known:
+    """Ids of strings that were met, in two generations of at most ``KEEP``."""
+
+    def __init__(self, encode, prefix: str = ""):
+        self.encode, self.prefix = encode, prefix
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, strings: set[str]) -> None:
+        if len(self.now) > KEEP:
+            self.now, self.old = {}, self.now
+        new = strings.difference(self.now)
+        known = new.intersection(self.old)
+        self.now.update((c, self.old[c]) for c in known)
+        # a letter and a stop after it never share a token
+        parts = {}
+        for c in new - known:
+            body = c.rstrip(".,!?;:")
+            parts[c] = (body, c[len(body):]) if len(body) < len(c) and body[-1:].isalpha() else (c,)
+        bodies = list({p[0] for p in parts.values()}.difference(self.now))
+        stops = list({p[1] for p in parts.values() if len(p) == 2})
+        self.now.update(zip(bodies, self.encode([self.prefix + c for c in bodies])))
+        tails = dict(zip(stops, self.encode(stops)))
+        for c, p in parts.items():
+            if len(p) == 2:
+                self.now[c] = self.now[p[0]] + tails[p[1]]
+
+
 class Encoder:
-    """``ids(text)``: little-endian unsigned 32-bit ids, as the library's
+    """Little-endian unsigned 32-bit ids of whole texts, as the library's
     ``encode(text, add_special_tokens=False)`` gives them."""
 
     def __init__(self, path: str):
-        import json
-
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -66,24 +76,54 @@ class Encoder:
         steps = spec.get("normalizer") or {}
         kinds = {x["type"] for x in steps.get("normalizers", [steps] if steps else [])}
         byte_level = (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
-        self.lower = "Lowercase" in kinds
         # the two families of files whose chunks are known to be independent
-        self.by_chunk = (kinds <= {"NFC", "Replace", "Lowercase"} if kinds else byte_level)
-        self.chunks = str.split if kinds else CHUNK.findall
-        self.specials = tuple(t["content"] for t in spec.get("added_tokens", []))
-        self.cache = Recent(self._whole)
+        self.words = kinds == {"NFC", "Replace", "Lowercase"}
+        self.bytes = byte_level and not kinds
+        # within SAFE a lower-cased chunk without white space is normal already
+        self.plain_lib = Tokenizer.from_str(self.lib.to_str())
+        if self.words:
+            self.plain_lib.normalizer = None
+        self.alone = Known(self._chunks)
+        self.spaced = Known(self._chunks, " ")
+
+    @staticmethod
+    def _pack(found) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        return self._pack(self.plain_lib.encode_batch_fast(chunks, add_special_tokens=False))
 
     def _whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_chunk or "<|" in text or not SAFE.match(text):
-            return self._whole(text)
-        return b"".join(map(self.cache.__getitem__, self.chunks(text.lower() if self.lower else text)))
+        return self._pack([self.lib.encode(text, add_special_tokens=False)])[0]
+
+    def _words_of(self, texts: list[str]) -> list[bytes]:
+        split = [t.lower().split() for t in texts]
+        self.alone.learn(set().union(*split))
+        get = self.alone.now.__getitem__
+        return [b"".join(map(get, s)) for s in split]
+
+    def _bytes_of(self, texts: list[str]) -> list[bytes]:
+        """Where no two white spaces meet, words are cut at line ends and
+        spaces; a space goes to the word after it."""
+        lines = [[s.split(" ") for s in t.split("\n")] if not GAP.search(t) else None for t in texts]
+        chunks = [CHUNK.findall(t) if s is None else None for t, s in zip(texts, lines)]
+        self.alone.learn({p[0] for s in lines if s for p in s} | {"\n"} | set().union(*(c for c in chunks if c)))
+        self.spaced.learn(set().union(*(p[1:] for s in lines if s for p in s)))
+        alone, spaced = self.alone.now.__getitem__, self.spaced.now.__getitem__
+        end = alone("\n")
+        return [end.join([alone(p[0]) + b"".join(map(spaced, p[1:])) for p in s]) if s is not None
+                else b"".join(map(alone, c)) for s, c in zip(lines, chunks)]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; a null is empty."""
+        easy = [i for i, t in enumerate(texts) if t and (self.words or self.bytes) and "<|" not in t and SAFE.match(t)]
+        made = (self._words_of if self.words else self._bytes_of)([texts[i] for i in easy]) if easy else []
+        out = [b""] * len(texts)
+        for i, b in zip(easy, made):
+            out[i] = b
+        for i in set(range(len(texts))).difference(easy):
+            out[i] = self._whole(texts[i]) if texts[i] else b""
+        return out
 
 
 @lru_cache(2)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunk_cache import encoder, token_file
-from .common import documents, map_arrow, staged
+from .common import documents, map_arrow, slices, staged
 
 CAPACITY = 1024
 BLOCK = 50_000
@@ -102,16 +102,17 @@ def cut(df: DataFrame, key: str, text: str, path: str, end_id: int, capacity: in
 
     def run(batch: pa.RecordBatch):
         enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
-        ids, out = batch.column("doc_id").to_pylist(), []
-        for doc, t in zip(ids, batch.column("text")):
-            b = memoryview(enc.ids(t.as_py()) + end)
-            n = len(b) // 4
-            for a in range(0, n, capacity):
-                m = min(capacity, n - a)
-                out.append((doc, a, m, zlib.crc32(b[4 * a:4 * (a + m)]), n))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in zip(*out)],
-            names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        for part in slices(batch, "text"):
+            out = []
+            for doc, ids in zip(part.column("doc_id").to_pylist(), enc.ids(part.column("text").to_pylist())):
+                b = memoryview(ids + end)
+                n = len(b) // 4
+                for a in range(0, n, capacity):
+                    m = min(capacity, n - a)
+                    out.append((doc, a, m, zlib.crc32(b[4 * a:4 * (a + m)]), n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*out)],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return map_arrow(src, run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
 

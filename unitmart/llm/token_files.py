@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .chunk_cache import encoder, token_file
-from .common import arrow_batches, documents
+from .common import arrow_batches, documents, slices
 
 NULL_ID = -(1 << 63)
 
@@ -89,13 +89,12 @@ def write(df: DataFrame, key: str, text: str, path: str, end_id: int, folder: st
                 if not files:
                     files += [create(f"{name}.{x}") for x in ("ids", "offsets", "docs")]
                     files[1].write(np.zeros(1, "<u8").tobytes())
-                at = np.empty(batch.num_rows, "<u8")
-                for i, t in enumerate(batch.column("text")):
-                    ids = np.frombuffer(enc.ids(t.as_py()) + end, "<u4")
-                    files[0].write(ids.astype(kind).tobytes())
-                    total += len(ids)
-                    at[i] = total
-                files[1].write(at.tobytes())
+                for rows in slices(batch, "text"):
+                    made = [b + end for b in enc.ids(rows.column("text").to_pylist())]
+                    at = total + np.cumsum([len(b) // 4 for b in made]).astype("<u8")
+                    total = int(at[-1])
+                    files[0].write(np.frombuffer(b"".join(made), "<u4").astype(kind).tobytes())
+                    files[1].write(at.astype("<u8").tobytes())
                 files[2].write(np.asarray(batch.column("id").fill_null(NULL_ID)).astype("<i8").tobytes())
                 n += batch.num_rows
         finally:
