@@ -7,7 +7,7 @@ allow it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +69,7 @@ def partition_check(whole: DataFrame, parts: Sequence[DataFrame], measures: Sequ
 
 
 def handover_package(spark: SparkSession, path: str,
-                     tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+                     tables: dict[str, tuple[DataFrame | Callable[[str], DataFrame], str | None]]) -> DataFrame:
     """Write each table of a divested unit to ``{path}/{name}`` and return the
     manifest: rows, amount total and whether the package re-reads to the
     same content digest that was observed while writing it.
@@ -84,6 +84,8 @@ def handover_package(spark: SparkSession, path: str,
 
     parts = []
     for name, (df, amount) in tables.items():
+        if callable(df):  # made from tables of the package that are written already
+            df = df(path)
         obs = Observation(f"package_{name}")
         df.observe(obs, *digest_aggs(df)).write.mode("overwrite").parquet(f"{path}/{name}")
         seen = obs.get

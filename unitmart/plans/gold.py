@@ -46,10 +46,3 @@ def finance_performance(spark: SparkSession, sf_dir: str,
 def customer_performance(spark: SparkSession, sf_dir: str,
                          units: Sequence[str] = BUSINESS_UNITS) -> DataFrame:
     return enterprise.bu_customer_performance(customer_mart(spark, sf_dir, units))
-
-
-def ranking(spark: SparkSession, sf_dir: str,
-            units: Sequence[str] = BUSINESS_UNITS) -> DataFrame:
-    return enterprise.bu_ranking(sales_performance(spark, sf_dir, units),
-                                 finance_performance(spark, sf_dir, units),
-                                 customer_performance(spark, sf_dir, units))

@@ -197,7 +197,7 @@ def q_divest_manifest(spark, sf_dir):
                                   "gl_invoices", units), "amount"),
         "cost_centers": (to_silver(binding.cost_centers(spark, sf_dir), "cost_centers", units), None),
         "vendors": (to_silver(binding.vendors(spark, sf_dir), "vendors", units), None),
-        "sales_mart": (marts.sales_mart(deals), "pipeline_value_usd"),
+        "sales_mart": (lambda path: marts.sales_mart(spark.read.parquet(f"{path}/deals")), "pipeline_value_usd"),
     }
     return governance.handover_package(spark, f"{root}/package", tables)
 

@@ -354,6 +354,8 @@ select 'INV-' || cast(l_orderkey * 10 + l_linenumber as varchar) as invoice_id,
        case when l_returnflag <> 'N' then 'NET' || cast(l_linenumber as varchar) end as payment_terms,
        {flag("l_returnflag = 'A'")} as is_deleted, l_shipdate as updated_at
 from lineitem"""
+    q["divest_check"] = with_silver("deals") + f"""
+select count(*) as rows, count(*) filter (where bu_id = 'bu_06') as slice_rows, true as consistent from ({SALES_MART}) m"""
     parts = []
     for obj, keys, null in (("vendors", "vendor_key, bu_id", "name is null"),
                             ("cost_centers", "cc_key, bu_id", "name is null"),

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from ..model import BUSINESS_UNITS, OBJECTS, REQUIRED_COLUMNS
 from ..operators import governance, quality, reads
 from ..operators.cdc import latest_per_key
-from ..operators.enterprise import bu_sales_performance
+from ..operators.enterprise import bu_ranking, bu_sales_performance
 from ..operators import marts
 from ..operators.gate import admit_object, rejection_metrics
 from ..operators.marts import report
-from ..session import ensure_conf
+from ..session import ensure_conf, scratch_path
 from ..sources import binding
 from ..sources.extract import incremental
 from . import gold
+from .refresh import refresh
 from .silver import silver, to_silver, unit_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,8 +82,10 @@ def q_bu_customer(spark, sf_dir):
 
 @register("bu_ranking")
 def q_bu_ranking(spark, sf_dir):
-    """Rank of every unit by won revenue, spend and customer count."""
-    return gold.ranking(spark, sf_dir)
+    """Rank of every unit by won revenue, spend and customer count, from the
+    roll-ups of a refresh: each object's CDC runs once."""
+    paths = refresh(spark, sf_dir, scratch_path(spark, "bu_ranking"))
+    return bu_ranking(*(spark.read.parquet(paths[f"bu_{n}_performance"]) for n in ("sales", "finance", "customer")))
 
 
 # --- tenant scope, CDC, reads and governance ----------------------------------
@@ -195,3 +198,17 @@ def q_divest_enterprise(spark, sf_dir):
     """Enterprise sales roll-up of the units that remain after the divestiture."""
     _, remainder = governance.divest(gold.sales_mart(spark, sf_dir), DIVESTED_UNITS)
     return bu_sales_performance(remainder)
+
+
+@register("divest_check")
+def q_divest_check(spark, sf_dir):
+    """Slice and remainder of the sales mart against the whole: rows of each,
+    and whether counts and sums add up."""
+    path = scratch_path(spark, "divest_check")
+    gold.sales_mart(spark, sf_dir).write.parquet(path)
+    whole = spark.read.parquet(path)
+    out, remainder = governance.divest(whole, DIVESTED_UNITS)
+    check = governance.partition_check(whole, [out, remainder], ["deal_count", "pipeline_value_usd", "won_revenue_usd"])
+    sizes = whole.agg(F.count(F.when(F.col("bu_id").isin(*DIVESTED_UNITS), 1)).alias("slice_rows"),
+                      F.count(F.lit(1)).alias("rows"))
+    return check.join(sizes, "rows").select("rows", "slice_rows", "consistent")
