@@ -1,6 +1,6 @@
 """Banded alignment of many pairs of number sequences at once.
 
-Edit distance with unit costs, only within a band around the diagonal. A batch
+Numbers have 31 bits. Edit distance with unit costs, only within a band around the diagonal. A batch
 of pairs moves through its rows together, so each step is a few numpy
 operations over (pairs x band). The band starts narrow and widens for the
 pairs whose distance it cannot prove; a distance of at most the band is exact.
@@ -12,6 +12,7 @@ import numpy as np
 
 CELLS = 1 << 21  # numbers of one batch's padded matrices
 FAR = 1 << 28
+PAD = 0xFFFFFFFF  # equal to no number of a sequence: those have 31 bits
 
 
 def trim(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,14 +37,25 @@ def bag_bound(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - int(np.minimum(nx[i], ny[j]).sum())
 
 
+def one_shift(a: np.ndarray, b: np.ndarray) -> int:
+    """Cost of the best alignment that changes its diagonal once: from the one
+    through the first ends to the one through the last ends."""
+    if len(a) > len(b):
+        a, b = b, a
+    n, more = len(a), len(b) - len(a)
+    head = np.concatenate([[0], np.cumsum(a != b[:n])])
+    tail = np.concatenate([[0], np.cumsum((a != b[more:])[::-1])])[::-1]
+    return int((head + tail).min()) + more
+
+
 def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
     """Distances within the band; more than ``band`` where it is not proved.
     First sequences come in descending length."""
     n = np.array([len(a) for a, _ in pairs])
     m = np.array([len(b) for _, b in pairs])
     width, rows = 2 * band + 1, int(n.max(initial=0))
-    first = np.zeros((len(pairs), max(rows, 1)), np.int64)
-    second = np.full((len(pairs), rows + width + 1), -2, np.int64)
+    first = np.zeros((len(pairs), max(rows, 1)), np.uint32)
+    second = np.full((len(pairs), rows + width + 1), PAD, np.uint32)
     for i, (a, b) in enumerate(pairs):
         first[i, :len(a)] = a
         keep = b[:rows + band + 1]
@@ -82,6 +94,8 @@ def within(pairs: list[tuple[np.ndarray, np.ndarray]], limit: list[int], start:
         a, b = trim(a, b)
         if len(a) == 0 or len(b) == 0:
             good[k] = max(len(a), len(b)) <= limit[k]
+        elif one_shift(a, b) <= limit[k]:
+            good[k] = True
         elif bag_bound(a, b) <= limit[k]:
             todo.append((k, a, b))
     band = start

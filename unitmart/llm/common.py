@@ -87,6 +87,12 @@ def staged(spark: SparkSession, df: DataFrame, label: str, codec: str = "zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrowed(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """The same rows in no more tasks than ``rows`` of about ``each`` need, for
+    small tables on a session with very many shuffle partitions."""
+    return df.coalesce(max(8, -(-rows // each)))
+
+
 def arrow_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Bound Arrow batches by bytes, not only by rows: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))

@@ -13,21 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import narrowed, staged
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return (both.where(F.col("b") > F.col("a")).join(least, "a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+    hung = (both.where(F.col("b") > F.col("a")).join(least, "a")
+            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
+    return narrowed(narrowed(hung, n).distinct(), n)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n: int) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     to_least = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-    return to_least.union(least.select("a", F.col("m").alias("b"))).distinct()
+    hung = narrowed(to_least, n).union(narrowed(least.select("a", F.col("m").alias("b")), n))
+    return narrowed(hung.distinct(), n)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,9 +39,9 @@ def components(links: DataFrame) -> DataFrame:
     spark = links.sparkSession
     now = staged(spark, links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .distinct(), "links")
-    before = None
+    before, n = None, now.count()
     while True:
-        now = staged(spark, _small_star(_large_star(now)), "links")
+        now = staged(spark, _small_star(_large_star(now, n), n), "links")
         # settled when no node is both above and below, and none is below two
         mark = now.agg(F.count("a"), F.sum(F.hash("a", "b").cast("bigint")),
                        F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()

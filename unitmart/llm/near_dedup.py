@@ -9,10 +9,12 @@
    with a map-side minimum; only nodes go on.
 3. *Candidates.* Nodes with an equal key of the same sketch share a bucket. In
    a bucket of at most ``BLOCK`` nodes all pairs are candidates (a constant
-   number). In a larger one every node is paired with the least one, and the
-   bucket is split by each further sketch key; what is still large after that
-   is worked off in rounds: nodes that the verification did not link to their
-   bucket's least node form a bucket of their own.
+   number). In a larger one every node is paired with the least and with the
+   greatest one. The nodes that the verification links to neither go on to the
+   next level, where a bucket is split by each further key that its nodes
+   share with others: near-duplicates share most keys, while texts that merely
+   have a passage in common soon part. Levels end by themselves, as every one
+   takes a further key of at most ``SKETCHES``.
 4. *Verify.* A pair is a link if the edit distance of its word sequences is at
    most (1 - ``SIMILAR``) of the longer one, found by banded alignment over
    the whole sequences.
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .align import within
-from .common import documents, map_arrow, slices, staged
+from .common import documents, map_arrow, narrowed, slices, staged
 from .components import components
 from .words import gram_hash, mix, run_starts, split_words
 
@@ -44,7 +46,10 @@ SIMILAR = 0.8
 SKETCHES = 16
 PICK = 2
 BLOCK = 8
+PAIRS = 2_000  # pairs of texts in a task, about
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
+_SALTS = np.arange(1, SKETCHES + 1, dtype=np.uint64)
+LONG = 50_000  # k-mers of a text beyond which its hash functions are not taken at once
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -79,32 +84,35 @@ def sketches(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     row, h, size = labelled_kmers(arr)
     n = len(size)
     keys = np.zeros((n, SKETCHES), np.uint64)
-    if len(h) == 0:
-        return keys, size
     rows, first = np.unique(row, return_index=True)
-    count = np.diff(np.concatenate([first, [len(h)]]))
-    for j, seed in enumerate(_SEEDS):
-        v = (h ^ seed) * np.uint64(0xD6E8FEB86659FD93)
-        v ^= v >> np.uint64(32)
-        picked = np.full((len(rows), PICK), -1, np.int64)
-        for p in range(PICK):
-            least = np.minimum.reduceat(v, first)
-            hit = np.flatnonzero(v == np.repeat(least, count))
-            r = np.searchsorted(first, hit, "right") - 1
-            r, one = np.unique(r, return_index=True)
-            hit = hit[one]
-            open_ = least[r] != _MOST
-            picked[r[open_], p] = hit[open_]
-            v[hit] = _MOST
+    for r, a, b in zip(rows.tolist(), first.tolist(), [*first[1:].tolist(), len(h)]):
+        own = h[a:b]
+        if b - a <= LONG:
+            picked = _least(own[None, :], _SEEDS[:, None])
+        else:  # one hash function at a time
+            picked = np.concatenate([_least(own[None, :], seed[None, None]) for seed in _SEEDS])
         picked.sort(axis=1)  # text order; -1 (too few k-mers) first
-        key = np.full(len(rows), np.uint64(j + 1))
+        key = _SALTS.copy()
         for p in range(PICK):
-            own = np.where(picked[:, p] >= 0, h[picked[:, p]], np.uint64(0))
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + own)
-        keys[rows, j] = key
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.where(picked[:, p] >= 0, own[picked[:, p]], np.uint64(0)))
+        keys[r] = key
     return keys, size
 
 
+def _least(h: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Places of the ``PICK`` least hashes for each seed; -1 where there are
+    fewer k-mers."""
+    v = (h ^ seeds) * np.uint64(0xD6E8FEB86659FD93)
+    v ^= v >> np.uint64(32)
+    picked = np.full((len(v), PICK), -1, np.int64)
+    every = np.arange(len(v))
+    for p in range(min(PICK, v.shape[1])):
+        at = v.argmin(axis=1)
+        picked[:, p] = at
+        v[every, at] = _MOST
+    return picked
+
+
 def node_of(text: str):
     """The node of a text column."""
 
@@ -143,29 +151,37 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     return a.join(b, "bucket").where((F.col("a") > F.col("b")) & _close("n_a", "n_b")).select("a", "b")
 
 
+def _to_end(members: DataFrame, end: str) -> DataFrame:
+    """Members but the bucket's least or greatest node itself, with the pair
+    (a, b) that they make with it."""
+    return (members.where(F.col("node") != F.col(f"{end}.node"))
+            .withColumns({"a": F.greatest("node", f"{end}.node"), "b": F.least("node", f"{end}.node")}))
+
+
 def _star_pairs(members: DataFrame) -> DataFrame:
-    """Each member with its bucket's least node."""
-    return members.where((F.col("node") != F.col("least")) & _close("n", "n_least")).select(
-        F.col("node").alias("a"), F.col("least").alias("b"))
+    """Each member with its bucket's least and greatest node."""
+    least, most = (_to_end(members, end).where(_close("n", f"{end}.n")).select("a", "b") for end in ("least", "most"))
+    return least.union(most)
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members of buckets with more than one, with the bucket's size and least
-    node (and its length)."""
-    found = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("l"))
-             .where("size > 1").select("bucket", "size", F.col("l.node").alias("least"), F.col("l.n").alias("n_least")))
+    """Members (bucket, last, node, n) of buckets with more than one, with the
+    bucket's size and its least and greatest node."""
+    both = F.struct("node", "n")
+    found = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(both).alias("least"),
+                                           F.max(both).alias("most")).where("size > 1"))
     return members.join(found, "bucket")
 
 
 def payload_table(df: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
     """(node, words) for the given nodes (node, id), from one row of each:
-    32 bits a word."""
+    31 bits a word."""
     src = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
 
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "text"):
             w = split_words(part.column("text"))
-            short = (w.hash >> np.uint64(32)).astype("<u4")
+            short = (w.hash >> np.uint64(33)).astype("<u4")
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([digest(t) for t in part.column("text").to_pylist()], pa.binary()),
                  pa.array([short[a:b].tobytes() for a, b in zip(w.bounds, w.bounds[1:])], pa.binary())],
@@ -181,7 +197,8 @@ def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
     """(a, b, linked) of distinct candidate pairs."""
     left = payload.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
     right = payload.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "words_a", "words_b")
+    n = pairs.count()
+    both = narrowed(pairs.join(right, "b"), n, PAIRS).join(left, "a").select("a", "b", "words_a", "words_b")
 
     def run(batch: pa.RecordBatch):
         a, b = (batch.column(c).to_pylist() for c in ("words_a", "words_b"))
@@ -190,48 +207,44 @@ def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), pa.array(within(seqs, limit))], names=["a", "b", "linked"])
 
-    return map_arrow(both, run, "a binary, b binary, linked boolean")
+    return map_arrow(narrowed(both, n, PAIRS), run, "a binary, b binary, linked boolean")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, node (digest), class_id, first (whether its
-    node is the class's: of the rows with the least id, in a class of several
-    texts under one id the least digest)."""
+    """One row per input row: id, node (digest), class_id, first (whether it
+    stands for its class: the row with the least id, and of several texts under
+    that id the one with the least digest; repeated rows are alike)."""
     spark = df.sparkSession
     rows = staged(spark, sketch_table(df, key, text), "sketches")
     nodes = staged(spark, rows.groupBy("node").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.first("keys").alias("keys")), "nodes")
-    keyed = nodes.where(F.size("keys") > 0)
-    buckets = _sized(keyed.select("node", "n", F.explode("keys").alias("bucket")))
-    buckets = staged(spark, buckets, "buckets")
-    small, large = buckets.where(F.col("size") <= BLOCK), buckets.where(F.col("size") > BLOCK)
-    # a large bucket is split by every other large bucket its nodes are in
-    of_node = large.select("node", "bucket", "n")
-    finer = _sized(of_node.join(of_node.select("node", F.col("bucket").alias("other")), "node")
-                   .where("bucket < other").select("node", "n", F.xxhash64("bucket", "other").alias("bucket")))
-    finer = staged(spark, finer, "finer")
-    pairs = (_block_pairs(small).union(_star_pairs(large)).union(_block_pairs(finer.where(F.col("size") <= BLOCK)))
-             .union(_star_pairs(finer.where(F.col("size") > BLOCK))).distinct())
-    pairs = staged(spark, pairs, "pairs")
-    in_pairs = (pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-                .union(finer.where(F.col("size") > BLOCK).select("node")).distinct())
-    payload = staged(spark, payload_table(df, key, text, nodes.join(in_pairs, "node").select("node", "id")), "payload")
-    links = staged(spark, verify(pairs, payload).where("linked").select("a", "b"), "verified")
-    # nodes of large fine buckets that are not linked to the least one
-    rest = finer.where((F.col("size") > BLOCK) & (F.col("node") != F.col("least"))).select(
-        "bucket", "node", "n", "least")
+    keys = nodes.where(F.size("keys") > 0).select("node", "n", F.explode("keys").alias("bucket"))
+    members = staged(spark, _sized(keys.withColumn("last", F.col("bucket"))), "buckets")
+    shared = members.where(F.col("size") > BLOCK).select("node", F.col("bucket").alias("other"))
+    payload = pairs = links = None
     while True:
-        left = rest.join(links.select(F.col("a").alias("node"), F.col("b").alias("least")), ["node", "least"], "left_anti")
-        again = staged(spark, _sized(left.select("bucket", "node", "n")), "rest")
-        tail = again.where(F.col("size") <= BLOCK)
-        more = again.where(F.col("size") > BLOCK)
-        new = staged(spark, _block_pairs(tail).union(_star_pairs(more)).distinct()
-                     .join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty() and more.isEmpty():
+        size = members.count()
+        if size == 0 and pairs is not None:
             break
-        links = links.union(staged(spark, verify(new, payload).where("linked").select("a", "b"), "verified"))
-        pairs = pairs.union(new)
-        rest = more.where(F.col("node") != F.col("least")).select("bucket", "node", "n", "least")
+        small, large = members.where(F.col("size") <= BLOCK), members.where(F.col("size") > BLOCK)
+        new = narrowed(narrowed(_block_pairs(small), size).union(_star_pairs(large)).distinct(), size)
+        if pairs is not None:
+            new = narrowed(new.join(pairs, ["a", "b"], "left_anti"), size)
+        new = staged(spark, new, "pairs")
+        if payload is None:  # of every node that any level can pair
+            wanted = (new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node")))
+                      .union(shared.select("node")).distinct())
+            payload = staged(spark, payload_table(df, key, text, nodes.join(wanted, "node").select("node", "id")), "payload")
+        found = staged(spark, verify(new, payload).where("linked").select("a", "b"), "verified")
+        pairs = new if pairs is None else pairs.union(new)
+        links = found if links is None else links.union(found)
+        rest = large
+        for end in ("least", "most"):  # linked to neither end
+            rest = narrowed(_to_end(rest, end).join(links, ["a", "b"], "left_anti"), size)
+        rest = rest.select("bucket", "last", "node", "n")
+        finer = narrowed(rest, size).join(shared, "node").where("other > last").select(
+            F.xxhash64("bucket", "other").alias("bucket"), F.col("other").alias("last"), "node", "n")
+        members = staged(spark, narrowed(_sized(narrowed(finer, size)), size), "finer")
     roots = components(links)
     classed = nodes.select("node", "id").join(roots, "node", "left").select(
         "node", "id", F.coalesce("root", "node").alias("root"))
@@ -240,9 +253,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         "root", F.col("l.id").alias("class_id"), F.col("l.node").alias("first_node"))
     labels = staged(spark, classed.join(least, "root").select("node", "class_id", "first_node"), "classes")
     return rows.select("id", "node").join(labels, "node").select(
-        F.col("id").alias(key), "node", "class_id", (F.col("node") == F.col("first_node")).alias("first"))
+        F.col("id").alias(key), "node", "class_id",
+        ((F.col("node") == F.col("first_node")) & F.col("id").eqNullSafe(F.col("class_id"))).alias("first"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(documents(spark, sf_dir))
-    return out.select("doc_id", "class_id", (F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))
+    return out.select("doc_id", "class_id", F.col("first").alias("kept"))
