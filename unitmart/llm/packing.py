@@ -19,7 +19,6 @@ pieces.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
