@@ -238,10 +238,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         found = staged(spark, verify(new, payload).where("linked").select("a", "b"), "verified")
         pairs = new if pairs is None else pairs.union(new)
         links = found if links is None else links.union(found)
-        rest = large
-        for end in ("least", "most"):  # linked to neither end
-            rest = narrowed(_to_end(rest, end).join(links, ["a", "b"], "left_anti"), size)
-        rest = rest.select("bucket", "last", "node", "n")
+        own = lambda end: _to_end(large, end).select("bucket", "node", "a", "b")
+        linked = narrowed(own("least").union(own("most")).join(links, ["a", "b"], "left_semi"), size)
+        inner = large.where((F.col("node") != F.col("least.node")) & (F.col("node") != F.col("most.node")))
+        rest = inner.select("bucket", "last", "node", "n").join(
+            linked.select("bucket", "node"), ["bucket", "node"], "left_anti")
         finer = narrowed(rest, size).join(shared, "node").where("other > last").select(
             F.xxhash64("bucket", "other").alias("bucket"), F.col("other").alias("last"), "node", "n")
         members = staged(spark, narrowed(_sized(narrowed(finer, size)), size), "finer")
