@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunk_cache import SAFE, Encoder, token_file
-from .common import documents, map_arrow, slices
+from .common import documents, map_arrow, remembered, slices
 
 END = "￿"  # stands for the end-of-word suffix, so that it is one character
 KEEP = 200_000  # chunks and words that a worker remembers, in each generation
@@ -285,6 +285,9 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+remembered("codec", codec.cache_clear)
+
+
 def encode(df: DataFrame, text: str, path: str, *keep: str) -> DataFrame:
     """``keep`` columns, ``ids`` (array of int) and ``decoded``, row by row."""
     src = df.select(*keep, F.col(text).alias("_text"))
@@ -298,7 +301,7 @@ def encode(df: DataFrame, text: str, path: str, *keep: str) -> DataFrame:
                 names=[*part.schema.names[:-1], "ids", "decoded"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.drop("_text").schema)
-    return map_arrow(src, run, f"{kept.rstrip(', ')}, ids array<int>, decoded string".lstrip(", "))
+    return map_arrow(src, run, f"{kept.rstrip(', ')}, ids array<int>, decoded string".lstrip(", "), "codec")
 
 
 def digests(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
@@ -313,7 +316,7 @@ def digests(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return map_arrow(src, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(src, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", "codec")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:

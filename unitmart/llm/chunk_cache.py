@@ -17,6 +17,8 @@ import re
 import struct
 from functools import lru_cache
 
+from .common import remembered
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 SAFE = re.compile(r"[\x00-\x1b\x20-\u024f]*\Z")
@@ -129,3 +131,6 @@ class Encoder:
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+remembered("encoder", encoder.cache_clear)

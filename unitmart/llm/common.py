@@ -99,12 +99,29 @@ def arrow_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     ship(spark)
 
 
+# what a Python worker remembers between tasks: name, and how to forget it
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remembered(name: str, forget: Callable[[], None]) -> None:
+    _REMEMBERED[name] = forget
+
+
+def release(keep: str | None = None) -> None:
+    """Workers outlive tasks: forget what other operators remembered in this
+    one, so that their memory does not add up over a pipeline."""
+    for name, forget in _REMEMBERED.items():
+        if name != keep:
+            forget()
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str, remembers: str | None = None) -> DataFrame:
     """``mapInArrow`` over byte-bounded batches."""
     arrow_batches(df.sparkSession)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(remembers)
         for batch in it:
             if batch.num_rows:
                 yield from fn(batch)

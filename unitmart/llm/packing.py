@@ -113,7 +113,7 @@ def cut(df: DataFrame, key: str, text: str, path: str, end_id: int, capacity: in
                 [pa.array(c, pa.int64()) for c in zip(*out)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return map_arrow(src, run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+    return map_arrow(src, run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint", "encoder")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .chunk_cache import encoder, token_file
-from .common import arrow_batches, documents, slices
+from .common import arrow_batches, documents, release, slices
 
 NULL_ID = -(1 << 63)
 
@@ -76,6 +76,7 @@ def write(df: DataFrame, key: str, text: str, path: str, end_id: int, folder: st
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release("encoder")
         enc, files = encoder(path), []
         kind = "<u2" if max(enc.vocab_size, end_id + 1) <= 1 << 16 else "<u4"
         end = np.array([end_id], "<u4").tobytes()
