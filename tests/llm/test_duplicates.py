@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -212,3 +213,43 @@ def test_pipeline_of_nothing(spark, tmp_path):
 def test_digest_is_of_the_words():
     assert near_dedup.digest("a  b\n") == near_dedup.digest("a b") != near_dedup.digest("ab")
     assert near_dedup.digest(None) == near_dedup.digest(" ") == hashlib.blake2b(b"", digest_size=16).digest()
+
+
+def edited(rng: random.Random, words: list[str], share: float) -> list[str]:
+    """With that share of the words replaced, at random places."""
+    new = list(words)
+    for k in rng.sample(range(len(new)), int(share * len(new))):
+        new[k] = "e" + str(rng.randrange(1 << 40))
+    return new
+
+
+def test_large_group_of_edited_copies(spark, monkeypatch):
+    """Copies whose similarities straddle the threshold, all in one bucket."""
+    monkeypatch.setattr(near_dedup, "NODES", 7, raising=False)
+    monkeypatch.setattr(near_dedup, "sketches", lambda arr: (np.ones((len(arr), 1), np.uint64), np.full(len(arr), 60)))
+    rng = random.Random(100)
+    words = sentence(rng, 60).split()
+    docs = [(k, " ".join(edited(rng, words, 0.14))) for k in range(40)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()}
+    assert found == brute_classes(docs)
+
+
+@pytest.mark.parametrize("share", [0.1, 0.12, 0.13, 0.15, 0.2])
+def test_links_of_blocks(share):
+    rng = random.Random(int(100 * share))
+    words = sentence(rng, 60).split()
+    texts = [edited(rng, words, share) for _ in range(50)]
+    seqs = [np.array([zlib.crc32(w.encode()) >> 1 for w in t], np.uint32) for t in texts]
+    root = np.array([k // 2 for k in range(50)])
+    for second in (np.zeros(50, bool), np.arange(50) % 3 == 0):
+        found = near_dedup.links_between(seqs, root, second)
+        part, want = root.copy(), root.copy()
+        for i, j in found:
+            assert edit_distance(texts[i], texts[j]) <= 12
+            part[part == part[j]] = part[i]
+        for i in range(50):
+            for j in range(i):
+                if (not second.any() or second[i] != second[j]) and edit_distance(texts[i], texts[j]) <= 12:
+                    want[want == want[j]] = want[i]
+        assert [list(part).index(x) for x in part] == [list(want).index(x) for x in want]

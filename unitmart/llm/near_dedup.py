@@ -7,14 +7,16 @@
    k-mers come in the same order: that follows edit similarity.
 2. *Copies.* Texts with equal words are one node (a 128-bit digest), grouped
    with a map-side minimum; only nodes go on.
-3. *Candidates.* Nodes with an equal key of the same sketch share a bucket. In
-   a bucket of at most ``BLOCK`` nodes all pairs are candidates (a constant
-   number). In a larger one every node is paired with the least and with the
-   greatest one. The nodes that the verification links to neither go on to the
-   next level, where a bucket is split by each further key that its nodes
-   share with others: near-duplicates share most keys, while texts that merely
-   have a passage in common soon part. Levels end by themselves, as every one
-   takes a further key of at most ``SKETCHES``.
+3. *Candidates.* Nodes with an equal key of the same sketch share a bucket, and
+   every pair of a bucket is verified unless links found so far put it in one
+   class. In a bucket of at most ``BLOCK`` nodes all pairs are candidates. In a
+   larger one every node is first paired with the least and with the greatest
+   one, and the links make components. Where a bucket then holds several
+   components it is cut into blocks of at most about ``NODES`` nodes and
+   ``WORDS`` words, and every pair of blocks is one work item: it passes by
+   pairs whose length or word counts rule the similarity out (exact bounds) and
+   verifies the others, the likeliest first, until those left are linked.
+   Blocks of one large component are not compared with each other.
 4. *Verify.* A pair is a link if the edit distance of its word sequences is at
    most (1 - ``SIMILAR``) of the longer one, found by banded alignment over
    the whole sequences.
@@ -47,6 +49,8 @@ SKETCHES = 16
 PICK = 2
 BLOCK = 8
 PAIRS = 2_000  # pairs of texts in a task, about
+NODES, WORDS = 512, 1 << 18  # of a block, about
+BINS = 64  # of the word counts that are compared before an alignment
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
 _SALTS = np.arange(1, SKETCHES + 1, dtype=np.uint64)
 LONG = 50_000  # k-mers of a text beyond which its hash functions are not taken at once
@@ -151,21 +155,17 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     return a.join(b, "bucket").where((F.col("a") > F.col("b")) & _close("n_a", "n_b")).select("a", "b")
 
 
-def _to_end(members: DataFrame, end: str) -> DataFrame:
-    """Members but the bucket's least or greatest node itself, with the pair
-    (a, b) that they make with it."""
-    return (members.where(F.col("node") != F.col(f"{end}.node"))
-            .withColumns({"a": F.greatest("node", f"{end}.node"), "b": F.least("node", f"{end}.node")}))
-
-
 def _star_pairs(members: DataFrame) -> DataFrame:
     """Each member with its bucket's least and greatest node."""
-    least, most = (_to_end(members, end).where(_close("n", f"{end}.n")).select("a", "b") for end in ("least", "most"))
-    return least.union(most)
+    def to_end(end: str) -> DataFrame:
+        return (members.where((F.col("node") != F.col(f"{end}.node")) & _close("n", f"{end}.n"))
+                .select(F.greatest("node", f"{end}.node").alias("a"), F.least("node", f"{end}.node").alias("b")))
+
+    return to_end("least").union(to_end("most"))
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members (bucket, last, node, n) of buckets with more than one, with the
+    """Members (bucket, node, n) of buckets with more than one, with the
     bucket's size and its least and greatest node."""
     both = F.struct("node", "n")
     found = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(both).alias("least"),
@@ -210,6 +210,99 @@ def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
     return map_arrow(narrowed(both, n, PAIRS), run, "a binary, b binary, linked boolean")
 
 
+def _blocks(large: DataFrame) -> DataFrame:
+    """Members (bucket, node, n, root) of the buckets that hold several roots,
+    with their block; ``solid`` is the root of a block that has only this one.
+    A root with more than a block's share has blocks of its own."""
+    parts = F.ceil(F.greatest(F.col("c") / NODES, F.col("w") / WORDS))
+    roots = large.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+    roots = roots.withColumn("parts", parts).withColumn("solid", F.when(F.col("parts") > 1, F.col("root")))
+    mixed = roots.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum(F.when(F.col("solid").isNull(), F.col("c"))).alias("c"),
+        F.sum(F.when(F.col("solid").isNull(), F.col("w"))).alias("w")).where("roots > 1")
+    shares = roots.select("bucket", "root", "solid", "parts").join(
+        mixed.select("bucket", parts.alias("mixed_parts")), "bucket").withColumn(
+        "parts", F.when(F.col("solid").isNull(), F.col("mixed_parts")).otherwise(F.col("parts"))).drop("mixed_parts")
+    return large.join(shares, ["bucket", "root"]).withColumn(
+        "block", F.xxhash64("bucket", "solid", F.pmod(F.xxhash64("node"), "parts"))).drop("parts")
+
+
+def _work(blocks: DataFrame) -> DataFrame:
+    """(bucket, p, q, second, node, root): the members of every pair of blocks
+    that may hold an unverified pair; a block with itself where p = q."""
+    one = blocks.select("bucket", "block", "solid").distinct()
+    pairs = one.select("bucket", F.col("block").alias("p"), F.col("solid").alias("solid_p")).join(
+        one.select("bucket", F.col("block").alias("q"), F.col("solid").alias("solid_q")), "bucket").where(
+        (F.col("p") <= F.col("q")) & ~F.coalesce(F.col("solid_p") == F.col("solid_q"), F.lit(False)))
+    ends = pairs.select("bucket", "p", "q", F.explode(F.when(
+        F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("block"), F.lit(False).alias("second")))).otherwise(
+        F.array(F.struct(F.col("p").alias("block"), F.lit(False).alias("second")),
+                F.struct(F.col("q").alias("block"), F.lit(True).alias("second"))))).alias("end"))
+    return blocks.join(ends.select("bucket", "p", "q", "end.block", "end.second"), ["bucket", "block"]).select(
+        "bucket", "p", "q", "second", "node", "root")
+
+
+def links_between(seqs: list[np.ndarray], root: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join all components (first given by ``root``) that a link
+    between the first and the second part joins; within the whole if there is
+    no second part."""
+    size = np.array([len(x) for x in seqs])
+    counts = np.array([np.bincount(x % BINS, minlength=BINS) for x in seqs], np.int32)
+    left = np.flatnonzero(~second)
+    right = np.flatnonzero(second) if second.any() else left
+    ia, ib, far = [], [], []
+    for at in range(0, len(left), 32):
+        a = left[at:at + 32]
+        most = np.maximum(size[a][:, None], size[right][None, :])
+        limit = ((1 - SIMILAR) * most + 1e-9).astype(np.int64)
+        room = (root[a][:, None] != root[right][None, :]) & (most - np.minimum(size[a][:, None], size[right][None, :]) <= limit)
+        if right is left:
+            room &= a[:, None] < right[None, :]
+        x, y = np.nonzero(room)
+        for k in range(0, len(x), 1 << 14):
+            i, j = x[k:k + (1 << 14)], y[k:k + (1 << 14)]
+            # an edit changes the counts by two at most
+            apart = np.abs(counts[a[i]] - counts[right[j]]).sum(axis=1)
+            near = apart <= 2 * limit[i, j]
+            ia.append(a[i[near]])
+            ib.append(right[j[near]])
+            far.append(apart[near] / np.maximum(most[i, j][near], 1))
+    if not ia:
+        return []
+    order = np.argsort(np.concatenate(far), kind="stable")
+    a, b = np.concatenate(ia)[order], np.concatenate(ib)[order]
+    part = root.copy()  # now: the component of each node
+    links, take = [], 64
+    while len(a):
+        pairs = [(seqs[i], seqs[j]) for i, j in zip(a[:take], b[:take])]
+        good = within(pairs, [int((1 - SIMILAR) * max(len(x), len(y)) + 1e-9) for x, y in pairs])
+        for i, j in zip(a[:take][good].tolist(), b[:take][good].tolist()):
+            if part[i] != part[j]:
+                part[part == part[j]] = part[i]
+                links.append((i, j))
+        a, b = a[take:], b[take:]
+        open_ = part[a] != part[b]
+        a, b, take = a[open_], b[open_], min(2 * take, 4096)
+    return links
+
+
+def _links_within(large: DataFrame, roots: DataFrame, payload: DataFrame) -> DataFrame:
+    """Further links (a, b) of large buckets: all that join components."""
+    rooted = large.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    spark = large.sparkSession
+    work = _work(staged(spark, _blocks(staged(spark, rooted, "rooted")), "blocks"))
+
+    def run(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_pylist()
+        _, root = np.unique(np.array([x.hex() for x in table.column("root").to_pylist()]), return_inverse=True)
+        seqs = [np.frombuffer(x, "<u4") for x in table.column("words").to_pylist()]
+        found = links_between(seqs, root, np.array(table.column("second").to_pylist(), bool))
+        return pa.table({"a": pa.array([max(node[i], node[j]) for i, j in found], pa.binary()),
+                         "b": pa.array([min(node[i], node[j]) for i, j in found], pa.binary())})
+
+    return work.join(payload, "node").groupBy("bucket", "p", "q").applyInArrow(run, "a binary, b binary")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, node (digest), class_id, first (whether it
     stands for its class: the row with the least id, and of several texts under
@@ -219,34 +312,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     nodes = staged(spark, rows.groupBy("node").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.first("keys").alias("keys")), "nodes")
     keys = nodes.where(F.size("keys") > 0).select("node", "n", F.explode("keys").alias("bucket"))
-    members = staged(spark, _sized(keys.withColumn("last", F.col("bucket"))), "buckets")
-    shared = members.where(F.col("size") > BLOCK).select("node", F.col("bucket").alias("other"))
-    payload = pairs = links = None
-    while True:
-        size = members.count()
-        if size == 0 and pairs is not None:
-            break
-        small, large = members.where(F.col("size") <= BLOCK), members.where(F.col("size") > BLOCK)
-        new = narrowed(narrowed(_block_pairs(small), size).union(_star_pairs(large)).distinct(), size)
-        if pairs is not None:
-            new = narrowed(new.join(pairs, ["a", "b"], "left_anti"), size)
-        new = staged(spark, new, "pairs")
-        if payload is None:  # of every node that any level can pair
-            wanted = (new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node")))
-                      .union(shared.select("node")).distinct())
-            payload = staged(spark, payload_table(df, key, text, nodes.join(wanted, "node").select("node", "id")), "payload")
-        found = staged(spark, verify(new, payload).where("linked").select("a", "b"), "verified")
-        pairs = new if pairs is None else pairs.union(new)
-        links = found if links is None else links.union(found)
-        own = lambda end: _to_end(large, end).select("bucket", "node", "a", "b")
-        linked = narrowed(own("least").union(own("most")).join(links, ["a", "b"], "left_semi"), size)
-        inner = large.where((F.col("node") != F.col("least.node")) & (F.col("node") != F.col("most.node")))
-        rest = inner.select("bucket", "last", "node", "n").join(
-            linked.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        finer = narrowed(rest, size).join(shared, "node").where("other > last").select(
-            F.xxhash64("bucket", "other").alias("bucket"), F.col("other").alias("last"), "node", "n")
-        members = staged(spark, narrowed(_sized(narrowed(finer, size)), size), "finer")
+    members = staged(spark, _sized(keys), "buckets")
+    size = members.count()
+    small, large = members.where(F.col("size") <= BLOCK), members.where(F.col("size") > BLOCK)
+    pairs = staged(spark, narrowed(narrowed(_block_pairs(small), size).union(_star_pairs(large)).distinct(), size), "pairs")
+    wanted = (pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+              .union(large.select("node")).distinct())
+    payload = staged(spark, payload_table(df, key, text, nodes.join(wanted, "node").select("node", "id")), "payload")
+    links = staged(spark, verify(pairs, payload).where("linked").select("a", "b"), "verified")
     roots = components(links)
+    more = staged(spark, _links_within(large.select("bucket", "node", "n"), roots, payload), "within")
+    if not more.isEmpty():
+        roots = components(links.union(more))
     classed = nodes.select("node", "id").join(roots, "node", "left").select(
         "node", "id", F.coalesce("root", "node").alias("root"))
     least = classed.groupBy("root").agg(
