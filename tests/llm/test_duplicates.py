@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from unitmart.llm import align, near_dedup, substring_dedup
@@ -253,3 +254,14 @@ def test_links_of_blocks(share):
                 if (not second.any() or second[i] != second[j]) and edit_distance(texts[i], texts[j]) <= 12:
                     want[want == want[j]] = want[i]
         assert [list(part).index(x) for x in part] == [list(want).index(x) for x in want]
+
+
+@pytest.mark.parametrize("n,share,least", [(5, 0.2, 0.9), (10, 0.1, 0.9), (10, 0.2, 0.9), (20, 0.1, 0.9), (20, 0.2, 0.9), (36, 0.2, 0.9),
+                                           (60, 0.2, 0.9), (110, 0.2, 0.9), (200, 0.2, 0.9), (500, 0.2, 0.9), (500, 0.1, 0.99)])
+def test_similar_texts_share_a_key(n, share, least):
+    rng, hit = random.Random(n), 0
+    for _ in range(200):
+        words = sentence(rng, n).split()
+        (a, b), _ = near_dedup.sketches(pa.array([" ".join(words), " ".join(edited(rng, words, share))]))
+        hit += len(np.intersect1d(a, b)) > 0
+    assert hit >= 200 * least

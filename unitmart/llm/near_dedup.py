@@ -1,7 +1,9 @@
 """Near-duplicates by order MinHash, verified by banded alignment.
 
-1. *Sketch.* Words are runs without white space; k-mers are ``K`` consecutive
-   words, labelled by which occurrence in the text they are. For each of
+1. *Sketch.* Words are runs without white space; k-mers are consecutive words,
+   labelled by which occurrence in the text they are. ``TIERS`` gives their
+   size by the number of words, as changes leave short texts few long k-mers;
+   ranges overlap so that two texts of a similar length are in one. For each of
    ``SKETCHES`` hash functions the ``PICK`` least labelled k-mers are taken
    and joined in text order to one key, so the key agrees where the same
    k-mers come in the same order: that follows edit similarity.
@@ -22,7 +24,8 @@
    the whole sequences.
 5. *Classes* are the connected components of the links and copies.
 
-Defined results: texts with fewer than ``K`` words match only copies; null
+Defined results: texts with fewer than four words match only copies (no other
+text is similar enough); null
 texts count as empty, and all empty texts are copies of each other; a class id
 is the least document id in the class (null if it has none); repeated rows are
 copies; columns beyond key and text are ignored.
@@ -41,19 +44,21 @@ from pyspark.sql import functions as F
 from .align import within
 from .common import documents, map_arrow, narrowed, slices, staged
 from .components import components
-from .words import gram_hash, mix, run_starts, split_words
+from .words import Words, gram_hash, mix, run_starts, split_words
 
-K = 5
+# size of k-mers, and least and most words of a text; where a range begins, the
+# one before goes on to 1 / SIMILAR of that
+TIERS = ((2, 4, 40), (3, 32, 125), (5, 100, 1 << 62))
 SIMILAR = 0.8
-SKETCHES = 16
+SKETCHES = 80
 PICK = 2
 BLOCK = 8
 PAIRS = 2_000  # pairs of texts in a task, about
 NODES, WORDS = 512, 1 << 18  # of a block, about
 BINS = 64  # of the word counts that are compared before an alignment
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
-_SALTS = np.arange(1, SKETCHES + 1, dtype=np.uint64)
-LONG = 50_000  # k-mers of a text beyond which its hash functions are not taken at once
+_SALTS = np.arange(1, SKETCHES * len(TIERS) + 1, dtype=np.uint64).reshape(len(TIERS), SKETCHES)
+LONG = 10_000  # k-mers of a text beyond which its hash functions are not taken at once
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -62,14 +67,13 @@ def digest(text: str | None) -> bytes:
     return hashlib.blake2b(b" ".join((text or "").encode().split()), digest_size=16).digest()
 
 
-def labelled_kmers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash (k-mer and occurrence) and place of every k-mer, row by row;
-    and the number of words of each row."""
-    w = split_words(arr)
-    size = np.diff(w.bounds)
-    g = gram_hash(w.hash, K)
-    at = np.flatnonzero(run_starts(w.bounds, len(w.hash), K))
+def labelled_kmers(w: Words, k: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash (k-mer and occurrence) of every k-mer of the wanted rows,
+    row by row."""
+    g = gram_hash(w.hash, k)
+    at = np.flatnonzero(run_starts(w.bounds, len(w.hash), k))
     row = np.searchsorted(w.bounds, at, "right") - 1
+    at, row = at[wanted[row]], row[wanted[row]]
     g = g[at]
     own = g ^ mix(row.astype(np.uint64) + np.uint64(1))
     order = np.argsort(own, kind="stable")
@@ -79,30 +83,37 @@ def labelled_kmers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         new = np.concatenate([[True], s[1:] != s[:-1]])
         first = np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
         same[order] = np.arange(len(s)) - first
-    return row, mix(g + same.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), size
-
-
-def sketches(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (rows x sketches) and words of each text; keys of texts without a
-    k-mer are undefined."""
-    row, h, size = labelled_kmers(arr)
-    n = len(size)
-    keys = np.zeros((n, SKETCHES), np.uint64)
-    rows, first = np.unique(row, return_index=True)
-    for r, a, b in zip(rows.tolist(), first.tolist(), [*first[1:].tolist(), len(h)]):
-        own = h[a:b]
-        if b - a <= LONG:
-            picked = _least(own[None, :], _SEEDS[:, None])
-        else:  # one hash function at a time
-            picked = np.concatenate([_least(own[None, :], seed[None, None]) for seed in _SEEDS])
-        picked.sort(axis=1)  # text order; -1 (too few k-mers) first
-        key = _SALTS.copy()
-        for p in range(PICK):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.where(picked[:, p] >= 0, own[picked[:, p]], np.uint64(0)))
-        keys[r] = key
+    return row, mix(g + same.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def sketches(arr: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """Keys (of each of its tiers) and words of each text."""
+    w = split_words(arr)
+    size = np.diff(w.bounds)
+    keys = [np.zeros(0, np.uint64)] * len(size)
+    for (k, least, most), salts in zip(TIERS, _SALTS):
+        wanted = (size >= least) & (size <= most)
+        if not wanted.any():
+            continue
+        row, h = labelled_kmers(w, k, wanted)
+        rows, first = np.unique(row, return_index=True)
+        for r, a, b in zip(rows.tolist(), first.tolist(), [*first[1:].tolist(), len(h)]):
+            keys[r] = np.concatenate([keys[r], _keys(h[a:b], salts)])
     return keys, size
 
 
+def _keys(own: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    if len(own) <= LONG:
+        picked = _least(own[None, :], _SEEDS[:, None])
+    else:  # one hash function at a time
+        picked = np.concatenate([_least(own[None, :], seed[None, None]) for seed in _SEEDS])
+    picked.sort(axis=1)  # text order; -1 (too few k-mers) first
+    key = salts
+    for p in range(PICK):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.where(picked[:, p] >= 0, own[picked[:, p]], np.uint64(0)))
+    return key
+
+
 def _least(h: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Places of the ``PICK`` least hashes for each seed; -1 where there are
     fewer k-mers."""
@@ -134,10 +145,9 @@ def sketch_table(df: DataFrame, key: str, text: str) -> DataFrame:
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "text"):
             keys, size = sketches(part.column("text"))
-            lists = [k.tolist() if n >= K else [] for k, n in zip(keys.view(np.int64), size)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([digest(t) for t in part.column("text").to_pylist()], pa.binary()),
-                 pa.array(size, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                 pa.array(size, pa.int64()), pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64()))],
                 names=["id", "node", "n", "keys"])
 
     return map_arrow(src, run, "id bigint, node binary, n bigint, keys array<bigint>")
@@ -167,10 +177,12 @@ def _star_pairs(members: DataFrame) -> DataFrame:
 def _sized(members: DataFrame) -> DataFrame:
     """Members (bucket, node, n) of buckets with more than one, with the
     bucket's size and its least and greatest node."""
+    spark = members.sparkSession
+    sizes = staged(spark, members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    shared = staged(spark, members.join(sizes, "bucket"), "shared")
     both = F.struct("node", "n")
-    found = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(both).alias("least"),
-                                           F.max(both).alias("most")).where("size > 1"))
-    return members.join(found, "bucket")
+    ends = shared.where(F.col("size") > BLOCK).groupBy("bucket").agg(F.min(both).alias("least"), F.max(both).alias("most"))
+    return shared.join(ends, "bucket", "left")
 
 
 def payload_table(df: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
