@@ -159,6 +159,19 @@ def test_syncmers_do_not_depend_on_context():
     assert len(inner(core[:20])) == syncmers.K - syncmers.S + 1
 
 
+def test_fingerprints_of_repeated_passages():
+    rng = np.random.default_rng(4)
+    make = lambda n: "".join(rng.choice(list("abcdefg "), n))
+    texts = [make(n) * times for n in (30, 400, 1500, 9000) for times in (1, 2, 5, 10, 50)] + ["", "short", "ab" * 5000]
+    for t, found in zip(texts, syncmers.fingerprints(texts)):
+        _, h, place = syncmers.anchors(pa.array([t]))
+        first: dict = {}
+        for x, p in zip(h.tolist(), place.tolist()):
+            first.setdefault(x, p)
+        want = [(x >> 32, first[x] // syncmers.UNIT & 0xFFFF) for x in sorted(first)[:syncmers.SIZE]]
+        assert len(h) == 0 or [(int(x), int(p)) for x, p in found.tolist()] == want
+
+
 PAGE = """<!doctype html><html><head><title>no</title><style>p{}</style></head><body class="main">
 <!-- <p>hidden</p> --><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad-box">Buy now!</div>
 <article><h1>A &amp; B</h1><p>First&nbsp;par   with <b>bold</b> and

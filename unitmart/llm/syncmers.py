@@ -66,6 +66,15 @@ def anchors(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, span_hash(sums, at, at + K), at - offsets[row]
 
 
+def _different(row: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By row and hash, each hash once in a row: at its first place."""
+    order = np.lexsort((at, h, row))
+    row, h, at = row[order], h[order], at[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    return row[new], h[new], at[new]
+
+
 def fingerprints(texts: list[str | None]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     part: list[str] = []
@@ -82,17 +91,20 @@ def fingerprints(texts: list[str | None]) -> list[np.ndarray]:
 def _fingerprints(texts: list[str]) -> list[np.ndarray]:
     row, h, at = anchors(pa.array(texts, pa.large_string()))
     count = np.bincount(row, minlength=len(texts))
-    # far fewer than all can be among the least: sort only those under a bound
+    # far fewer than all can be among the least: sort only those under a bound,
+    # and texts that have too few different ones there in full
     bound = np.minimum(4.0 * SIZE / np.maximum(count, 1), 1.0)
     near = h <= (bound * (2.0**64 - 2**11)).astype(np.uint64)[row]
-    full = np.bincount(row[near], minlength=len(texts)) < np.minimum(count, 2 * SIZE)
-    near |= full[row]
-    row, h, at = row[near], h[near], at[near]
-    order = np.lexsort((at, h, row))
-    row, h, at = row[order], h[order], at[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-    row, h, at = row[new], h[new], at[new]
+    least = _different(row[near], h[near], at[near])
+    under = np.bincount(row[near], minlength=len(texts))
+    short = (np.bincount(least[0], minlength=len(texts)) < SIZE) & (under < count)
+    if short.any():
+        full, done = short[row], ~short[least[0]]
+        rest = _different(row[full], h[full], at[full])
+        least = tuple(np.concatenate([x[done], y]) for x, y in zip(least, rest))
+        order = np.argsort(least[0], kind="stable")
+        least = tuple(x[order] for x in least)
+    row, h, at = least
     bounds = np.searchsorted(row, np.arange(len(texts) + 1))
     made = np.empty(len(row), _ANCHOR)
     made["hash"] = (h >> np.uint64(32)).astype(np.uint32)
