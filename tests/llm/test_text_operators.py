@@ -172,6 +172,18 @@ def test_fingerprints_of_repeated_passages():
         assert len(h) == 0 or [(int(x), int(p)) for x, p in found.tolist()] == want
 
 
+@pytest.mark.parametrize("n", [1000, 20_000, 400_000])
+def test_likeness_of_long_texts_with_insertions(n):
+    rng = np.random.default_rng(n)
+    words = ["".join(map(chr, w)) for w in rng.integers(97, 123, (n, 5))]
+    more = [w + (" inserted" if k % 200 == 7 else "") for k, w in enumerate(words)]
+    a, b = syncmers.fingerprints([" ".join(words), " ".join(more)])
+    common = len(np.intersect1d(a["hash"], b["hash"]))
+    assert common > 20 and syncmers.likeness(a, b) >= 0.75
+    swapped = " ".join(words[n // 2:] + words[:n // 2])
+    assert syncmers.likeness(a, syncmers.fingerprints([swapped])[0]) < 0.95
+
+
 PAGE = """<!doctype html><html><head><title>no</title><style>p{}</style></head><body class="main">
 <!-- <p>hidden</p> --><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="ad-box">Buy now!</div>
 <article><h1>A &amp; B</h1><p>First&nbsp;par   with <b>bold</b> and

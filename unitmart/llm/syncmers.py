@@ -5,10 +5,11 @@ its inner s-mers (``S`` bytes, in hash order) is the first or the last. That
 depends on the k-mer alone, so equal passages have equal anchors in any
 context. A fingerprint holds the ``SIZE`` anchors with the least hashes and
 their places; it is written as hex, six bytes an anchor (32 bits of hash, then
-the place in units of ``UNIT`` bytes). A text without any syncmer has one
+the place in units of ``UNIT`` bytes, doubled until the places fit 16 bits). A text without any syncmer has one
 anchor: the hash of the whole. The likeness of two fingerprints estimates the
 share of anchors in common (twice the common ones through the sum), and counts
-a common anchor only if its shift of place agrees with that of the others.
+of the common anchors the longest chain that comes in the same order in both
+texts, however far insertions move it.
 
 To pair each document with the next one, ids are dealt into ranges whose first
 keys are known; each range also receives the first row of the one after it (the
@@ -23,6 +24,7 @@ single row is its own next document; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,7 +110,13 @@ def _fingerprints(texts: list[str]) -> list[np.ndarray]:
     bounds = np.searchsorted(row, np.arange(len(texts) + 1))
     made = np.empty(len(row), _ANCHOR)
     made["hash"] = (h >> np.uint64(32)).astype(np.uint32)
-    made["place"] = (at // UNIT) & 0xFFFF
+    last = np.zeros(len(texts), np.int64)
+    np.maximum.at(last, row, at // UNIT)
+    while (last > 0xFFFF).any():
+        far = last > 0xFFFF
+        last[far] >>= 1
+        at = np.where(far[row], at >> 1, at)
+    made["place"] = at // UNIT
     out = []
     for i, t in enumerate(texts):
         own = made[bounds[i]:min(bounds[i + 1], bounds[i] + SIZE)]
@@ -118,6 +126,15 @@ def _fingerprints(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
+def _chain(x: list[int], y: list[int]) -> int:
+    """Length of the longest chain of points that descends in neither place."""
+    ends: list[int] = []
+    for _, v in sorted(zip(x, y)):
+        k = bisect_right(ends, v)
+        ends[k:k + 1] = [v]
+    return len(ends)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Likeness of two fingerprints, from 0 to 1."""
     if a.tobytes() == b.tobytes():
@@ -130,13 +147,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         return 0.0
     either = np.union1d(x, y)[:SIZE]
     use = both <= either[-1]
-    shift = (b["place"][j][use].astype(np.int64) - a["place"][i][use]) & 0xFFFF
-    if len(shift) == 0:
-        return 0.0
-    value, n = np.unique(shift, return_counts=True)
-    votes = dict(zip(value.tolist(), n.tolist()))
-    agree = max(votes.get((v - 1) & 0xFFFF, 0) + c + votes.get((v + 1) & 0xFFFF, 0) for v, c in votes.items())
-    share = agree / len(either)
+    share = _chain(a["place"][i][use].tolist(), b["place"][j][use].tolist()) / len(either)
     return 2 * share / (1 + share)
 
 
