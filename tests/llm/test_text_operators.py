@@ -113,6 +113,14 @@ def test_language_held_out(spark):
     assert zlib.crc32(b"17") == spark.range(17, 18).select(id_crc("id")).first()[0]
 
 
+def test_language_is_learned_from_different_texts(spark):
+    rows = [(f"text number {k} of {lang}", lang) for lang in ("en", "de") for k in range(30)]
+    plain = language_id.learn(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", 20)
+    hot = spark.createDataFrame(rows + rows[::2] * 40, "text string, lang string").repartition(3)
+    copied = language_id.learn(hot, "text", "lang", 20)
+    assert copied.langs == plain.langs and np.array_equal(copied.logp, plain.logp)
+
+
 def test_language_odd_rows(odd_docs, no_docs):
     model = language_id.learn(odd_docs, "text", "lang")
     assert set(model.langs) == {"en", "fr"}

@@ -1,7 +1,7 @@
 """Language identification: multinomial naive Bayes over hashed character
 n-grams; the log-probability matrix is broadcast, scoring is batched numpy.
 
-Learning takes a bounded sample of labelled rows per language
+Learning takes a bounded sample of different labelled texts per language
 (``per_language``); every row is scored, over its whole text. Hashed n-gram
 counts are summed by Spark, so the driver receives at most
 ``languages x buckets`` counts.
@@ -79,14 +79,16 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def learn(df: DataFrame, text: str, lang: str, per_language: int = PER_LANGUAGE,
           smoothing: float = 0.05) -> Model | None:
-    """Fit on at most ``per_language`` rows of each language (chosen by a hash
-    of the text); None where there is no labelled row."""
+    """Fit on at most ``per_language`` different texts of each language (chosen
+    by a hash of the text); None where there is no labelled row."""
     src = (df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
            .select(F.col(lang).alias("lang"), F.xxhash64(text).alias("pick"), F.col(text).alias("text")))
     cut = (src.select("lang", "pick").distinct()
            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("pick")))
            .where(F.col("rank") <= per_language).select("lang", "pick"))
-    sample = src.join(F.broadcast(cut), ["lang", "pick"], "left_semi").select("lang", "text")
+    # a copy of a chosen text adds nothing to learn
+    sample = (src.join(F.broadcast(cut), ["lang", "pick"], "left_semi")
+              .dropDuplicates(["lang", "pick"]).select("lang", "text"))
 
     def count(batch: pa.RecordBatch):
         total: dict[str, np.ndarray] = {}
