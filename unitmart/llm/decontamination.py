@@ -253,9 +253,9 @@ def scan(texts: Iterable[str | None], items: Items, shard_words: int = SHARD_WOR
 
 def _merged(runs: list[np.ndarray] | None) -> np.ndarray:
     """Disjoint runs in order: 2 x n starts and ends."""
-    if not runs:
-        return np.zeros((2, 0), np.int64)
-    both = np.concatenate(runs, axis=1)
+    both = np.concatenate([np.zeros((2, 0), np.int64), *(runs or ())], axis=1)
+    if not both.size:
+        return both
     both = both[:, np.argsort(both[0], kind="stable")]
     reach = np.maximum.accumulate(both[1])
     new = np.r_[True, both[0][1:] > reach[:-1]]
