@@ -13,8 +13,10 @@ Search (``search``), for a block of queries:
    below the real one, and the greatest contribution that a tf below the next
    level can make, times the term's weight, summed over the terms of a query,
    is an upper bound of every document's score;
-2. the documents with the greatest bounds are scored exactly; the k-th of
-   these scores is a floor of the k-th best one;
+2. some documents are scored exactly: those with the greatest sums when each
+   term's weight is lowered by the chance that its bits are set by other keys
+   (else the false positives of rare terms would fill the list). The k-th of
+   these scores is a floor of the k-th best one, whichever were tried;
 3. every document whose bound reaches its query's floor is scored exactly.
    What is passed by is provably below the floor; nothing else is left out.
 
@@ -48,9 +50,10 @@ from pyspark.sql import types as T
 from .common import arrow_batches, documents, release, staged, table
 from .terms import query_blocks, term_chunks, terms
 
-# Signature parameters: a key of a full document sets 8 of 12 bits per key, so a
-# foreign one is found by chance with a probability of about 0.003.
-BITS, HASHES = 12, 8
+# Signature parameters: a key sets 8 bits of 16 per key, so that in the fullest
+# documents of a block a foreign key is found by chance in CHANCE of all cases.
+BITS, HASHES = 16, 8
+CHANCE = (1 - math.exp(-HASHES / BITS)) ** HASHES
 LEVELS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128)
 GROUP_BYTES = 4 << 20    # text that is cut into blocks at a time
 BLOCK_DOCS = 1024
@@ -187,13 +190,18 @@ class Weighted:
         self.queries, self.docs, self.total = queries, docs, total
         self.weights = np.array([math.floor(1000 * math.log((2 * docs + 2) / (2 * df.get(t, 0) + 1)))
                                  for t in range(len(queries.vocabulary))], np.float64)
+        held = np.array([df.get(t, 0) for t in range(len(queries.vocabulary))], np.float64)
+        self.likely = self.weights * held / (held + CHANCE * docs)
 
     def damping(self, n):
         """20 * m of documents of ``n`` terms."""
         return 20 * (50 + (50 * n * self.docs) // self.total)
 
-    def bounds(self, lens: np.ndarray, width: int, slices: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Upper bounds of all scores of a block: queries x documents."""
+    def bounds(self, lens: np.ndarray, width: int, slices: np.ndarray, hashes: np.ndarray,
+               likely: bool = False) -> np.ndarray:
+        """Upper bounds of all scores of a block: queries x documents. ``likely``:
+        the same sums with lowered weights, for the choice of what to try."""
+        weights = self.likely if likely else self.weights
         size = len(lens)
         damping = np.array([self.damping(int(n)) for n in lens], np.int64)
         gain = np.zeros((len(hashes), size))
@@ -214,7 +222,7 @@ class Weighted:
             else:
                 row, column = np.nonzero(found)
                 gain[live[row], column] = reach[column]
-        return np.stack([self.weights[t] @ gain[t] for t in self.queries.terms])
+        return np.stack([weights[t] @ gain[t] for t in self.queries.terms])
 
     def scores(self, text: str | None, wanted: Sequence[int]) -> list[int]:
         """Exact scores of one document for the queries ``wanted``."""
@@ -254,7 +262,7 @@ def document_counts(docs: DataFrame, queries: Queries, text_col: str = "text") -
 
 # --- search ---------------------------------------------------------------------
 
-def _each_block(index: DataFrame, weighted: Weighted, per_block, at_end, schema) -> DataFrame:
+def _each_block(index: DataFrame, weighted: Weighted, per_block, at_end, schema, likely: bool = False) -> DataFrame:
     """Map the index: ``per_block(ids, bounds)`` and ``at_end()`` of a new state
     per task yield (columns) of the schema."""
     names = schema.fieldNames()
@@ -275,7 +283,7 @@ def _each_block(index: DataFrame, weighted: Weighted, per_block, at_end, schema)
             for i in range(batch.num_rows):
                 lens = np.array(batch.column("lens")[i].values, np.int64)
                 slices = np.frombuffer(batch.column("slices")[i].as_buffer(), np.uint8).reshape(-1, -(-len(lens) // 8))
-                bounds = weighted.bounds(lens, batch.column("width")[i].as_py(), slices, hashes)
+                bounds = weighted.bounds(lens, batch.column("width")[i].as_py(), slices, hashes, likely)
                 columns = per_block(state, batch.column("ids")[i].values.to_pylist(), bounds)
                 if columns is not None:
                     yield out(columns)
@@ -285,8 +293,8 @@ def _each_block(index: DataFrame, weighted: Weighted, per_block, at_end, schema)
     return index.mapInArrow(run, schema)
 
 
-def _greatest_bounds(index: DataFrame, weighted: Weighted, top: int) -> DataFrame:
-    """(query, id) of the ``top`` documents of greatest bounds of each query."""
+def _likely_best(index: DataFrame, weighted: Weighted, top: int) -> DataFrame:
+    """(query, id) of the ``top`` documents of each query that are tried first."""
     def per_block(state: dict, ids: list, bounds: np.ndarray):
         ids = np.array([*ids, None], object)[:-1]  # one-dimensional whatever the ids are
         if state:
@@ -305,7 +313,7 @@ def _greatest_bounds(index: DataFrame, weighted: Weighted, top: int) -> DataFram
 
     schema = T.StructType([T.StructField("query", T.IntegerType()), T.StructField("bound", T.DoubleType()),
                            T.StructField("id", index.schema["ids"].dataType.elementType)])
-    best = _each_block(index, weighted, per_block, at_end, schema)
+    best = _each_block(index, weighted, per_block, at_end, schema, likely=True)
     order = Window.partitionBy("query").orderBy(F.desc("bound"), "id")
     return best.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).select("query", "id")
 
@@ -388,7 +396,7 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, id_col: str = "d
             continue
         weighted = Weighted(asked, int(size.docs), int(size.total), document_counts(plain, asked, "text"))
         # at most top rows of each of at most QUERY_ROWS queries
-        probes = staged(spark, _by_id(_greatest_bounds(index, weighted, top)), "probes")
+        probes = staged(spark, _by_id(_likely_best(index, weighted, top)), "probes")
         tried = _best(_scored(plain, weighted, probes, top, small=True), top)
         floors = np.ones(len(asked.keys))
         for r in tried.where(F.col("rank") == top).select("query", "score").collect():
