@@ -205,3 +205,94 @@ def test_ordered_extract_is_in_update_order(spark):
         .alias("updated_at")).repartition(5)
     got = [r[0] for r in incremental(df, "2024-01-01T00:00:10Z", ordered=True).collect()]
     assert len(got) == 489 and got == sorted(got)
+
+
+def things(spark, n=100):
+    return spark.range(n).select(
+        F.col("id").alias("k"), F.concat(F.lit("bu_0"), (F.col("id") % 2 + 1).cast("string")).alias("bu_id"),
+        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("updated_at"))
+
+
+def test_ingest_reads_its_source_once(spark, scratch):
+    for fmt in ("lines", "array"):
+        read, root = spark.sparkContext.accumulator(0), f"{scratch}/{fmt}"
+
+        @F.udf("long")
+        def counted(k, read=read):
+            read.add(1)
+            return k
+
+        feed = things(spark).withColumn("k", counted.asNondeterministic()("k"))
+        done = ingest(spark, feed, "crm", "things", f"{root}/landing", f"{root}/audit", fmt=fmt, records_per_file=7)
+        assert (done.status, done.records, done.watermark_after) == ("SUCCESS", 100, "2024-01-01 00:01:39.000000")
+        assert read.value == 100
+        landed = parse_landing(read_landing(spark, f"{root}/landing/crm/things", fmt=fmt), landing_schema(feed.schema))
+        assert landed.count() == 100 and rows(landed.select("_batch_id").distinct()) == [(done.batch_id,)]
+
+
+def test_totals_of_the_write_equal_the_digest_of_the_feed(spark, scratch):
+    from unitmart.functions.hashing import content_digest, digest_aggs, digest_measures, digest_text
+    feed = things(spark).unionByName(things(spark, 3))
+    want = feed.agg(*digest_aggs(feed)).select(content_digest("x", None)).first()[0]
+    for fmt in ("lines", "array"):
+        seen = write_landing(feed, f"{scratch}/{fmt}", fmt, records_per_file=10, measures=digest_measures(feed))
+        assert digest_text("x", None, seen) == want
+
+
+def test_a_crashed_run_is_dropped_before_its_audit_row(spark, scratch, monkeypatch):
+    crashed_run(spark, scratch, monkeypatch, "append_audit", 1)
+
+
+def test_a_crashed_run_is_published_after_its_audit_row(spark, scratch, monkeypatch):
+    crashed_run(spark, scratch, monkeypatch, "_publish", 2)
+
+
+def crashed_run(spark, scratch, monkeypatch, step, audited):
+    from unitmart.session import list_names
+    from unitmart.sources import ingest as module
+    land, audit, path = f"{scratch}/landing", f"{scratch}/audit", f"{scratch}/landing/crm/things"
+
+    def crash(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(module, step, crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            ingest(spark, things(spark, 60), "crm", "things", land, audit)
+    assert len(list_names(spark, f"{path}/_runs")) == 1
+    assert not [n for n in list_names(spark, path) if n.startswith("batch=")]  # nothing visible
+    ingest(spark, things(spark), "crm", "things", land, audit)
+    assert list_names(spark, f"{path}/_runs") == []
+    landed = parse_landing(read_landing(spark, path), landing_schema(things(spark).schema))
+    assert rows(landed.select("k")) == [(k,) for k in sorted(range(100), key=lambda k: repr((k,)))]
+    assert audit_table(spark, audit).count() == audited
+
+
+def test_a_failed_write_is_audited_and_leaves_no_run(spark, scratch):
+    from unitmart.session import list_names
+    bad = things(spark).withColumn("k", F.when(F.col("k") < 50, F.col("k")).otherwise(F.raise_error(F.lit("broken")).cast("long")))
+    with pytest.raises(Exception, match="broken"):
+        ingest(spark, bad, "crm", "things", f"{scratch}/landing", f"{scratch}/audit")
+    assert rows(audit_table(spark, f"{scratch}/audit"), "status") == [("FAILED",)]
+    assert list_names(spark, f"{scratch}/landing/crm/things/_runs") == []
+    assert ingest(spark, things(spark), "crm", "things", f"{scratch}/landing", f"{scratch}/audit").records == 100
+
+
+def test_systems_with_equal_feeds_keep_their_own_batches(spark, scratch):
+    land, audit = f"{scratch}/landing", f"{scratch}/audit"
+    done = [ingest(spark, things(spark), s, "things", land, audit, use_stored_watermark=False) for s in ("crm", "erp", "crm")]
+    assert [d.status for d in done] == ["SUCCESS", "SUCCESS", "SKIPPED"] and done[0].batch_id != done[1].batch_id
+    assert current_watermark(spark, audit, "erp", "things") == "2024-01-01 00:01:39.000000"
+
+
+def test_an_empty_table_can_be_read_with_its_columns(spark, scratch):
+    from unitmart.operators.publish import materialize, read_table
+    full, empty = things(spark), things(spark).limit(0)
+    materialize(empty, scratch)
+    assert read_table(spark, scratch).count() == 0 and set(read_table(spark, scratch).columns) == set(full.columns)
+    materialize(full, scratch, ["bu_01", "bu_02"])
+    assert rows(read_table(spark, scratch).groupBy("bu_id").count()) == [("bu_01", 50), ("bu_02", 50)]
+    materialize(empty, scratch, ["bu_01"])
+    assert rows(read_table(spark, scratch).groupBy("bu_id").count()) == [("bu_02", 50)]
+    materialize(empty, scratch, ["bu_02"])
+    assert read_table(spark, scratch).count() == 0 and dict(read_table(spark, scratch).dtypes)["bu_id"] == "string"

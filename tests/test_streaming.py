@@ -139,3 +139,18 @@ def test_streamed_run_of_all_objects_equals_batch_gold(spark, scratch):
         expected = report(batch(spark, SMOKE_DIR))
         assert rows(streamed.select(*expected.columns)) == rows(expected), name
     assert spark.read.parquet(paths["bu_finance_performance"]).count() == 6
+
+
+def test_state_of_an_empty_first_batch(spark, scratch):
+    def frame(data):
+        return spark.createDataFrame(data, "k long, bu_id string, t string, is_deleted int").select(
+            "k", "bu_id", F.col("t").cast("timestamp_ntz").alias("updated_at"), "is_deleted")
+
+    table = ChangeTable(spark, scratch, ["k", "bu_id"])
+    table.append(frame([]), 0)
+    assert table.view().count() == 0
+    table.compact()
+    assert table.view().count() == 0
+    table.append(frame([(1, "bu_01", "2024-01-01 00:00:00", 0)]), 1)
+    table.append(frame([]), 2)
+    assert rows(table.view(), "k", "bu_id") == [(1, "bu_01")]

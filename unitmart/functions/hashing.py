@@ -12,6 +12,8 @@ The batch id is the digest's first characters.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,19 @@ def row_hash(df: DataFrame, exclude: tuple[str, ...] = (), seed: str = "") -> Co
     return F.xxhash64(*parts)
 
 
+def digest_measures(df: DataFrame) -> dict[str, tuple[Column, str]]:
+    """The same totals as ``digest_aggs``, as row expressions and how to combine
+    them, for a writer that takes them in passing."""
+    return {d: (row_hash(df, seed=d).cast("decimal(38,0)"), "sum") for d in DIGESTS} | {"_rows": (F.lit(1), "sum")}
+
+
+def digest_text(object_name: str, watermark_before: str | None, totals: dict) -> str:
+    """``content_digest`` of totals that the driver holds already."""
+    parts = [object_name, watermark_before if watermark_before is not None else "None",
+             *(str(int(totals[d] or 0)) for d in DIGESTS), str(int(totals["_rows"] or 0))]
+    return hashlib.sha256("|".join(parts).encode()).hexdigest()
+
+
 def digest_aggs(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[Column]:
     return [F.sum(row_hash(df, exclude, d).cast("decimal(38,0)")).alias(d) for d in DIGESTS] + [
         F.count(F.lit(1)).alias("_rows")]

@@ -129,4 +129,5 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("watermark_after", T.TimestampNTZType()),
     T.StructField("status", S),
     T.StructField("content_digest", S),
+    T.StructField("run_id", S),
 ])

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import batch_id, digest_aggs
-from ..model import LANDING_SCHEMAS, MONEY, OBJECTS, SHARED_BU
+from ..model import BUSINESS_UNITS, LANDING_SCHEMAS, MONEY, OBJECTS, SHARED_BU
 from ..operators import governance, marts
-from ..session import scratch_path
+from ..operators.publish import materialize, read_table, table_path
+from ..session import move_path, scratch_path
 from ..sources import binding
 from ..sources.extract import instant, parse_instant
-from ..sources.ingest import audit_table, ingest
+from ..sources.ingest import RUNS, audit_table, ingest, object_path, run_of
 from ..sources.landing import (JSON_OPTIONS, TENANT, instant_columns, landing_schema,
                                parse_landing, read_landing, write_landing)
 from ..streaming.flows import run_bronze, run_silver, run_staging_to_table
@@ -105,6 +106,41 @@ def q_moved_null_batches(spark, sf_dir):
         F.count_distinct("batch").alias("batches"))
 
 
+@register("two_systems_one_feed")
+def q_two_systems_one_feed(spark, sf_dir):
+    """One feed landed under two systems with one audit: each system has its
+    own batch and watermark, and replays of each land nothing."""
+    root = scratch_path(spark, "two_systems_one_feed")
+    feed = binding.contacts(spark, sf_dir)
+    land, audit = f"{root}/landing", f"{root}/audit"
+    for system in ("crm", "erp", "crm", "erp"):
+        ingest(spark, feed, system, "contacts", land, audit, use_stored_watermark=False)
+    parts = [parse_landing(read_landing(spark, f"{land}/{system}/contacts"), landing_schema(feed.schema))
+             for system in ("crm", "erp")]
+    return parts[0].unionByName(parts[1]).groupBy(F.col("_source_system").alias("source_system"), "bu_id").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("_batch_id").alias("batches"),
+        F.max(parse_instant("updated_at")).alias("max_updated_at"))
+
+
+@register("landing_recovery")
+def q_landing_recovery(spark, sf_dir):
+    """A run that crashed before its audit row and one that crashed after it:
+    the first leaves nothing, the second is published by the next run."""
+    root = scratch_path(spark, "landing_recovery")
+    feed = binding.contacts(spark, sf_dir)
+    land, audit = f"{root}/landing", f"{root}/audit"
+    path = object_path(land, "crm", "contacts")
+    first = feed.filter(F.col("updated_at") <= instant(AUDIT_FIRST_RUN_CUTOFF))
+    write_landing(feed, f"{path}/{RUNS}/lost")  # never audited
+    done = ingest(spark, first, "crm", "contacts", land, audit)
+    move_path(spark, done.path, f"{path}/{RUNS}/{run_of(spark, audit, done.batch_id)}")  # audited, not yet renamed
+    ingest(spark, feed, "crm", "contacts", land, audit)
+    rows = parse_landing(read_landing(spark, path), landing_schema(feed.schema))
+    log = audit_table(spark, audit).select(F.col("batch_id").alias("_batch_id"), "watermark_before", "records_extracted")
+    return rows.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("records")).join(log, "_batch_id") \
+        .select("records", "records_extracted", "watermark_before")
+
+
 @register("replay_idempotent")
 def q_replay_idempotent(spark, sf_dir):
     """Land a batch and replay it twice: one copy is landed."""
@@ -140,7 +176,7 @@ def q_landed_invoice_documents(spark, sf_dir):
     root = scratch_path(spark, "landed_invoice_documents")
     feed = binding.invoice_documents(spark, sf_dir)
     landing, schema = f"{root}/landing", LANDING_SCHEMAS["gl_invoices"]
-    write_landing(feed, f"{landing}/batch=0", "array", feed.count(), ROUNDTRIP_RECORDS_PER_FILE, pretty=True)
+    write_landing(feed, f"{landing}/batch=0", "array", records_per_file=ROUNDTRIP_RECORDS_PER_FILE, pretty=True)
     run_bronze(spark, landing, f"{root}/bronze", f"{root}/ck/bronze", "array")
     run_staging_to_table(spark, f"{root}/bronze", f"{root}/staged", f"{root}/ck/staged",
                          lambda raw: stage(raw, schema, ("updated_at", "invoice_date", "due_date"),
@@ -252,6 +288,24 @@ def q_streamed_gated_sales_mart(spark, sf_dir):
     return marts.sales_mart(silver_view(stream_object(spark, root, "crm", "deals", feed.schema), feed.schema))
 
 
+@register("empty_first_batch")
+def q_empty_first_batch(spark, sf_dir):
+    """A first batch of which the gate rejects every row, then all flawed deals:
+    state and mart are empty tables first, with their columns, then the gated
+    mart."""
+    from .stream_refresh import silver_view, stream_object
+    root = scratch_path(spark, "empty_first_batch")
+    feed = binding.flawed_deals(spark, sf_dir)
+    admitted = F.coalesce(F.col("bu_id").isin(list(BUSINESS_UNITS)), F.lit(False)) & F.col("updated_at").isNotNull()
+    counts, path = [], table_path(root, "gold", "sales_mart")
+    for batch in (feed.filter(~admitted), feed):
+        ingest(spark, batch, "crm", "deals", f"{root}/landing", f"{root}/audit", use_stored_watermark=False)
+        view = silver_view(stream_object(spark, root, "crm", "deals", feed.schema), feed.schema)
+        materialize(marts.sales_mart(view), path)
+        counts.append(read_table(spark, path).count())
+    return read_table(spark, path).withColumn("rows_before", F.lit(counts[0]).cast("bigint"))
+
+
 @register("streamed_lost_entitlement")
 def q_streamed_lost_entitlement(spark, sf_dir):
     """Cost centres in two batches: in the second the shared ones are no longer

@@ -370,3 +370,21 @@ from (select {keys}, count(*) as n, sum(case when {null} then 1 else 0 end) as b
 
 
 ORACLE_SQL.update(_sql_wave4())
+
+
+def _sql_wave5() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["two_systems_one_feed"] = f"""
+select s.source_system, bu_id, count(*) as records, cast(1 as bigint) as batches, max(updated_at) as max_updated_at
+from ({FEEDS['contacts']}) f, (values ('crm'), ('erp')) s(source_system) group by s.source_system, bu_id"""
+    q["landing_recovery"] = f"""
+with f as ({FEEDS['contacts']}),
+r1 as (select count(*) as n, max(updated_at) as wm from f where updated_at <= timestamp '2024-01-15 00:00:00')
+select n as records, n as records_extracted, cast(null as timestamp) as watermark_before from r1
+union all
+select count(*), count(*), (select wm from r1) from f where updated_at > (select wm from r1)"""
+    q["empty_first_batch"] = f"select *, cast(0 as bigint) as rows_before from ({ORACLE_SQL['gated_sales_mart']}) m"
+    return q
+
+
+ORACLE_SQL.update(_sql_wave5())

@@ -74,6 +74,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory, sorted; none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a directory (one step on HDFS and local file systems)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    src, dst = jvm_path(source), jvm_path(target)
+    if not src.getFileSystem(spark._jsc.hadoopConfiguration()).rename(src, dst):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a table directory that a newer one has superseded."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

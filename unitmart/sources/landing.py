@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,14 +36,16 @@ DEFAULT_RECORDS_PER_FILE = 50_000
 INSTANT_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 
-def stamp_lineage(df: DataFrame, source_system: str, object_name: str, batch: str,
+def stamp_lineage(df: DataFrame, source_system: str, object_name: str, batch: str | None = None,
                   ingested_at: Column | None = None) -> DataFrame:
+    """Without a ``batch`` the id is left to the directory's name, from which
+    ``parse_landing`` fills it in."""
     at = ingested_at if ingested_at is not None else F.current_timestamp()
     return df.withColumns({
         "_ingested_at": F.date_format(at, JSON_OPTIONS["timestampFormat"]),
         "_source_system": F.lit(source_system),
         "_source_object": F.lit(object_name),
-        "_batch_id": F.lit(batch),
+        "_batch_id": F.lit(batch).cast("string"),
     })
 
 
@@ -61,28 +63,43 @@ def instant_columns(feed_schema: T.StructType) -> list[str]:
 
 def write_landing(df: DataFrame, path: str, fmt: str = "lines", total_rows: int | None = None,
                   records_per_file: int = DEFAULT_RECORDS_PER_FILE,
-                  tenant_col: str | None = "bu_id", pretty: bool = False) -> None:
+                  tenant_col: str | None = "bu_id", pretty: bool = False,
+                  measures: dict[str, tuple[Column, str]] | None = None) -> dict:
     """Write one batch; rewriting the same batch path replaces it. ``pretty``
-    prints arrays over many lines."""
+    prints arrays over many lines. Arrays are dealt over the whole batch if
+    ``total_rows`` is known, else within each task.
+
+    ``measures`` (row expression, "sum" or "max") are totalled by the write
+    itself and returned. They are observed in the stage that writes the files,
+    whose tasks count once however often a lost executor has them repeated.
+    """
     cols = df.columns
+    obs = Observation() if measures else None
+    if measures:
+        df = df.withColumns({f"_measure_{m}": c for m, (c, _) in measures.items()})
+    totals = [getattr(F, how)(f"_measure_{m}").alias(m) for m, (_, how) in (measures or {}).items()]
+    seen = (lambda d: d.observe(obs, *totals).drop(*(f"_measure_{m}" for m in measures))) if measures else (lambda d: d)
     partition = []
     if tenant_col is not None:
         df = df.withColumn(TENANT, F.coalesce(F.col(tenant_col), F.lit(UNKNOWN_BU)))
         partition = [TENANT]
     if fmt == "lines":
-        df.write.mode("overwrite").partitionBy(*partition).options(**JSON_OPTIONS).json(path)
+        seen(df).write.mode("overwrite").partitionBy(*partition).options(**JSON_OPTIONS).json(path)
     elif fmt == "array":
+        place = F.monotonically_increasing_id()  # task in the upper bits, row of the task in the lower 33
         if total_rows is None:
-            total_rows = df.count()
-        chunks = max(1, math.ceil(total_rows / records_per_file))
-        chunk = F.pmod(F.monotonically_increasing_id(), F.lit(chunks))
+            chunk = F.struct(F.shiftright(place, 33), F.floor(place.bitwiseAND((1 << 33) - 1) / records_per_file))
+        else:
+            chunk = F.pmod(place, F.lit(max(1, math.ceil(total_rows / records_per_file))))
+        per_array = [getattr(F, how)(f"_measure_{m}").alias(f"_measure_{m}") for m, (_, how) in (measures or {}).items()]
         arrays = df.groupBy(*partition, chunk.alias("_chunk")).agg(
             F.to_json(F.collect_list(F.struct(*cols)),
-                      {**JSON_OPTIONS, "pretty": str(pretty).lower()}).alias("value"))
-        (arrays.select(*partition, "value").write.mode("overwrite").partitionBy(*partition)
+                      {**JSON_OPTIONS, "pretty": str(pretty).lower()}).alias("value"), *per_array)
+        (seen(arrays).select(*partition, "value").write.mode("overwrite").partitionBy(*partition)
          .option("maxRecordsPerFile", 1).text(path))
     else:
         raise ValueError(f"unknown landing format {fmt!r}")
+    return obs.get if measures else {}
 
 
 LANDING_PARTITIONS = ("batch", TENANT)
@@ -106,10 +123,17 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: boo
 
 def parse_landing(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Array-of-struct parse; a JSON-lines object parses as a one-element
-    array. Malformed text yields no rows (see ``quarantine``)."""
+    array. Malformed text yields no rows (see ``quarantine``). A record without
+    a batch id takes its directory's."""
     keep = [c for c in raw.columns if c != "value"]
     rows = raw.select(F.explode(F.from_json("value", T.ArrayType(schema))).alias("_r"), *keep)
-    return rows.select("_r.*", *keep)
+    return _batch_filled(rows.select("_r.*", *keep), schema)
+
+
+def _batch_filled(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    if "_batch_id" in schema.fieldNames() and "batch" in rows.columns:
+        return rows.withColumn("_batch_id", F.coalesce("_batch_id", "batch"))
+    return rows
 
 
 def quarantine(raw: DataFrame, schema: T.StructType) -> DataFrame:

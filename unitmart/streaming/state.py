@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cdc import DELETED, apply_changes, latest_per_key, live
+from ..operators.publish import keep_readable
 from ..session import path_exists, remove_path
 
 BATCH = "_batch"
@@ -42,8 +43,10 @@ class ChangeTable:
         if batch_id <= self.pointer()[1]:
             return  # a retried batch that a snapshot already holds
         parts = ["bu_id"] if "bu_id" in changes.columns else []
-        (changes.write.mode("overwrite").partitionBy(*parts)
-         .parquet(f"{self.root}/changes/{BATCH}={batch_id}"))
+        path = f"{self.root}/changes/{BATCH}={batch_id}"
+        changes.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        if parts:
+            keep_readable(changes, path)
 
     foreach_batch = append
 
