@@ -35,6 +35,19 @@ def bu_finance_performance(finance: DataFrame) -> DataFrame:
     )
 
 
+def vendor_reach(bitmaps: DataFrame) -> DataFrame:
+    """Distinct vendors of every unit and group, of every unit (no group) and of
+    the enterprise (neither), from the stored bitmaps of ``vendor_bitmaps``."""
+    units = bitmaps.groupBy("bu_id", "bucket").agg(F.bitmap_or_agg("vendors").alias("vendors"))
+    whole = units.groupBy("bucket").agg(F.bitmap_or_agg("vendors").alias("vendors"))
+    none = F.lit(None).cast("string")
+    levels = [bitmaps.select(F.lit("group").alias("level"), "bu_id", "business_group", "vendors"),
+              units.select(F.lit("unit"), "bu_id", none, "vendors"),
+              whole.select(F.lit("enterprise"), none, none, "vendors")]
+    return reduce(DataFrame.unionAll, levels).groupBy("level", "bu_id", "business_group").agg(
+        F.sum(F.bitmap_count("vendors")).alias("vendor_count"))
+
+
 def bu_customer_performance(customers: DataFrame) -> DataFrame:
     return customers.groupBy("bu_id").agg(
         F.sum("company_count").alias("company_count"),

@@ -19,7 +19,9 @@ from ..sources.extract import instant, parse_instant
 from ..sources.ingest import RUNS, audit_table, ingest, object_path, run_of
 from ..sources.landing import (JSON_OPTIONS, TENANT, instant_columns, landing_schema,
                                parse_landing, read_landing, write_landing)
+from ..sources.drift import rescued_fields
 from ..streaming.flows import run_bronze, run_silver, run_staging_to_table
+from ..streaming.quality_log import QualityLog, quality_counts
 from ..streaming.staging import stage
 from ..streaming.state import ChangeTable
 from .registry import DIVESTED_UNITS, EXTRACT_WATERMARK, register
@@ -32,6 +34,9 @@ LATER_SHARED_AT = "2024-06-01T00:00:00Z"
 AUDIT_FIRST_RUN_CUTOFF = "2024-01-15T00:00:00Z"
 ROUNDTRIP_RECORDS_PER_FILE = 20_000
 OUT_OF_ORDER_BATCHES = 4
+CHANGED_UNITS, CHANGED_AT = ("bu_02", "bu_05"), "2030-01-01T00:00:00Z"
+LOGGED_BATCHES, ARCHIVED_BATCHES = 2, 3
+DRIFT_EVERY = 11
 # dq_drop binding: contact changes derived from error events arrive with an
 # unparseable timestamp text.
 MALFORMED_STAGE = "error"
@@ -267,6 +272,94 @@ def q_refresh_forgets(spark, sf_dir):
     return spark.read.parquet(run(["bu_03", "bu_05"], units=("bu_05",))["sales_mart"])
 
 
+@register("changed_units_refresh")
+def q_changed_units_refresh(spark, sf_dir):
+    """Deals in two batches, the second with doubled amounts of two units: after
+    the second publication only these units' files are new."""
+    from .lakehouse import publish_changed
+    from .stream_refresh import stream_object
+    root = scratch_path(spark, "changed_units_refresh")
+    feed = binding.deals(spark, sf_dir)
+    later = feed.filter(F.col("bu_id").isin(*CHANGED_UNITS)).withColumns({
+        "amount": (F.col("amount") * 2).cast(MONEY), "updated_at": instant(CHANGED_AT)})
+    path, files = table_path(root, "gold", "sales_mart"), []
+    for batch in (feed, later):
+        ingest(spark, batch, "crm", "deals", f"{root}/landing", f"{root}/audit")
+        table = stream_object(spark, root, "crm", "deals", feed.schema)
+        publish_changed(spark, {"deals": table}, {"deals": feed.schema}, root, ("sales_mart",))
+        # each unit's files, as they are after this publication
+        listed = f"{root}/files{len(files)}"
+        read_table(spark, path).select("bu_id", F.col("_metadata.file_path").alias("file")).distinct().write.parquet(listed)
+        files.append(spark.read.parquet(listed))
+    kept = files[1].join(files[0], ["bu_id", "file"], "left_semi").select("bu_id").distinct()
+    mart = read_table(spark, path)
+    return mart.join(kept.withColumn("_kept", F.lit(True)), "bu_id", "left").select(
+        *mart.columns, F.col("_kept").isNull().alias("republished"))
+
+
+@register("quality_log")
+def q_quality_log(spark, sf_dir):
+    """Flawed deals in two batches through the streaming gate: rows that each
+    rule saw or rejected, per flow and batch, from the stored log."""
+    from .stream_refresh import stream_object
+    root = scratch_path(spark, "quality_log")
+    feed = binding.flawed_deals(spark, sf_dir)
+    with QualityLog(spark, f"{root}/quality_log") as log:
+        for part in range(LOGGED_BATCHES):
+            ingest(spark, feed.filter(F.col("deal_id") % LOGGED_BATCHES == part), "crm", "deals", f"{root}/landing",
+                   f"{root}/audit", use_stored_watermark=False)
+            stream_object(spark, root, "crm", "deals", feed.schema, log=log)
+    return quality_counts(spark, f"{root}/quality_log").drop("detail")
+
+
+def _drifted(spark, sf_dir, root):
+    """Deals landed in two batches: the second has a field more and gives the
+    amount as text. The state, with what was rescued."""
+    from .stream_refresh import stream_object
+    feed = binding.deals(spark, sf_dir)
+    drifts = F.col("deal_id") % DRIFT_EVERY == 0
+    later = feed.filter(drifts).withColumns({
+        "amount": F.concat(F.lit("USD "), F.col("amount").cast("string")),
+        "channel": F.struct((F.col("deal_id") % 3).alias("kind"), F.lit("web").alias("name"))})
+    for batch in (feed.filter(~drifts), later):
+        ingest(spark, batch, "crm", "deals", f"{root}/landing", f"{root}/audit", use_stored_watermark=False)
+    return feed, stream_object(spark, root, "crm", "deals", feed.schema, rescue=True).view()
+
+
+@register("drifted_deals")
+def q_drifted_deals(spark, sf_dir):
+    """Current deals after the feed drifted: typed columns as declared, and what
+    was rescued of the text amounts and of the new field."""
+    feed, view = _drifted(spark, sf_dir, scratch_path(spark, "drifted_deals"))
+    return view.select(*feed.columns, F.try_variant_get("_rescued", "$.amount", "string").alias("rescued_amount"),
+                       F.try_variant_get("_rescued", "$.channel.kind", "bigint").alias("rescued_kind"))
+
+
+@register("rescued_fields")
+def q_rescued_fields(spark, sf_dir):
+    """Rescued fields of the current deals, counted by name, with their types."""
+    return rescued_fields(_drifted(spark, sf_dir, scratch_path(spark, "rescued_fields"))[1])
+
+
+@register("archived_landing")
+def q_archived_landing(spark, sf_dir):
+    """Contacts landed in batches, each followed by a run of the bronze flow that
+    archives what is done with: rows per batch, and whether landed files of it
+    are still listed."""
+    root = scratch_path(spark, "archived_landing")
+    feed = binding.contacts(spark, sf_dir)
+    landing, batches = object_path(f"{root}/landing", "crm", "contacts"), []
+    for part in range(ARCHIVED_BATCHES):
+        done = ingest(spark, feed.filter(F.col("contact_id") % ARCHIVED_BATCHES == part), "crm", "contacts",
+                      f"{root}/landing", f"{root}/audit", use_stored_watermark=False)
+        batches.append((done.batch_id, part))
+        run_bronze(spark, landing, f"{root}/bronze", f"{root}/ck/bronze", archive=f"{root}/archive")
+    listed = read_landing(spark, landing).select("batch").distinct().withColumn("_listed", F.lit(True))
+    bronze = spark.read.parquet(f"{root}/bronze").groupBy("batch").agg(F.count(F.lit(1)).alias("records"))
+    return bronze.join(spark.createDataFrame(batches, "batch string, part bigint"), "batch").join(listed, "batch", "left") \
+        .select("part", "records", F.col("_listed").isNull().alias("archived"))
+
+
 @register("isolated_rollup")
 def q_isolated_rollup(spark, sf_dir):
     """Enterprise roll-up of marts that each unit keeps under a place of its

@@ -302,13 +302,16 @@ ORACLE_SQL["streamed_customer_mart"] = ORACLE_SQL["customer_mart"]
 ORACLE_SQL["streamed_finance_mart"] = ORACLE_SQL["finance_mart"]
 
 
-def _sql_wave4() -> dict[str, str]:
-    q: dict[str, str] = {}
-    flawed = f"""
+FLAWED_DEALS = f"""
   select deal_id, company_id,
          case when deal_id % 41 = 0 then null when deal_id % 43 = 0 then 'bu_09' else bu_id end as bu_id,
          business_group, amount, stage, case when deal_id % 37 <> 0 then updated_at end as updated_at, is_deleted
   from ({FEEDS['deals']}) f"""
+
+
+def _sql_wave4() -> dict[str, str]:
+    q: dict[str, str] = {}
+    flawed = FLAWED_DEALS
     silver_flawed = f"""
 with silver_deals as (select * from (
     select *, row_number() over (partition by bu_id, deal_id order by updated_at desc, is_deleted desc) as rn
@@ -383,6 +386,37 @@ r1 as (select count(*) as n, max(updated_at) as wm from f where updated_at <= ti
 select n as records, n as records_extracted, cast(null as timestamp) as watermark_before from r1
 union all
 select count(*), count(*), (select wm from r1) from f where updated_at > (select wm from r1)"""
+    factor = "case when bu_id in ('bu_02', 'bu_05') then 2 else 1 end"
+    q["changed_units_refresh"] = with_silver("deals") + f"""
+select bu_id, business_group, deal_count, {factor} * avg_deal_value_usd as avg_deal_value_usd,
+       cast({factor} * pipeline_value_usd as double) as pipeline_value_usd,
+       cast({factor} * won_revenue_usd as double) as won_revenue_usd, bu_id in ('bu_02', 'bu_05') as republished
+from ({SALES_MART}) m"""
+    q["distinct_vendor_rollup"] = with_silver("gl_invoices", "cost_centers") + f""",
+j as (select i.bu_id, c.business_group, i.vendor_key from silver_gl_invoices i
+      left join silver_cost_centers c on i.cc_key = c.cc_key and i.bu_id = c.bu_id)
+select 'group' as level, bu_id, business_group, count(distinct vendor_key) as vendor_count from j group by bu_id, business_group
+union all select 'unit', bu_id, null, count(distinct vendor_key) from j group by bu_id
+union all select 'enterprise', null, null, count(distinct vendor_key) from j"""
+    unit = f"(bu_id is not null and bu_id in ({UNITS}))"
+    counts = {"seen": "true", "unconfigured_unit": f"not {unit}",
+              "dropped_valid_updated_at": f"{unit} and updated_at is null", "path_payload_mismatch": "bu_id is null"}
+    q["quality_log"] = " union all ".join(f"""
+select 'silver_deals' as flow, deal_id % 2 as batch, '{rule}' as rule, count(*) filter (where {cond}) as rows
+from ({FLAWED_DEALS}) s group by deal_id % 2""" for rule, cond in counts.items())
+    drift = "deal_id % 11 = 0"
+    q["drifted_deals"] = f"""
+select deal_id, company_id, bu_id, business_group, case when not {drift} then cast(amount as double) end as amount,
+       stage, updated_at, is_deleted, case when {drift} then 'USD ' || cast(amount as varchar) end as rescued_amount,
+       case when {drift} then deal_id % 3 end as rescued_kind
+from ({silver('deals')}) s"""
+    q["rescued_fields"] = f"""
+select 'amount' as field, count(amount) as records, 'STRING' as type from ({silver('deals')}) s where {drift}
+union all
+select 'channel', count(*), 'OBJECT<kind: BIGINT, name: STRING>' from ({silver('deals')}) s where {drift}"""
+    q["archived_landing"] = f"""
+select contact_id % 3 as part, count(*) as records, contact_id % 3 < 2 as archived
+from ({FEEDS['contacts']}) f group by contact_id % 3"""
     q["empty_first_batch"] = f"select *, cast(0 as bigint) as rows_before from ({ORACLE_SQL['gated_sales_mart']}) m"
     return q
 

@@ -22,6 +22,8 @@ MART_INPUTS = {
     "finance_mart": ("gl_invoices", "cost_centers"),
     "customer_mart": ("companies", "contacts", "deals"),
 }
+# marts that are refreshed by name only
+MORE_MARTS = {"vendor_bitmaps": ("gl_invoices", "cost_centers")}
 ROLLUPS = {
     "bu_sales_performance": ("sales_mart", enterprise.bu_sales_performance),
     "bu_finance_performance": ("finance_mart", enterprise.bu_finance_performance),
@@ -48,20 +50,16 @@ def refresh(spark: SparkSession, sf_dir: str, base: str, units: Sequence[str] =
     paths: dict[str, str] = {}
     feeds = feeds or {}
     only = None if set(units) >= set(BUSINESS_UNITS) else units
-    needed = sorted({obj for m in mart_names for obj in MART_INPUTS[m]})
+    inputs = {**MART_INPUTS, **MORE_MARTS}
+    needed = sorted({obj for m in mart_names for obj in inputs[m]})
     for obj in needed:
         paths[obj] = table_path(base, "silver", obj, prefix)
         feed = feeds[obj] if obj in feeds else ENTITIES[obj](spark, sf_dir)
         materialize(to_silver(feed, obj, units), paths[obj], only)
     s = {obj: read_table(spark, paths[obj], units) for obj in needed}
-    builders = {
-        "sales_mart": lambda: marts.sales_mart(s["deals"]),
-        "finance_mart": lambda: marts.finance_mart(s["gl_invoices"], s["cost_centers"]),
-        "customer_mart": lambda: marts.customer_mart(s["companies"], s["contacts"], s["deals"]),
-    }
     for m in mart_names:
         paths[m] = table_path(base, "gold", m, prefix)
-        materialize(builders[m](), paths[m], only)
+        materialize(getattr(marts, m)(*(s[obj] for obj in inputs[m])), paths[m], only)
     if rollups:
         for name, (mart, fn) in ROLLUPS.items():
             if mart in mart_names:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..model import BUSINESS_UNITS, OBJECTS, REQUIRED_COLUMNS
 from ..operators import governance, quality, reads
 from ..operators.cdc import latest_per_key
-from ..operators.enterprise import bu_ranking, bu_sales_performance
+from ..operators.enterprise import bu_customer_performance, bu_ranking, bu_sales_performance, vendor_reach
 from ..operators import marts
 from ..operators.gate import admit_object, rejection_metrics
 from ..operators.marts import report
@@ -82,10 +82,24 @@ def q_bu_customer(spark, sf_dir):
 
 @register("bu_ranking")
 def q_bu_ranking(spark, sf_dir):
-    """Rank of every unit by won revenue, spend and customer count, from the
-    roll-ups of a refresh: each object's CDC runs once."""
-    paths = refresh(spark, sf_dir, scratch_path(spark, "bu_ranking"))
-    return bu_ranking(*(spark.read.parquet(paths[f"bu_{n}_performance"]) for n in ("sales", "finance", "customer")))
+    """Rank of every unit by won revenue, spend and customer count. The deals'
+    state serves two roll-ups, so it is stored once, with the columns they read;
+    the other objects' states go straight into theirs."""
+    path = scratch_path(spark, "bu_ranking")
+    silver(spark, sf_dir, "deals", columns=(*gold.DEAL_COLUMNS, "company_id")).write.parquet(path)
+    deals = spark.read.parquet(path)
+    customers = marts.customer_mart(silver(spark, sf_dir, "companies", columns=("business_group",)),
+                                    silver(spark, sf_dir, "contacts", columns=("company_id",)), deals)
+    return bu_ranking(bu_sales_performance(marts.sales_mart(deals)), gold.finance_performance(spark, sf_dir),
+                      bu_customer_performance(customers))
+
+
+@register("distinct_vendor_rollup")
+def q_distinct_vendor_rollup(spark, sf_dir):
+    """Distinct vendors per unit and group, per unit and of the enterprise, from
+    bitmaps that a refresh has stored per unit and group."""
+    paths = refresh(spark, sf_dir, scratch_path(spark, "distinct_vendor_rollup"), mart_names=("vendor_bitmaps",))
+    return vendor_reach(spark.read.parquet(paths["vendor_bitmaps"]))
 
 
 # --- tenant scope, CDC, reads and governance ----------------------------------

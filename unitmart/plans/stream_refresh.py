@@ -16,6 +16,7 @@ from ..model import BUSINESS_UNITS, OBJECTS
 from ..sources.landing import instant_columns, landing_schema
 from ..streaming.flows import (await_all, run_bronze, run_silver, start_bronze,
                                start_quarantine, start_silver)
+from ..streaming.quality_log import QualityLog
 from ..streaming.staging import stage
 from ..streaming.state import ChangeTable
 from .silver import tenant_keys
@@ -30,20 +31,23 @@ def state_table(spark: SparkSession, root: str, obj: str) -> ChangeTable:
 
 def stream_object(spark: SparkSession, root: str, source_system: str, obj: str,
                   feed_schema, units: Sequence[str] = BUSINESS_UNITS, fmt: str = "lines",
-                  revoke: bool = False) -> ChangeTable:
-    """Run the object's bronze and silver flows once (``availableNow``)."""
+                  revoke: bool = False, rescue: bool = False, log: QualityLog | None = None,
+                  archive: str | None = None) -> ChangeTable:
+    """Run the object's bronze and silver flows once (``availableNow``).
+    ``rescue`` keeps fields outside the schema, ``log`` stores the rules' counts,
+    ``archive`` takes landed files that are done with."""
     spec = OBJECTS[obj]
     schema = landing_schema(feed_schema)
     instants = instant_columns(feed_schema) or [spec.sequence]
 
     def staged(raw: DataFrame) -> DataFrame:
         return stage(raw, schema, instants, shared=spec.shared, sequence=spec.sequence, units=units,
-                     keys=spec.keys, revoke=revoke, observation=f"quality_{obj}")
+                     keys=spec.keys, revoke=revoke, observation=f"quality_{obj}", rescue=rescue)
 
     table = state_table(spark, root, obj)
     landing = f"{root}/landing/{source_system}/{obj}"
-    run_bronze(spark, landing, f"{root}/bronze/{obj}", f"{root}/ck/bronze_{obj}", fmt)
-    run_silver(spark, f"{root}/bronze/{obj}", f"{root}/ck/silver_{obj}", staged, table)
+    run_bronze(spark, landing, f"{root}/bronze/{obj}", f"{root}/ck/bronze_{obj}", fmt, archive=archive)
+    run_silver(spark, f"{root}/bronze/{obj}", f"{root}/ck/silver_{obj}", staged, table, log=log, flow=f"silver_{obj}")
     return table
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import LINEAGE_FIELDS, UNKNOWN_BU
+from .drift import RESCUED, rescued, typed_and_raw
 
 TENANT = "tenant"
 JSON_OPTIONS = {
@@ -107,7 +108,7 @@ LANDING_PARTITIONS = ("batch", TENANT)
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: bool = False,
                  partitions: tuple[str, ...] = LANDING_PARTITIONS,
-                 max_bytes: str | None = None) -> DataFrame:
+                 max_bytes: str | None = None, archive: str | None = None) -> DataFrame:
     """Raw landed text: ``value`` (+ partition columns, + source file).
 
     Partition columns are declared as strings: a batch id made only of
@@ -117,15 +118,22 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "lines", stream: boo
     reader = spark.readStream if stream else spark.read
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     df = reader.schema(schema).format("text").option("wholetext", fmt == "array").load(path)
     return df.withColumn("_file", F.col("_metadata.file_path"))
 
 
-def parse_landing(raw: DataFrame, schema: T.StructType) -> DataFrame:
+def parse_landing(raw: DataFrame, schema: T.StructType, rescue: bool = False) -> DataFrame:
     """Array-of-struct parse; a JSON-lines object parses as a one-element
     array. Malformed text yields no rows (see ``quarantine``). A record without
-    a batch id takes its directory's."""
+    a batch id takes its directory's. ``rescue`` adds the fields that the schema
+    does not take (see ``drift``)."""
     keep = [c for c in raw.columns if c != "value"]
+    if rescue:
+        both = raw.select(F.explode(typed_and_raw(F.col("value"), schema)).alias("_r"), *keep)
+        lost = rescued(F.col("_r.typed"), F.col("_r.raw"), schema).alias(RESCUED)
+        return _batch_filled(both.select("_r.typed.*", lost, *keep), schema)
     rows = raw.select(F.explode(F.from_json("value", T.ArrayType(schema))).alias("_r"), *keep)
     return _batch_filled(rows.select("_r.*", *keep), schema)
 

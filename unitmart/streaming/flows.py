@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.landing import LANDING_PARTITIONS, TENANT, quarantine, read_landing
 from ..session import path_exists
+from .quality_log import QualityLog
 from .state import ChangeTable
 
 
@@ -29,14 +30,16 @@ def _await(query) -> None:
 
 
 def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
-                 fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS):
+                 fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS, archive: str | None = None):
     """Start the triggered flow appending new landed files to the bronze table
     (one row per line or per file); returns the running query, or None when
-    nothing has been landed for the object yet."""
+    nothing has been landed for the object yet. With an ``archive`` folder,
+    files of finished batches move there (when the next batch begins), so that
+    listing does not grow with history."""
     if not path_exists(spark, landing_dir):
         return None
     raw = read_landing(spark, landing_dir, fmt=fmt, stream=True, partitions=partitions,
-                       max_bytes=MAX_BYTES_PER_TRIGGER)
+                       max_bytes=MAX_BYTES_PER_TRIGGER, archive=archive)
     parts = [c for c in (TENANT,) if c in raw.columns]
     return (raw.writeStream.format("parquet").partitionBy(*parts)
             .option("checkpointLocation", checkpoint)
@@ -44,8 +47,9 @@ def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpo
 
 
 def run_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
-               fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
-    await_all([start_bronze(spark, landing_dir, bronze_dir, checkpoint, fmt, partitions)])
+               fmt: str = "lines", partitions: tuple[str, ...] = LANDING_PARTITIONS,
+               archive: str | None = None) -> None:
+    await_all([start_bronze(spark, landing_dir, bronze_dir, checkpoint, fmt, partitions, archive)])
 
 
 def await_all(queries) -> None:
@@ -90,8 +94,19 @@ def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
 
 def run_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
                stage: Callable[[DataFrame], DataFrame], table: ChangeTable,
-               partitions: tuple[str, ...] = LANDING_PARTITIONS) -> None:
-    await_all([start_silver(spark, bronze_dir, checkpoint, stage, table, partitions)])
+               partitions: tuple[str, ...] = LANDING_PARTITIONS, log: QualityLog | None = None,
+               flow: str = "silver") -> None:
+    """``log`` stores what the flow's rules counted, also if the flow fails."""
+    query = start_silver(spark, bronze_dir, checkpoint, stage, table, partitions)
+    if query is None:
+        return
+    if log is not None:
+        log.track(query, flow)
+    try:
+        await_all([query])
+    finally:
+        if log is not None:
+            log.store([query])
 
 
 def start_quarantine(spark: SparkSession, bronze_dir: str, quarantine_dir: str, checkpoint: str,

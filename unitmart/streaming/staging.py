@@ -24,10 +24,10 @@ from ..sources.landing import TENANT, parse_landing
 def stage(raw: DataFrame, schema: T.StructType, instants: Sequence[str] = ("updated_at",),
           shared: bool = False, sequence: str = "updated_at",
           units: Sequence[str] = BUSINESS_UNITS, keys: Sequence[str] = (), revoke: bool = False,
-          observation: Observation | str | None = None) -> DataFrame:
+          observation: Observation | str | None = None, rescue: bool = False) -> DataFrame:
     """``observation`` also counts rows whose payload tenant disagrees with
-    the path's."""
-    rows = parse_landing(raw, schema)
+    the path's; ``rescue`` keeps fields outside the schema in ``_rescued``."""
+    rows = parse_landing(raw, schema, rescue)
     for c in instants:
         if c in rows.columns:
             rows = rows.withColumn(c, parse_instant(c))

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cdc import DELETED, apply_changes, latest_per_key, live
-from ..operators.publish import keep_readable
-from ..session import path_exists, remove_path
+from ..operators.publish import NO_UNIT, keep_readable
+from ..session import list_names, path_exists, remove_path
 
 BATCH = "_batch"
 
@@ -39,6 +39,22 @@ class ChangeTable:
         row = self.spark.read.parquet(path).agg(F.max(F.struct("snapshot", "upto")).alias("p")).first()
         return int(row.p.snapshot), int(row.p.upto)
 
+    def batches(self) -> list[int]:
+        """Stored batches, in order (without those that a snapshot replaced)."""
+        return sorted(int(n.split("=")[1]) for n in list_names(self.spark, f"{self.root}/changes") if n.startswith(BATCH))
+
+    def last_batch(self) -> int:
+        return max([self.pointer()[1], *self.batches()])
+
+    def touched(self, after: int) -> list[str] | None:
+        """Units with changes in batches after ``after``, from the names of their
+        partitions; None (any unit) if a snapshot has replaced such a batch."""
+        if self.pointer()[1] > after:
+            return None
+        names = {n for b in self.batches() if b > after
+                 for n in list_names(self.spark, f"{self.root}/changes/{BATCH}={b}") if n.startswith("bu_id=")}
+        return sorted(n.split("=", 1)[1] for n in names - {NO_UNIT})
+
     def append(self, changes: DataFrame, batch_id: int) -> None:
         if batch_id <= self.pointer()[1]:
             return  # a retried batch that a snapshot already holds
