@@ -37,6 +37,7 @@ OUT_OF_ORDER_BATCHES = 4
 CHANGED_UNITS, CHANGED_AT = ("bu_02", "bu_05"), "2030-01-01T00:00:00Z"
 LOGGED_BATCHES, ARCHIVED_BATCHES = 2, 3
 DRIFT_EVERY = 11
+CHANGED_GROUP = "bg_online"
 # dq_drop binding: contact changes derived from error events arrive with an
 # unparseable timestamp text.
 MALFORMED_STAGE = "error"
@@ -244,6 +245,25 @@ def q_divest_manifest(spark, sf_dir):
 
 
 
+@register("package_tree")
+def q_package_tree(spark, sf_dir):
+    """Digest tree of a package whose deals lie in partitions by group, checked
+    after one partition was changed: rows of every part, and what still holds."""
+    path = scratch_path(spark, "package_tree")
+    units = DIVESTED_UNITS
+    deals = to_silver(unit_filter(binding.deals(spark, sf_dir), units), "deals", units)
+    deals.write.partitionBy("business_group").parquet(f"{path}/deals")
+    to_silver(binding.vendors(spark, sf_dir), "vendors", units).write.parquet(f"{path}/vendors")
+    tables = ("deals", "vendors")
+    stored = governance.write_digest_tree(spark, path, tables)
+    part = f"{path}/deals/business_group={CHANGED_GROUP}"
+    altered = scratch_path(spark, "package_tree_altered")
+    spark.read.parquet(part).withColumn("stage", F.lit("altered")).write.parquet(altered)
+    spark.read.parquet(altered).write.mode("overwrite").parquet(part)
+    checked = governance.check_entries(stored, governance.digest_tree(spark, path, tables))
+    return checked.where("level <> 'file'").drop("file")
+
+
 @register("mart_refresh")
 def q_mart_refresh(spark, sf_dir):
     """Sales mart of all units, then one unit published anew after its amounts

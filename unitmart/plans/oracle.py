@@ -417,6 +417,29 @@ select 'channel', count(*), 'OBJECT<kind: BIGINT, name: STRING>' from ({silver('
     q["archived_landing"] = f"""
 select contact_id % 3 as part, count(*) as records, contact_id % 3 < 2 as archived
 from ({FEEDS['contacts']}) f group by contact_id % 3"""
+    invoices = COLUMNS["gl_invoices"].replace("amount", "cast(amount as double) as amount")
+    q["deep_page"] = f"""
+select {invoices} from (
+  select *, row_number() over (order by invoice_id, updated_at, cc_key, vendor_key, amount, is_deleted) as rn,
+         count(*) over () as n from ({FEEDS['gl_invoices']}) f) r
+where rn > n - 150 and rn <= n - 50"""
+    q["clustered_slice"] = f"""
+select {invoices} from ({silver('gl_invoices')}) s where bu_id = 'bu_06' and updated_at > timestamp '1997-06-01 00:00:00'"""
+    q["ordered_extract"] = f"""
+select count(*) as records, min(updated_at) as first_at, max(updated_at) as last_at, true as in_order
+from ({FEEDS['contacts']}) f where updated_at > timestamp '2024-01-15 00:00:00'"""
+    q["persona_sales"] = f"""
+select * from ({ORACLE_SQL['entitled_sales']}) e
+where persona in ('corporate_executive', 'partner_group_executive', 'bu_02_and_online_executive')"""
+    q["package_tree"] = f"""
+with deals as (select * from ({silver('deals')}) s where bu_id = 'bu_06'),
+vendors as (select * from ({silver('vendors')}) s where bu_id = 'bu_06')
+select 'partition' as level, 'deals' as table_name, 'business_group=' || business_group as part, count(*) as rows,
+       business_group <> 'bg_online' as verified from deals group by business_group
+union all select 'partition', 'vendors', '', count(*), true from vendors
+union all select 'table', 'deals', null, count(*), false from deals
+union all select 'table', 'vendors', null, count(*), true from vendors
+union all select 'package', null, null, (select count(*) from deals) + count(*), false from vendors"""
     q["empty_first_batch"] = f"select *, cast(0 as bigint) as rows_before from ({ORACLE_SQL['gated_sales_mart']}) m"
     return q
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.cluster import clustered
 from ..model import BUSINESS_UNITS, OBJECTS, REQUIRED_COLUMNS
 from ..operators import governance, quality, reads
 from ..operators.cdc import latest_per_key
@@ -110,6 +111,10 @@ LOOKUP_DEAL_ID = 42
 NO_AMOUNT_EVERY = 17  # vendors whose invoices lack the amount
 PAGE_OFFSET, PAGE_LIMIT = 200, 100
 EXTRACT_WATERMARK = "2024-01-15T00:00:00Z"
+CLUSTERED_WATERMARK = "1997-06-01T00:00:00Z"
+INVOICE_ORDER = ("invoice_id", "updated_at", "cc_key", "vendor_key", "amount", "is_deleted")
+DEEP_PAGE_FROM_END = 150
+VIEWING_PERSONAS = ("corporate_executive", "partner_group_executive", "bu_02_and_online_executive", "nobody")
 ENTITLEMENTS = (
     ("corporate_executive", None, None),
     ("bu_03_executive", "bu_03", None),
@@ -194,6 +199,38 @@ def q_page_read(spark, sf_dir):
     return reads.page(binding.deals(spark, sf_dir), ["deal_id"], PAGE_OFFSET, PAGE_LIMIT)
 
 
+@register("deep_page")
+def q_deep_page(spark, sf_dir):
+    """A page near the end of the invoice changes, found by row counts of key
+    ranges: one range is sorted, not the table."""
+    feed = binding.gl_invoice_changes(spark, sf_dir)
+    return reads.deep_page(feed, INVOICE_ORDER, feed.count() - DEEP_PAGE_FROM_END, PAGE_LIMIT)
+
+
+@register("clustered_slice")
+def q_clustered_slice(spark, sf_dir):
+    """Invoices of one unit changed after the watermark, from a table written in
+    the order of a space-filling key over unit and update time."""
+    path = scratch_path(spark, "clustered_slice")
+    state = silver(spark, sf_dir, "gl_invoices")
+    clustered(state, ("bu_id", "updated_at"), {"bu_id": BUSINESS_UNITS}).write.parquet(path)
+    return incremental(spark.read.parquet(path).filter(F.col("bu_id").isin(*DIVESTED_UNITS)), CLUSTERED_WATERMARK)
+
+
+@register("ordered_extract")
+def q_ordered_extract(spark, sf_dir):
+    """Contacts after the watermark in the order of their update time: the place
+    of each row, and whether times never fall from one file to the next."""
+    path = scratch_path(spark, "ordered_extract")
+    incremental(binding.contacts(spark, sf_dir), EXTRACT_WATERMARK, ordered=True).write.parquet(path)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("updated_at").alias("first"), F.max("updated_at").alias("last"))
+    order = Window.orderBy("file")  # one row per file
+    return files.withColumn("_fell", F.lag("last").over(order) > F.col("first")).agg(
+        F.sum("rows").alias("records"), F.min("first").alias("first_at"), F.max("last").alias("last_at"),
+        (F.count(F.when(F.col("_fell"), 1)) == 0).alias("in_order"))
+
+
 @register("incremental_extract")
 def q_incremental_extract(spark, sf_dir):
     """Contacts changed after the stored watermark."""
@@ -207,6 +244,23 @@ def q_entitled_sales(spark, sf_dir):
     return governance.entitled_rows(gold.sales_mart(spark, sf_dir), policy)
 
 
+@register("persona_sales")
+def q_persona_sales(spark, sf_dir):
+    """What three personas see through one view of the sales mart: the same SQL
+    text, with another session variable."""
+    policy = governance.entitlements_frame(spark, ENTITLEMENTS)
+    path = scratch_path(spark, "persona_sales")
+    gold.sales_mart(spark, sf_dir).write.parquet(path)
+    governance.persona_view(spark, spark.read.parquet(path), policy, "my_sales")
+    seen = None
+    for persona in VIEWING_PERSONAS:
+        governance.as_persona(spark, persona)
+        mine = spark.sql("SELECT *, session.persona AS persona FROM my_sales")
+        seen = mine if seen is None else seen.unionByName(mine)
+    governance.as_persona(spark, None)
+    return seen
+
+
 @register("divest_enterprise")
 def q_divest_enterprise(spark, sf_dir):
     """Enterprise sales roll-up of the units that remain after the divestiture."""
