@@ -18,7 +18,8 @@
    ``WORDS`` words, and every pair of blocks is one work item: it passes by
    pairs whose length or word counts rule the similarity out (exact bounds) and
    verifies the others, the likeliest first, until those left are linked.
-   Blocks of one large component are not compared with each other.
+   Blocks of one large component are not compared with each other. Two nodes
+   that share several buckets are compared in that of their first common key.
 4. *Verify.* A pair is a link if the edit distance of its word sequences is at
    most (1 - ``SIMILAR``) of the longer one, found by banded alignment over
    the whole sequences.
@@ -54,8 +55,10 @@ SKETCHES = 80
 PICK = 2
 BLOCK = 8
 PAIRS = 2_000  # pairs of texts in a task, about
-NODES, WORDS = 512, 1 << 18  # of a block, about
-BINS = 64  # of the word counts that are compared before an alignment
+NODES, WORDS = 2048, 1 << 19  # of a block, about
+# bins of the word counts that are compared before an alignment: first the few,
+# then, for pairs that these leave, the many
+BINS, FINE_BINS = 64, 1024
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
 _SALTS = np.arange(1, SKETCHES * len(TIERS) + 1, dtype=np.uint64).reshape(len(TIERS), SKETCHES)
 LONG = 10_000  # k-mers of a text beyond which its hash functions are not taken at once
@@ -254,12 +257,30 @@ def _work(blocks: DataFrame) -> DataFrame:
         "bucket", "p", "q", "second", "node", "root")
 
 
-def links_between(seqs: list[np.ndarray], root: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+def key_table(keys: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+    """Keys of all tiers, one row per text; 0 in the tiers that it is not in."""
+    out = np.zeros((len(keys), len(TIERS) * SKETCHES), np.int64)
+    for row, own, n in zip(out, keys, size.tolist()):
+        tiers = [t for t, (_, least, most) in enumerate(TIERS) if least <= n <= most]
+        for k, t in enumerate(tiers):
+            row[t * SKETCHES:(t + 1) * SKETCHES] = own[k * SKETCHES:(k + 1) * SKETCHES]
+    return out
+
+
+def links_between(seqs: list[np.ndarray], root: np.ndarray, second: np.ndarray, keys: np.ndarray | None = None,
+                  bucket: int = 0) -> list[tuple[int, int]]:
     """Links that join all components (first given by ``root``) that a link
     between the first and the second part joins; within the whole if there is
-    no second part."""
+    no second part. With a table of ``keys`` only pairs whose first common key
+    is ``bucket`` are compared."""
     size = np.array([len(x) for x in seqs])
     counts = np.array([np.bincount(x % BINS, minlength=BINS) for x in seqs], np.int32)
+    fine = np.array([np.bincount((x // BINS) % FINE_BINS, minlength=FINE_BINS) for x in seqs], np.int32)
+
+    def first_here(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        same = (keys[i] == keys[j]) & (keys[i] != 0)
+        return keys[i, same.argmax(axis=1)] == bucket
+
     left = np.flatnonzero(~second)
     right = np.flatnonzero(second) if second.any() else left
     ia, ib, far = [], [], []
@@ -276,9 +297,17 @@ def links_between(seqs: list[np.ndarray], root: np.ndarray, second: np.ndarray)
             # an edit changes the counts by two at most
             apart = np.abs(counts[a[i]] - counts[right[j]]).sum(axis=1)
             near = apart <= 2 * limit[i, j]
-            ia.append(a[i[near]])
-            ib.append(right[j[near]])
-            far.append(apart[near] / np.maximum(most[i, j][near], 1))
+            i, j, apart = i[near], j[near], apart[near]
+            if keys is not None and len(i):
+                own = first_here(a[i], right[j])
+                i, j, apart = i[own], j[own], apart[own]
+            for c in range(0, len(i), 1 << 12):
+                s = slice(c, c + (1 << 12))
+                more = np.abs(fine[a[i[s]]] - fine[right[j[s]]]).sum(axis=1)
+                near = more <= 2 * limit[i[s], j[s]]
+                ia.append(a[i[s][near]])
+                ib.append(right[j[s][near]])
+                far.append(np.maximum(apart[s], more)[near] / np.maximum(most[i[s], j[s]][near], 1))
     if not ia:
         return []
     order = np.argsort(np.concatenate(far), kind="stable")
@@ -298,7 +327,7 @@ def links_between(seqs: list[np.ndarray], root: np.ndarray, second: np.ndarray)
     return links
 
 
-def _links_within(large: DataFrame, roots: DataFrame, payload: DataFrame) -> DataFrame:
+def _links_within(large: DataFrame, roots: DataFrame, payload: DataFrame, nodes: DataFrame) -> DataFrame:
     """Further links (a, b) of large buckets: all that join components."""
     rooted = large.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
     spark = large.sparkSession
@@ -308,11 +337,14 @@ def _links_within(large: DataFrame, roots: DataFrame, payload: DataFrame) -> Dat
         node = table.column("node").to_pylist()
         _, root = np.unique(np.array([x.hex() for x in table.column("root").to_pylist()]), return_inverse=True)
         seqs = [np.frombuffer(x, "<u4") for x in table.column("words").to_pylist()]
-        found = links_between(seqs, root, np.array(table.column("second").to_pylist(), bool))
+        own = [np.asarray(x.values) for x in table.column("keys")]
+        found = links_between(seqs, root, np.array(table.column("second").to_pylist(), bool),
+                              key_table(own, np.array([len(x) for x in seqs])), table.column("bucket")[0].as_py())
         return pa.table({"a": pa.array([max(node[i], node[j]) for i, j in found], pa.binary()),
                          "b": pa.array([min(node[i], node[j]) for i, j in found], pa.binary())})
 
-    return work.join(payload, "node").groupBy("bucket", "p", "q").applyInArrow(run, "a binary, b binary")
+    known = payload.join(nodes.select("node", "keys"), "node")
+    return work.join(known, "node").groupBy("bucket", "p", "q").applyInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -333,7 +365,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     payload = staged(spark, payload_table(df, key, text, nodes.join(wanted, "node").select("node", "id")), "payload")
     links = staged(spark, verify(pairs, payload).where("linked").select("a", "b"), "verified")
     roots = components(links)
-    more = staged(spark, _links_within(large.select("bucket", "node", "n"), roots, payload), "within")
+    more = staged(spark, _links_within(large.select("bucket", "node", "n"), roots, payload, nodes), "within")
     if not more.isEmpty():
         roots = components(links.union(more))
     classed = nodes.select("node", "id").join(roots, "node", "left").select(
