@@ -285,7 +285,7 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-remembered("codec", codec.cache_clear)
+remembered("codec", codec)
 
 
 def encode(df: DataFrame, text: str, path: str, *keep: str) -> DataFrame:

@@ -133,4 +133,4 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-remembered("encoder", encoder.cache_clear)
+remembered("encoder", encoder)

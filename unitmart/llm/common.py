@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import io
 import os
 import uuid
@@ -19,6 +21,8 @@ from ..session import scratch_path
 # Text handed to one numpy pass; several work arrays of eight bytes a byte
 # live at once, so a pass stays within some tens of MB.
 PASS_BYTES = 1 << 20
+# returns the free memory of the C allocator, where it can
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 # Text in one Arrow batch sent to a Python worker.
 BATCH_BYTES = 2 << 20
 
@@ -99,20 +103,26 @@ def arrow_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     ship(spark)
 
 
-# what a Python worker remembers between tasks: name, and how to forget it
-_REMEMBERED: dict[str, Callable[[], None]] = {}
+# what a Python worker remembers between tasks: functions with an lru_cache
+_REMEMBERED: dict[str, Callable] = {}
 
 
-def remembered(name: str, forget: Callable[[], None]) -> None:
-    _REMEMBERED[name] = forget
+def remembered(name: str, cached: Callable) -> None:
+    _REMEMBERED[name] = cached
 
 
 def release(keep: str | None = None) -> None:
     """Workers outlive tasks: forget what other operators remembered in this
-    one, so that their memory does not add up over a pipeline."""
-    for name, forget in _REMEMBERED.items():
-        if name != keep:
-            forget()
+    one, and give memory that is free back to the system, so that it does not
+    add up over a pipeline."""
+    full = [c for name, c in _REMEMBERED.items() if name != keep and c.cache_info().currsize]
+    for cached in full:
+        cached.cache_clear()
+    if full:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
