@@ -1,6 +1,7 @@
 """BPE encoding and decoding by speculation.
 
-1. *Speculate.* A word is cut greedily into the longest vocabulary entries.
+1. *Speculate.* A word is cut greedily into the longest vocabulary entries: all
+   words of a batch walk a trie of the entries together in numpy.
 2. *Verify.* Each adjacent pair of proposed tokens is tested, all pairs of all
    words at once in numpy: a merge over the border between two tokens would
    have to join a part of the left one's right edge with a part of the right
@@ -9,12 +10,12 @@
    pair holds if none of them has a merge early enough. A sequence whose pairs
    all hold, of tokens that encode to themselves, is the encoding.
 3. *Repair.* Only words with a failing pair are merged exactly, lowest rank
-   first.
+   first; words of like length side by side, one merge each at a time.
 
 The rule of step 2 needs every entry to be made by one merge of older entries;
 that is checked when a file is read, and where it does not hold all words take
 step 3. Words come from the file's own normaliser and pre-tokeniser, and are
-kept per chunk of text (see ``chunk_cache``), as chunks repeat.
+kept per piece of text (see ``chunk_cache``), as pieces repeat.
 
 Decoding joins the tokens of the ids by one space, which is what the library
 does for a file without a decoder.
@@ -37,12 +38,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunk_cache import SAFE, Encoder, token_file
+from .chunk_cache import Encoder, Known, byte_chars, together, token_file, word_pieces
 from .common import documents, map_arrow, remembered, slices
 
 END = "￿"  # stands for the end-of-word suffix, so that it is one character
-KEEP = 200_000  # chunks and words that a worker remembers, in each generation
+LONG = 48  # symbols; longer words are cut and merged one by one
+ROWS = 8192  # words side by side
 _NEVER = np.int64(1 << 40)
+_LAST = np.int64(1 << 60)
 
 
 class Codec:
@@ -51,22 +54,21 @@ class Codec:
             spec = json.load(f)
         model = spec["model"]
         self.suffix = model.get("end_of_word_suffix") or ""
-        self.lib = Encoder(path).lib
+        self.encoder = Encoder(path)
+        self.lib = self.encoder.lib
         self.vocab = {self._one(t): i for t, i in model["vocab"].items()}
         self.longest = max(map(len, self.vocab), default=0)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
+        self.named = {i: (f"{i} ".encode(), f"{t} ".encode()) for i, t in self.token.items()}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special))) + ")") if self.special else None
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         parts = [(self._one(a), self._one(b)) for a, b in merges]
         self.rank = {p: r for r, p in enumerate(parts)}
         self._edges(parts)
-        # per chunk, its ids and its tokens, each joined by spaces; two generations
-        self.chunks: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.words: dict[str, list[int]] = {}
+        self.known = Known(self._entries)  # of a piece: its ids and its tokens, a space after each
         self.pattern = self._split_pattern(spec)
-        self.byte_char = {chr(b): c for b, c in enumerate(_byte_chars())}
+        self.byte_char = {chr(b): c for b, c in enumerate(byte_chars())}
 
     def _split_pattern(self, spec: dict):
         """The file's split pattern, for chunks within ``SAFE``; None if the
@@ -80,12 +82,10 @@ class Codec:
             return None
         return regex.compile(steps[0]["pattern"]["Regex"]).findall
 
-    def _safe_words(self, chunk: str) -> list[str]:
-        """Words of a lower-cased chunk within ``SAFE``."""
-        if self.pattern is None:
-            return self._words(chunk)
-        found = self.pattern(chunk)
-        if chunk.isascii() and chunk.isprintable():
+    def _safe_words(self, piece: str) -> list[str]:
+        """Words of a lower-cased piece within ``SAFE``."""
+        found = [piece] if piece.isalpha() else self.pattern(piece)
+        if piece.isascii() and piece.isprintable():
             return found
         get = self.byte_char.__getitem__
         return [w if w.isascii() and w.isprintable() else "".join(map(get, w.encode().decode("latin-1"))) for w in found]
@@ -120,8 +120,45 @@ class Codec:
         order = np.argsort(keys)
         self.pair_key = np.array(keys, np.int64)[order]
         self.pair_rank = np.array(ranks, np.int64)[order]
+        self.pair_next = np.array([self.next[k] for k in keys], np.int64)[order]
         loose = [t for t, i in self.vocab.items() if len(t.replace(END, "") or t) > 1 and self.made[i] < 0]
         self.sound, self.size = sound and not loose and len(keys) > 0, n
+        # ids of single characters, inside a word and at its end
+        top = max((ord(t[0]) for t in self.vocab if len(t.replace(END, "")) == 1), default=0) + 2
+        self.inner, self.final = np.full(top, -1), np.full(top, -1)
+        for t, i in self.vocab.items():
+            if len(t) == 1 and t != END:
+                self.inner[ord(t)] = i
+                if not self.suffix:
+                    self.final[ord(t)] = i
+            elif len(t) == 2 and t[1] == END:
+                self.final[ord(t[0])] = i
+        if self.sound:
+            self._trie()
+
+    def _trie(self) -> None:
+        """Nodes of all beginnings of entries, as ids of single characters;
+        the node of a single character is that character's id."""
+        step: dict[int, int] = {}
+        n, nodes, entry = self.size, self.size, {}
+        for t, i in self.vocab.items():
+            own = list(t)
+            if len(own) > 1 and own[-1] == END:
+                own[-2:] = [own[-2] + END]
+            if any(c not in self.vocab for c in own):
+                continue
+            at = self.vocab[own[0]]
+            for c in own[1:]:
+                key = at * n + self.vocab[c]
+                if key not in step:
+                    step[key] = nodes
+                    nodes += 1
+                at = step[key]
+            entry[at] = i
+        self.step_key = np.array(sorted(step), np.int64)
+        self.step_node = np.array([step[k] for k in sorted(step)], np.int64)
+        self.entry = np.full(nodes, -1)
+        self.entry[list(entry)] = list(entry.values())
 
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -197,19 +234,115 @@ class Codec:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.vocab[p] for p in parts if p in self.vocab]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word (characters of the pre-tokeniser, without suffix)."""
-        words = [w + END if self.suffix else w for w in words]
-        got = [self.propose(w) if self.sound else None for w in words]
-        good = np.array([g is not None for g in got])
-        counts = np.array([len(g) if g else 0 for g in got])
-        flat = np.array([t for g in got if g for t in g], np.int64)
+    def _propose_all(self, symbols: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Longest entries first, for rows of symbols (-1: past the end);
+        entries and their number."""
+        out, counts = np.full(symbols.shape, -1), np.zeros(len(symbols), np.int64)
+        row, last, n = np.arange(len(symbols)), symbols.shape[1] - 1, len(self.step_key) - 1
+        pos = np.ones(len(row), np.int64)
+        node = symbols[:, 0].copy()
+        best, end = node.copy(), pos.copy()
+        while len(row):
+            c = np.where(pos < lens[row], symbols[row, np.minimum(pos, last)], -1)
+            key = node * self.size + c
+            at = np.minimum(np.searchsorted(self.step_key, key), n)
+            on = (c >= 0) & (self.step_key[at] == key)
+            pos += on
+            node = np.where(on, self.step_node[at], node)
+            made = self.entry[node]
+            longer = on & (made >= 0)
+            best, end = np.where(longer, made, best), np.where(longer, pos, end)
+            off = np.flatnonzero(~on)
+            r = row[off]
+            out[r, counts[r]] = best[off]
+            counts[r] += 1
+            begin = end[off]
+            over = begin >= lens[r]
+            node[off] = best[off] = symbols[r, np.minimum(begin, last)]
+            pos[off] = end[off] = begin + 1
+            if over.any():
+                live = np.ones(len(row), bool)
+                live[off[over]] = False
+                row, pos, node, best, end = row[live], pos[live], node[live], best[live], end[live]
+        return out, counts
+
+    def _next(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and id of the merge of each pair as one number."""
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        return np.where((self.pair_key[at] == key) & (a >= 0) & (b >= 0), self.pair_next[at], _LAST)
+
+    def _merge_all(self, symbols: np.ndarray) -> np.ndarray:
+        """Exact merging of rows of symbols (-1: past the end)."""
+        out = np.full(symbols.shape, -1)
+        ids = np.column_stack([symbols, np.full(len(symbols), -1)])
+        pairs = np.column_stack([self._next(ids[:, :-1], ids[:, 1:]), np.full(len(ids), _LAST)])
+        row, cols = np.arange(len(ids)), np.arange(ids.shape[1])
+        while len(row):
+            j = pairs.argmin(1)
+            least = pairs[np.arange(len(row)), j]
+            done = least == _LAST
+            if done.any():
+                out[row[done]] = ids[done, :-1]
+                live = ~done
+                row, ids, pairs, j, least = row[live], ids[live], pairs[live], j[live], least[live]
+                if not len(row):
+                    break
+            shift = np.minimum(cols + (cols > j[:, None]), len(cols) - 1)
+            ids, pairs = np.take_along_axis(ids, shift, 1), np.take_along_axis(pairs, shift, 1)
+            at, whole = np.arange(len(row)), least % self.size
+            ids[at, j] = whole
+            pairs[at, j] = self._next(whole, ids[at, j + 1])
+            inner = np.flatnonzero(j)
+            pairs[inner, j[inner] - 1] = self._next(ids[inner, j[inner] - 1], whole[inner])
+        return out
+
+    def _holds(self, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """For each proposal, whether every pair of its tokens holds."""
+        good = np.ones(len(counts), bool)
         if len(flat) > 1:
-            owner = np.repeat(np.arange(len(words)), counts)
+            owner = np.repeat(np.arange(len(counts)), counts)
             inner = owner[1:] == owner[:-1]
             holds = self.compatible(flat[:-1][inner], flat[1:][inner])
             good[owner[1:][inner][~holds]] = False
-        return [g if ok else self.merge(w) for w, g, ok in zip(words, got, good)]
+        return good
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word (characters of the pre-tokeniser, without suffix)."""
+        lens = np.array([len(w) for w in words], np.int64)
+        out: list = [None] * len(words)
+        char = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        char = np.minimum(char, len(self.inner) - 1)  # the last one is no character's
+        first = np.cumsum(lens) - lens
+        symbol = self.inner[char]
+        some = lens > 0
+        symbol[(first + lens - 1)[some]] = self.final[char[(first + lens - 1)[some]]]
+        strange = np.concatenate([[0], np.cumsum(symbol < 0)])
+        usual = some & (lens <= LONG) & (strange[first + lens] == strange[first]) & self.sound
+        order = np.flatnonzero(usual)
+        order = order[np.argsort(lens[order], kind="stable")]
+        for a in range(0, len(order), ROWS):
+            own = order[a:a + ROWS]
+            n = lens[own]
+            cols = np.arange(n.max())
+            inside = cols < n[:, None]
+            rows = np.where(inside, symbol[np.where(inside, first[own][:, None] + cols, 0)], -1)
+            ids, counts = self._propose_all(rows, n)
+            bad = ~self._holds(ids[ids >= 0], counts)
+            ids[bad] = self._merge_all(rows[bad])
+            counts = (ids >= 0).sum(1)
+            flat, at = ids[ids >= 0].tolist(), np.concatenate([[0], np.cumsum(counts)]).tolist()
+            for w, x, y in zip(own.tolist(), at, at[1:]):
+                out[w] = flat[x:y]
+        for i in np.flatnonzero(~usual).tolist():
+            out[i] = self._alone(words[i] + END if self.suffix else words[i])
+        return out
+
+    def _alone(self, word: str) -> list[int]:
+        found = self.propose(word) if self.sound else None
+        if found is not None and self._holds(np.array(found, np.int64), np.array([len(found)])).all():
+            return found
+        return self.merge(word)
 
     def _words(self, text: str) -> list[str]:
         if self.lib.normalizer is not None:
@@ -226,27 +359,15 @@ class Codec:
                     out += ids
         return out
 
-    def learn_chunks(self, texts: list[list[str]]) -> None:
-        """Encode the chunks of these texts that are not kept yet; all their
-        new words at once."""
-        if len(self.chunks[0]) > KEEP:
-            self.chunks, self.old = ({}, {}), self.chunks
-        if len(self.words) > KEEP:
-            self.words = {}
-        (ids, tokens), (old_ids, old_tokens) = self.chunks, self.old
-        new = set().union(*texts).difference(ids)
-        known = new.intersection(old_ids)
-        ids.update((c, old_ids[c]) for c in known)
-        tokens.update((c, old_tokens[c]) for c in known)
-        new = list(new - known)
-        words = [self._safe_words(c) for c in new]
-        fresh = list({w for ws in words for w in ws if w not in self.words})
-        self.words.update(zip(fresh, self.encode_words(fresh)))
-        name, known_words = self.token, self.words
-        for c, ws in zip(new, words):
-            own = known_words[ws[0]] if len(ws) == 1 else [i for w in ws for i in known_words[w]]
-            ids[c] = " ".join(map(str, own)).encode()
-            tokens[c] = " ".join([name[i] for i in own]).encode()
+    def _entries(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        words = [self._safe_words(p) for p in pieces]
+        new = list({w for ws in words for w in ws})
+        made = dict(zip(new, self.encode_words(new)))
+        name, out = self.named, []
+        for ws in words:
+            own = [name[i] for w in ws for i in made[w]]
+            out.append((b"".join([x for x, _ in own]), b"".join([y for _, y in own])))
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.token[i] for i in ids])
@@ -256,28 +377,19 @@ class Codec:
 
     def digests(self, texts: list[str | None]) -> tuple[list[int], list[str], list[str]]:
         """Per text: number of ids, sha256 of the ids, sha256 of the decoded text."""
-        plain = [t.lower().split() if t and "<|" not in t and SAFE.match(t) else None for t in texts]
-        self.learn_chunks([t for t in plain if t])
-        ids, tokens = (d.__getitem__ for d in self.chunks)
-        n, a, b = [], [], []
-        for t, chunks in zip(texts, plain):
-            if chunks is None:
-                own = self.encode(t)
-                x, y = " ".join(map(str, own)).encode(), self.decode(own).encode()
-            else:  # every chunk has a token, as the pattern keeps all but space
-                x, y = b" ".join(map(ids, chunks)), b" ".join(map(tokens, chunks))
-            n.append(x.count(b" ") + 1 if x else 0)
-            a.append(hashlib.sha256(x).hexdigest())
-            b.append(hashlib.sha256(y).hexdigest())
-        return n, a, b
-
-
-def _byte_chars() -> list[str]:
-    """The printable character that byte-level files use for each byte: its
-    own where Latin-1 prints it, else the next one from U+0100 on."""
-    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in keep else chr(next(rest)) for b in range(256)]
+        made = [(b"", b"")] * len(texts)
+        easy = [i for i, t in enumerate(texts) if self.pattern and self.encoder.words and self.encoder.easy(t)]
+        if easy:  # every piece has a token, as the pattern keeps all but space
+            pieces, bounds = word_pieces([texts[i] for i in easy])
+            entries = self.known.of(pieces.dictionary.to_pylist())
+            both = [together([e[k] for e in entries], pieces, bounds) for k in (0, 1)]
+            for i, x, y in zip(easy, *both):
+                made[i] = x[:-1], y[:-1]
+        for i in set(range(len(texts))).difference(easy):
+            own = self.encode(texts[i])
+            made[i] = " ".join(map(str, own)).encode(), self.decode(own).encode()
+        return ([x.count(b" ") + 1 if x else 0 for x, _ in made],
+                *([hashlib.sha256(m[k]).hexdigest() for m in made] for k in (0, 1)))
 
 
 @lru_cache(2)

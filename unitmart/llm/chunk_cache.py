@@ -190,14 +190,14 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._pack([self.lib.encode(text, add_special_tokens=False).ids])[0]
 
-    def _easy(self, text: str | None) -> bool:
+    def easy(self, text: str | None) -> bool:
         if not text or "<|" in text or not SAFE.match(text):
             return False
         return self.words or self.bytes and "\x85" not in text and "\xa0" not in text
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null is empty."""
-        easy = [i for i, t in enumerate(texts) if self._easy(t)]
+        easy = [i for i, t in enumerate(texts) if self.easy(t)]
         out = [b""] * len(texts)
         if easy:
             pieces, bounds = (word_pieces if self.words else byte_pieces)([texts[i] for i in easy])
