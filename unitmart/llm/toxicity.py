@@ -19,7 +19,8 @@
 Defined results: null and empty texts have the score of a text without any
 toxic token; ids, languages and sources are never read by a score; labels of
 ids not in the documents are ignored, null labels too; an id labelled more
-than once counts as toxic if any label says so. Without labels of both kinds
+than once, or equal texts with different labels, count as toxic if any label
+says so. Without labels of both kinds
 every score is 0.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, id_crc, map_arrow, slices, table
+from .common import documents, id_crc, map_arrow, slices, staged, table
 from .words import BYTE_CODE, LOWER, NON_LETTER, Words, mix, prefix_sums, span_hash, split_words
 
 MAX_LABELLED = 12_000
@@ -68,8 +69,10 @@ def tokens(arr: pa.Array) -> tuple[Words, np.ndarray]:
 def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, after last, score) of one sequence,
     in one pass: candidates are kept with the running totals at both ends and
-    joined while that raises them."""
-    out: list[tuple[int, int, float, float]] = []  # first, after, total before, total after
+    joined while that raises them. Each also keeps the place of the nearest one
+    before it that began at a smaller total; no link is followed twice, so the
+    scan is linear."""
+    out: list[tuple[int, int, float, float, int]] = []  # first, after, total before, total after, link
     total = 0.0
     for i, s in zip(*_runs(score)):
         first, after = i
@@ -77,16 +80,17 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
             total += s
             continue
         first_total, total = total, total + s
+        at = len(out) - 1
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= first_total:
-                j -= 1
-            if j < 0 or out[j][3] >= total:
-                out.append((first, after, first_total, total))
+            while at >= 0 and out[at][2] >= first_total:
+                at = out[at][4]
+            if at < 0 or out[at][3] >= total:
+                out.append((first, after, first_total, total, at))
                 break
-            first, first_total = out[j][0], out[j][2]
-            del out[j:]
-    return [(a, b, y - x) for a, b, x, y in out]
+            first, _, first_total, _, nearer = out[at]
+            del out[at:]
+            at = nearer
+    return [(a, b, y - x) for a, b, x, y, _ in out]
 
 
 def _runs(score: np.ndarray):
@@ -165,9 +169,9 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     known = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
              .groupBy(F.col(key).alias("id")).agg(F.max(label).alias("y"))
              .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
-    sample = (docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-              .join(F.broadcast(known), "id").select("text", "y")
-              .dropDuplicates(["text"]))
+    # at most max_labelled rows, stored once as they are read three times
+    sample = staged(docs.sparkSession, docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+                    .join(F.broadcast(known), "id").groupBy("text").agg(F.max("y").alias("y")), "labelled")
 
     def count(batch: pa.RecordBatch):
         y = np.asarray(batch.column("y").cast(pa.int64()))
