@@ -38,6 +38,9 @@ from .words import BYTE_CODE, prefix_sums, run_starts, span_hash
 
 K, S = 20, 8
 SIZE = 32
+# a range of ids holds about so many bytes of text, and there are at most so many ranges
+RANGE_BYTES = 12 << 20
+MOST_RANGES = 50_000
 UNIT = 16
 _ANCHOR = np.dtype([("hash", ">u4"), ("place", ">u2")])
 
@@ -172,21 +175,26 @@ def in_order_with_next(df: DataFrame, key: str, text: str) -> DataFrame:
         "tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     least = F.lit(-(1 << 63))
     keys = src.select(F.coalesce("id", least).alias("id"), "tie")
+    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(max(-(-size // RANGE_BYTES), 1), MOST_RANGES)
     # one row per range of ids, however many documents there are
-    heads = (keys.repartitionByRange("id", "tie").groupBy(F.spark_partition_id().alias("p"))
+    heads = (keys.repartitionByRange(ranges, "id", "tie").groupBy(F.spark_partition_id().alias("p"))
              .agg(F.min(F.struct("id", "tie")).alias("h")).select("h.id", "h.tie").orderBy("id", "tie").toPandas())
     n = max(len(heads), 1)
     shipped = spark.sparkContext.broadcast(_sort_key(heads["id"], heads["tie"]) if len(heads) else np.zeros(0, "S16"))
 
-    @F.pandas_udf("array<struct<slice:int,guest:int>>")
-    def targets(ids: pd.Series, tie: pd.Series) -> pd.Series:
+    @F.pandas_udf("bigint")
+    def place(ids: pd.Series, tie: pd.Series) -> pd.Series:
+        """Twice the slice, and one more for a row that is the first of it."""
         k = _sort_key(ids, tie)
         at = np.searchsorted(shipped.value, k, "right") - 1
-        first = shipped.value[at] == k
-        return pd.Series([[{"slice": s, "guest": 0}, {"slice": (s - 1) % n, "guest": 1}] if f
-                          else [{"slice": s, "guest": 0}] for s, f in zip(at.tolist(), first.tolist())])
+        return pd.Series(2 * at + (shipped.value[at] == k))
 
-    return (src.withColumn("to", F.explode(targets(F.coalesce("id", least), "tie")))
+    slot = F.shiftright("place", 1)
+    own = F.struct(slot.cast("int").alias("slice"), F.lit(0).alias("guest"))
+    before = F.struct(F.pmod(slot - 1, F.lit(n)).cast("int").alias("slice"), F.lit(1).alias("guest"))
+    return (src.withColumn("place", place(F.coalesce("id", least), "tie"))
+            .withColumn("to", F.explode(F.when(F.col("place") % 2 == 1, F.array(own, before)).otherwise(F.array(own))))
             .select("to.slice", "to.guest", "id", "tie", "text")
             .repartitionById(n, "slice")
             .sortWithinPartitions("slice", "guest", "id", "tie").drop("tie"))
