@@ -82,6 +82,35 @@ def test_segments_hold_the_best_one():
             assert abs(max(x for _, _, x in found) - brute_segments(s)) < 1e-9
 
 
+def maximal(s: list[float], a: int, b: int) -> list[tuple[int, int]]:
+    """By definition: the best segment, then those on both sides of it."""
+    found = [(sum(s[i:j]), -i, -j) for i in range(a, b) for j in range(i + 1, b + 1)]
+    best, i, j = max(found, default=(0, 0, 0))
+    return [*maximal(s, a, -i), (-i, -j), *maximal(s, -j, b)] if best > 0 else []
+
+
+def test_segments_are_all_maximal_ones():
+    rng = np.random.default_rng(7)
+    for _ in range(150):
+        s = rng.normal(-0.2, 1, rng.integers(0, 22)).tolist()
+        assert [(a, b) for a, b, _ in toxicity.segments(np.array(s))] == maximal(s, 0, len(s))
+
+
+def test_many_hits_in_one_text():
+    alone = np.where(np.arange(400_000) % 2 == 0, 1.0, -1.5)
+    assert len(toxicity.segments(alone)) == 200_000
+    assert len(toxicity.segments(np.where(alone > 0, 1.0, -0.5))) == 1
+
+
+def test_equal_texts_with_different_labels(spark):
+    rows = [(i, f"vile words number {i % 4}" if i % 2 else f"calm words number {i % 6}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    either = spark.createDataFrame([(i, i % 2 if i > 20 else 0) for i, _ in rows], "doc_id bigint, toxic int")
+    clear = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, toxic int")
+    a, b = toxicity.learn(docs, either), toxicity.learn(docs, clear)
+    assert (a.token == b.token).all() and np.allclose(a.score, b.score) and np.allclose(a.weights, b.weights)
+
+
 def test_toxicity_held_out(spark):
     docs, labels = documents(spark, SF), table(spark, SF, "labels")
     held = id_crc("doc_id") % 4 == 2
@@ -152,6 +181,14 @@ def test_fingerprints_of_odd_rows(spark, odd_docs, no_docs):
     assert syncmers.fingerprint_documents(no_docs).count() == 0
 
 
+def test_fingerprints_do_not_depend_on_ranges(odd_docs, monkeypatch):
+    order = ["doc_id", "edited_sha256", "fingerprint", "near_next"]
+    one = sorted(map(str, syncmers.fingerprint_documents(odd_docs).select(order).collect()))
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", 20_000)
+    many = syncmers.fingerprint_documents(odd_docs)
+    assert many.rdd.getNumPartitions() > 3 and sorted(map(str, many.select(order).collect())) == one
+
+
 def test_syncmers_do_not_depend_on_context():
     rng = np.random.default_rng(3)
     make = lambda n: "".join(rng.choice(list("abcdefg "), n))

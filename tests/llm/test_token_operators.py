@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from unitmart.llm import bpe, packing, token_files
+from unitmart.llm import bpe, chunk_cache, packing, token_files
 from unitmart.llm.chunk_cache import encoder, token_file
 from unitmart.session import scratch_path
 
@@ -63,6 +63,26 @@ def test_pairs_are_judged_as_exact_merging_does():
     assert (c.compatible(a, b)[alone] == np.array(exact)[alone]).all() and 0 < sum(exact) < len(exact)
 
 
+def test_words_side_by_side_are_those_merged_alone():
+    c = bpe.codec(token_file("word_bpe_49k.json"))
+    rng = random.Random(8)
+    words = ["".join(rng.choice("etaoinshrdluq.9") for _ in range(rng.randint(1, 70))) for _ in range(1500)]
+    words += ["the", "x", "q" * 5000, "é", ""]  # a character the file's words cannot have, and none
+    assert c.encode_words(words) == [c.merge(w + bpe.END) if w else [] for w in words]
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(chunk_cache, "KEEP", 50)
+    for name in FILES:
+        enc = chunk_cache.Encoder(token_file(name))
+        texts = fuzz(400)
+        for a in range(0, 400, 20):
+            got = enc.ids(texts[a:a + 20])
+            assert [np.frombuffer(b, "<u4").tolist() for b in got] == [
+                enc.lib.encode(t, add_special_tokens=False).ids for t in texts[a:a + 20]]
+        assert len(enc.known.old) < 50 + 20 * 17
+
+
 def test_bpe_rows(odd_docs, no_docs):
     path = token_file("word_bpe_49k.json")
     out = bpe.digests(odd_docs, "doc_id", "text", path)
