@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 
 from unitmart.llm import html_text, language_id, quality_rules, syncmers, toxicity
+from unitmart.llm.html_examples import Writer
 from unitmart.llm.common import documents, id_crc, table
 from unitmart.llm.words import split_words
 
@@ -257,3 +259,67 @@ def test_main_text_of_rows(spark):
 def test_tree_fits_its_examples():
     x, y = html_text.labelled()
     assert (html_text.classify(html_text.trained(), x) == y.astype(bool)).mean() > 0.95
+
+
+def _held_out_pages():
+    """Layouts that the examples lack, without a telling element or name: link
+    lines by <br> or in table cells, articles of bare divs, lists or sections."""
+    w = Writer(99)
+
+    def text(least, most):
+        return "+" + w.words(least, most)
+
+    def body(tag):
+        parts = [f"<{tag}>{text(n, n + 8)}</{tag}>" for n in (40, w.of(2, 6, 15), w.of(30, 90), w.of(1, 4, 25), 60, w.of(3, 9), 35)]
+        return f"<h1>{text(2, 9)}</h1>" + "".join(parts)
+
+    def cells():
+        return "<table><tr>" + "".join(f"<td>{w.link()}</td>" for _ in range(6)) + "</tr></table>"
+
+    for _ in range(40):
+        lines = "<br>".join(w.link() for _ in range(7))
+        yield f"<div>{lines}</div><hr>{body('div')}<hr><div>{lines} {w.words(1, 3)}</div>"
+        yield f"{cells()}<section>{body('dd')}</section>{cells()}"
+        yield f"<dl><dt>{w.link()}</dt><dt>{w.link()}</dt><dt>{w.link()}</dt></dl>{body('section')}<p>{w.link(3, 9)}</p><p>{w.link(2, 7)}</p>"
+
+
+def test_held_out_layouts_without_names():
+    x, y = html_text.labelled(list(_held_out_pages()))
+    assert set(x[:, -1]) == {0.0}  # nothing but lengths, links and headings to go by
+    right = (html_text.classify(html_text.trained(), x) == y.astype(bool)).mean()
+    print("held-out layouts:", len(y), "blocks, right:", right)
+    assert right >= 0.95
+
+
+def test_lengths_and_links_come_first_in_the_tree():
+    def tested(tree):
+        return [] if len(tree) == 1 else [html_text.FEATURES[tree[0]], *tested(tree[2]), *tested(tree[3])]
+
+    names = tested(html_text.trained())
+    assert names[0] != "place" and names.count("place") < len(names) / 2
+    assert {"words_after", "links_before", "words_before", "links_after", "words_near", "links_near"} & set(names)
+
+
+LINE = "This paragraph tells at some length what happened there, who took part in it and why people still speak of it."
+
+
+@pytest.mark.parametrize("outer", ['<div class="content">', "<article>"])
+def test_names_that_merely_contain_a_telling_word(outer):
+    page = (f'{outer}<h1>On shares</h1><p>{LINE}</p><div class="share-prices"><p>{LINE} One.</p></div>'
+            f'<div class="social-issues-story"><p>{LINE} Two.</p></div><p>{LINE}</p>')
+    want = ["On shares", LINE, f"{LINE} One.", f"{LINE} Two.", LINE]
+    assert html_text.main_text(page, html_text.trained()) == "\n\n".join(want)
+
+
+def test_a_link_alone_in_a_plain_container_goes():
+    page = f'<div class="content"><p>{LINE}</p><p>{LINE}</p><p><a href="/o">Read all about our offers</a></p></div>'
+    assert html_text.main_text(page, html_text.trained()) == f"{LINE}\n\n{LINE}"
+
+
+@pytest.mark.parametrize("part,n", [
+    ("<a ", 333_000), ("<a '", 250_000), ("<a \"'", 200_000), ("<!", 500_000), ("</script ", 110_000), ("<div>", 200_000), ("<", 1_000_000),
+])
+def test_broken_markup_takes_linear_time(part, n):
+    start = time.process_time()
+    html_text.main_text(part * n + "</ul>" * 1_000, html_text.trained())
+    assert time.process_time() - start < 5

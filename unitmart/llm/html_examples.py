@@ -1,57 +1,131 @@
-"""The small labelled table for main-text extraction: hand-written pages in
-several layouts. In an example a block whose text starts with "+" belongs to
-the article; the sign is only the label and is cut off before features are
-taken."""
+"""The small labelled table for main-text extraction: ``PAGES`` pages in eight
+hand-made layouts, filled with paragraphs of many lengths. A block whose text
+starts with "+" belongs to the article; the sign is only the label. What the
+words say is never a feature, so they are all alike.
+
+Three layouts use sectioning elements, two whole names of parts, and three
+neither, so that a tree has to tell article and rest by lengths and links.
+"""
 
 from __future__ import annotations
 
-_LONG = ("This paragraph of the article tells at some length what happened, who took part in it, "
-         "and why the people of the town still speak about it when the evenings grow long.")
-_MID = "A shorter paragraph follows, of some twelve words or so."
-_SIDE = "Read more of our most popular stories from the past week and month, chosen by our editors."
-_MENU = '<ul><li><a href="/a">Home</a></li><li><a href="/b">World news</a></li><li><a href="/c">Sport</a></li></ul>'
-_COMMENT = ("I have lived there for twenty years and must say that nothing of this is true, "
-            "as all of my neighbours will gladly tell you if you ask them.")
-
-PAGES = [
-    # semantic elements
-    f'<nav>{_MENU}</nav><div class="ad">Buy now. Only today.</div><article><h1>+The title</h1><p>+{_LONG}</p>'
-    f'<p>+{_MID}</p><p>+So it was.</p><p>+Yes.</p></article><footer>&copy; 2020 Example &middot; All rights reserved.</footer>',
-    f'<header><a href="/">The Daily</a> <span>News for all</span></header><nav>{_MENU}</nav><main><h1>+Two words</h1>'
-    f'<h2>+Part</h2><p>+{_MID}</p><ul><li>+First point</li><li>+Second point</li></ul><p>+{_LONG} <a href="/x">More</a></p></main>'
-    f'<aside><h3>Related</h3><p>{_SIDE}</p></aside><footer><p>Imprint and contact.</p></footer>',
-    f'<div class="cookie-notice">We use cookies to improve this site and to show you adverts. <button>Accept</button></div>'
-    f'<article><h1>+A day</h1><div class="promo">Subscribe today and save half of the price for a whole year.</div>'
-    f'<p>+{_LONG}</p><p>+{_LONG}</p><section class="comments"><h3>Comments</h3><p>{_COMMENT}</p><p>Nonsense!</p></section></article>',
-    f'<article><p>+Short.</p></article><div class="comments"><p>{_COMMENT}</p></div><footer>Contact</footer>',
-    f'<nav>{_MENU}</nav><article><h1>+Only a title.</h1></article><footer>&copy; somebody</footer>',
-    f'<div class="banner ad-slot"><p>{_SIDE}</p></div><main><p>+{_MID}</p><form><p>Your mail address</p><button>Send</button></form>'
-    f'<p>+{_LONG}</p><aside class="related"><p>{_SIDE}</p></aside><p>+The end.</p></main>',
-    f'<article><blockquote>+{_MID}</blockquote><p>+<a href="/y">A link alone in its paragraph</a></p><p>+{_LONG}</p></article>'
-    f'<div id="sidebar"><p>{_LONG}</p><p>Short one.</p></div>',
-    f'<header><p>{_SIDE}</p></header><article><p>+{_LONG}</p><p>+{_MID}</p><p>+12</p></article><div class="ad"><p>{_LONG}</p></div>',
-    f'<article><h1>+Links</h1><ul><li>+<a href="/1">One</a></li><li>+<a href="/2">The second of them</a></li>'
-    f'<li>+<a href="/3">Three</a></li></ul><p>+<a href="/z">{_MID}</a></p></article><p>Share</p><p>{_SIDE}</p>',
-    f'<nav>{_MENU}</nav><article><p>+{_LONG}</p><p>+{_LONG}</p><p>+{_MID}</p></article>',
-    f'<main><p>+{_LONG}</p><p>+Good bye.</p></main>',
-    f'<p>{_LONG}</p><article><p>+{_LONG}</p><p>+<a href="/w">Source</a></p></article><p>{_LONG}</p><p>{_MID}</p>',
-    f'<div>Sponsored</div><main><h1>+A</h1><p>+B c.</p><p>+{_LONG}</p></main><div>{_SIDE} {_SIDE}</div>',
-    f'<main><p>+<a href="/w">Source of it</a></p><p>+<a href="/v">Other</a></p><h2>+See also</h2><p>+{_LONG}</p><p>+{_LONG}</p></main>',
-    # plain containers with telling names
-    f'<div id="menu">{_MENU}</div><div class="post-content"><h1>+Title of it</h1><p>+{_LONG}</p><p>+{_MID}</p><p>+Fine.</p></div>'
-    f'<div class="sidebar"><p>{_SIDE}</p></div><div id="footer">Copyright, terms and privacy</div>',
-    f'<div class="nav">{_MENU}</div><div class="entry"><p>+{_MID}</p><p>+{_LONG}</p></div><div class="share">Share this page</div>'
-    f'<div class="comment-list"><p>{_COMMENT}</p></div>',
-    # no hints at all: lengths and links have to tell
-    f'<div><a href="/">Home</a> <a href="/n">News</a> <a href="/s">Sport</a></div><div><p>+{_LONG}</p><p>+{_MID} {_MID}</p><p>+{_LONG}</p></div>'
-    f'<div><a href="/t">Terms</a> <a href="/p">Privacy</a></div><div>All rights reserved.</div>',
-    f'<table><tr><td><a href="/">Start</a></td><td><a href="/l">List</a></td></tr></table><p>+{_LONG}</p><p>+{_LONG}</p><p>+{_MID}</p>'
-    f'<p>+{_LONG}</p><p><a href="/next">Next page</a></p>',
-    f'<p><a href="/1">One</a></p><p><a href="/2">Two of them</a></p><h1>+A heading here</h1><p>+{_LONG}</p><p>+{_LONG}</p><p>Copyright</p>',
-    f'<p>+{_LONG}</p>',
-    f'<p>+{_LONG}</p><p>+{_MID}</p><footer><p>{_LONG}</p><p>{_MID}</p></footer>',
-    f'<nav><a href="/1">{_MID}</a> <a href="/2">{_MID}</a></nav><p>+{_MID}</p><p>+{_LONG}</p><div class="sidebar"><p>{_LONG}</p><p>{_SIDE}</p></div>',
-    f'<p><a href="/1">{_MID}</a> and <a href="/2">{_SIDE}</a></p><p>+{_LONG}</p><p>+{_MID}</p><p><a href="/3">{_SIDE}</a></p><p><a href="/4">{_MID}</a></p>',
-    f'<p>+{_LONG}</p><p>+{_LONG}</p><div id="comments"><p>{_COMMENT}</p><p>{_COMMENT}</p></div><form><p>{_SIDE}</p></form>',
-    f'<div>Login</div><div><a href="/r">Register</a></div><div>+{_LONG}<br>+{_MID}</div><div>+{_LONG}</div><div>Contact us</div>',
-]
+import random
+
+PAGES = 320
+SEED = 17
+# paragraphs from one word to a few hundred, short ones as common as long ones
+LENGTHS = (1, 2, 3, 5, 8, 12, 20, 30, 45, 60, 90, 150, 300)
+
+
+class Writer:
+    """Parts of pages; ``self.of(...)`` draws one of its arguments."""
+
+    def __init__(self, seed: int):
+        self.random = random.Random(seed)
+
+    def of(self, *choices):
+        return self.random.choice(choices)
+
+    def words(self, least: int, most: int) -> str:
+        return " ".join(["word"] * self.random.randint(least, most))
+
+    def link(self, least: int = 1, most: int = 3) -> str:
+        return f'<a href="/x">{self.words(least, most)}</a>'
+
+    def menu(self) -> str:
+        n = self.random.randint(3, 9)
+        return self.of(
+            "<ul>" + "".join(f"<li>{self.link()}</li>" for _ in range(n)) + "</ul>",
+            "<p>" + " ".join(self.link() for _ in range(n)) + "</p>",
+            "".join(f"<div>{self.link(1, 4)}</div>" for _ in range(n)))
+
+    def paragraph(self, linked: bool = False) -> str:
+        n = self.of(*LENGTHS)
+        text = "+" + self.words(n, n + n // 3)
+        if linked:
+            return f'<p><a href="/x">{text}</a></p>'
+        if n > 8 and self.of(True, False, False):
+            text += f" {self.link()} {self.words(1, 4)}"
+        return self.of(f"<p>{text}</p>", f"<p>{text}", f"<p>{text}</p>", f"<blockquote><p>{text}</p></blockquote>")
+
+    def article(self, least: int = 1, long: bool = False, links: bool = True) -> str:
+        """Heading, paragraphs, now and then a list or a subheading; with
+        ``long`` at least every third paragraph has some length."""
+        out = [f"<h1>+{self.words(1, 14)}</h1>"] if long or self.of(True, True, False) else []
+        for i in range(self.random.randint(least, 9)):
+            if long and i % 3 == 0:
+                out.append(f"<p>+{self.words(30, 160)}</p>")
+            elif self.random.random() < 0.12:
+                out.append(f"<h2>+{self.words(1, 5)}</h2>")
+            elif self.random.random() < 0.1:
+                out.append("<ul>" + "".join(f"<li>+{self.words(1, 9)}</li>" for _ in range(3)) + "</ul>")
+            else:
+                out.append(self.paragraph(linked=links and self.random.random() < 0.1))
+        if long:
+            out.append(f"<p>+{self.words(25, 120)}</p>")
+        return "".join(out) or f"<p>+{self.words(1, 30)}</p>"
+
+    def notice(self) -> str:
+        """An advert, notice or imprint: some words, few links."""
+        return self.words(1, 14) + self.of("", f" {self.link()}")
+
+    def prose(self) -> str:
+        """Text of a sidebar, comment or long footer: reads like a paragraph."""
+        return "".join(f"<p>{self.words(n, n + 9)}</p>" for n in (self.of(2, 8, 25, 60), self.of(3, 14, 40)))
+
+
+def sections(w: Writer) -> str:
+    top = w.of("", f"<header><p>{w.notice()}</p></header>") + f"<nav>{w.menu()}</nav>" + w.of("", f"<div>{w.notice()}</div>")
+    end = w.of("", f"<aside>{w.prose()}</aside>", f"<div>{w.prose()}</div>") + f"<footer>{w.of(w.notice(), w.prose())}</footer>"
+    tag = w.of("article", "main")
+    return f"{top}<{tag}>{w.article()}</{tag}>{end}"
+
+
+def sections_with_insets(w: Writer) -> str:
+    inset = w.of(f"<aside>{w.prose()}</aside>", f"<form><p>{w.notice()}</p><button>{w.words(1, 2)}</button></form>",
+                 f'<div class="{w.of("ad", "promo")}">{w.notice()}</div>')
+    after = w.of("", f'<section id="comments">{w.prose()}</section>')
+    return (f'<div class="notice"><p>{w.notice()}</p></div><nav>{w.menu()}</nav><main>{w.article()}{inset}'
+            f"{w.article()}{after}</main>{w.of('', f'<div>{w.prose()}</div>')}<footer>{w.notice()}</footer>")
+
+
+def named(w: Writer) -> str:
+    return (f'<div id="menu">{w.menu()}</div><div>{w.article(2, long=True, links=False)}</div><div class="sidebar">{w.prose()}</div>'
+            f'<div id="footer">{w.of(w.notice(), w.prose())}</div>')
+
+
+def named_comments(w: Writer) -> str:
+    return (f'<div class="nav">{w.menu()}</div><div>{w.article(2, long=True, links=False)}</div><div class="comments">{w.prose()}{w.prose()}</div>'
+            f"<div>{w.menu()}</div>")
+
+
+def plain(w: Writer) -> str:
+    end = w.of(f"<div>{w.notice()}</div>", f"<div>{w.menu()}</div>", f"<div>{w.menu()}</div><div>{w.notice()}</div>", "")
+    return f"<div>{w.menu()}</div>{w.of('', f'<div>{w.notice()}</div>')}<div>{w.article(2, long=True, links=False)}</div>{end}"
+
+
+def table_layout(w: Writer) -> str:
+    return (f"<table><tr><td>{w.menu()}</td></tr><tr><td>{w.article(2, long=True, links=False)}</td></tr>"
+            f"<tr><td>{w.menu()}{w.of('', w.notice())}</td></tr></table>")
+
+
+def teasers(w: Writer) -> str:
+    """Lists of linked teasers around an article; their lines are longer than those of a menu."""
+    lines = "".join(f"<p>{w.link(4, 16)}{w.of('', ' ' + w.words(1, 3))}</p>" for _ in range(4))
+    alone = f"<p>{w.link(3, 12)}</p>"  # a link with nothing else, between paragraphs
+    return f"{lines}{w.article(2, long=True, links=False)}{w.of('', alone)}{w.article(2, long=True, links=False)}{lines}"
+
+
+def cut_off(w: Writer) -> str:
+    """The page ends within its article, or has nothing else."""
+    few = f"<p>+{w.words(1, 12)}" * w.of(1, 1, 2, 4)
+    return w.of("", f"<nav>{w.menu()}</nav><div>{w.notice()}</div>") + f"<{w.of('article', 'main')}>{w.of(few, w.article())}"
+
+
+LAYOUTS = (sections, sections_with_insets, cut_off, named, named_comments, plain, table_layout, teasers)
+
+
+def pages() -> list[str]:
+    """The labelled pages, the layouts in turn."""
+    w = Writer(SEED)
+    return [LAYOUTS[i % len(LAYOUTS)](w) for i in range(PAGES)]

@@ -1,27 +1,33 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page is cut into flat blocks at block elements. Each block has its number of
-words and its link density (share of words in links), those of the blocks
-before and after it, whether it is a heading, and a hint from the nearest
-enclosing element that says what it holds by its name, class, id or role (1:
-article, -1: menu, header, footer, sidebar, notice, advert, form or comments,
-0: none), and whether the page has such an article at all. A decision tree
-learned from the labelled pages in ``html_examples`` (Gini splits, trained in
-milliseconds on the driver) keeps or drops each block.
+A page is cut into flat blocks at block elements. The features of a block are
+its number of words and its link density (share of words in links), those of
+the blocks before and after it, the greatest number of words and the link
+density among the ``NEAR`` blocks on both sides, whether it is a heading, and
+as one weak feature its place: in an article or main element (1), in neither,
+on a page without (0) or with (-1) such an element, or in an element for
+something else, such as a menu, footer, sidebar or form (-2). Of classes and
+ids only whole names of the parts that lengths cannot tell, such as reader
+comments, count as such an element. A decision tree learned from the labelled
+pages of ``html_examples`` (Gini splits, on the driver) keeps or drops each
+block; a split by place has to be ``1 / WEAK`` times as good as one by words,
+links or headings to be taken.
 
 Character references are decoded; white space within a block becomes one
-space; kept blocks are joined by an empty line. Scripts, styles, comments and
-other unseen elements are no text.
+space; kept blocks are joined by an empty line. Scripts, styles, comments,
+hidden elements and other unseen ones are no text.
 
 Defined results: a null, empty or textless page has an empty text; unclosed
 and stray tags are tolerated, an unclosed comment or script ends with the
-page; repeated rows are treated alike; other columns are ignored.
+page, a tag that meets the next "<" before its end is text; the time is in
+proportion to the page; repeated rows are treated alike; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -31,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, table
-from .html_examples import PAGES
+from .html_examples import pages
 
 # fixed values: element names and naming habits of web pages
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset
@@ -43,21 +49,24 @@ UNSEEN = frozenset("head script style noscript template svg math iframe object c
 RAW = frozenset("script style textarea title iframe noscript template svg math".split())
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-MAIN_TAGS = frozenset(["article", "main"])
-REST_TAGS = frozenset(["nav", "aside", "footer", "header", "form", "menu", "dialog", "button"])
-MAIN_WORDS = frozenset("article main content entry post story body text".split())
-REST_WORDS = frozenset("""ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs byline comment
-comments consent cookie cookies discussion disclaimer footer form gdpr header login masthead menu modal nav navbar
-navigation newsletter notice notification overlay pager pagination paywall popup promo promotion recommended related
-replies reply respond search share sharing sidebar signup skyscraper social sponsor sponsored subscribe subscription
-tags teaser toolbar topbar widget widgets complementary contentinfo alert alertdialog""".split())
-
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-UNSHOWN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "hint", "has_main")
+MAIN = frozenset(["article", "main"])
+REST = frozenset(["nav", "aside", "footer", "header", "form", "menu", "dialog", "button"])
+ROLES = frozenset("navigation complementary contentinfo banner search form dialog alert alertdialog menu menubar toolbar".split())
+# whole names of parts that read like an article or like its short paragraphs
+REST_NAMES = frozenset("""ad ads advert advertisement comments comment-list consent cookies cookie-notice footer header
+menu nav navbar navigation newsletter notice promo related replies sidebar""".split())
+
+# A quoted value may hold anything; "<" outside of one ends the attempt, and
+# possessive repeats never go back, so that broken markup costs no second scan.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+                   r"|<(/?)([a-zA-Z][^\s/><]*+)((?:[^>\"'<]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+UNSHOWN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*+:\s*+none|aria-hidden\s*+=\s*+[\"']?true", re.I)
+
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "words_near", "links_near",
+            "heading", "place")
+NEAR = 3
+WEAK = 0.4  # what a gain of the last feature counts against the others
 
 
 class Block(NamedTuple):
@@ -65,29 +74,32 @@ class Block(NamedTuple):
     words: int
     links: float
     heading: bool
-    hint: int
+    place: int
 
 
-def _hint(tag: str, attrs: str, outer: int) -> int:
-    if tag in REST_TAGS:
-        return 1 if tag == "header" and outer == 1 else -1
-    if attrs and UNSHOWN.search(attrs):
-        return -1
-    if tag in MAIN_TAGS:
-        return 1
+def _place(tag: str, attrs: str, outer: int) -> int:
+    if outer == -2:
+        return -2
+    if tag in REST:
+        return 1 if tag == "header" and outer == 1 else -2
+    role = None
     if attrs and tag != "body":
-        named = [w.lower() for m in NAMES.finditer(attrs) for w in NAME_WORD.findall(m[1] or m[2] or m[3] or "")]
-        if any(w in REST_WORDS for w in named):
-            return -1
-        if outer == 0 and any(w in MAIN_WORDS for w in named):
-            return 1
-    return outer
+        for m in NAMES.finditer(attrs):
+            names = (m[2] or m[3] or m[4] or "").lower().split()
+            if m[1].lower() == "role":
+                role = names[0] if names else None
+            elif any(n in REST_NAMES for n in names):
+                return -2
+    if role in ROLES:
+        return -2
+    return 1 if tag in MAIN or role in MAIN else outer
 
 
 def blocks(page: str | None) -> list[Block]:
     """Flat text blocks of a page, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # open elements: name, hint, unseen
+    stack: list[tuple[str, int, bool]] = []  # open elements: name, place, unseen
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked: list[str] = []
     link, heading, at, page = 0, False, 0, page or ""
@@ -126,9 +138,10 @@ def blocks(page: str | None) -> list[Block]:
             link = 0 if closing else 1
         if closing:
             if tag in BLOCKS or tag in UNSEEN:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
+                while opened[tag]:
+                    name = stack.pop()[0]
+                    opened[name] -= 1
+                    if name == tag:
                         break
         elif (tag in BLOCKS or tag in UNSEEN) and tag not in VOID and not attrs.endswith("/"):
             if tag in RAW:
@@ -137,8 +150,10 @@ def blocks(page: str | None) -> list[Block]:
             elif tag not in ("p", "li", "tr", "dt", "dd", "option", *HEADINGS) or attrs.strip():
                 if tag == "body":
                     stack.clear()  # whatever an unclosed head left open
-                outer = stack[-1][1] if stack else 0
-                stack.append((tag, _hint(tag, attrs, outer), tag in UNSEEN or bool(stack and stack[-1][2])))
+                    opened.clear()
+                unseen = tag in UNSEEN or bool(stack and stack[-1][2]) or bool(attrs and UNSHOWN.search(attrs))
+                stack.append((tag, _place(tag, attrs, stack[-1][1] if stack else 0), unseen))
+                opened[tag] += 1
     flush()
     return out
 
@@ -146,26 +161,38 @@ def blocks(page: str | None) -> list[Block]:
 def features(found: list[Block]) -> np.ndarray:
     n = len(found)
     x = np.zeros((n, len(FEATURES)))
-    if n:
-        x[:, 0] = [b.words for b in found]
-        x[:, 1] = [b.links for b in found]
-        x[1:, 2:4] = x[:-1, :2]
-        x[:-1, 4:6] = x[1:, :2]
-        x[:, 6] = [b.heading for b in found]
-        x[:, 7] = [b.hint for b in found]
-        x[:, 8] = (x[:, 7] > 0).any()
+    if not n:
+        return x
+    x[:, 0] = [b.words for b in found]
+    x[:, 1] = [b.links for b in found]
+    words, links = x[:, 0], x[:, 1]
+    x[1:, 2:4] = x[:-1, :2]
+    x[:-1, 4:6] = x[1:, :2]
+    linked, around = np.zeros(n), np.zeros(n)
+    for d in range(1, min(NEAR, n - 1) + 1):
+        for mine, other in ((slice(d, n), slice(0, n - d)), (slice(0, n - d), slice(d, n))):
+            x[mine, 6] = np.maximum(x[mine, 6], words[other])
+            around[mine] += words[other]
+            linked[mine] += words[other] * links[other]
+    x[:, 7] = linked / np.maximum(around, 1)
+    x[:, 8] = [b.heading for b in found]
+    x[:, 9] = [b.place for b in found]
+    if (x[:, 9] == 1).any():
+        x[x[:, 9] == 0, 9] = -1
     return x
 
 
 Tree = tuple  # (share,) at a leaf, else (feature, threshold, low tree, high tree)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
-    """Decision tree by Gini impurity; ties go to the first feature."""
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 12, least: int = 3) -> Tree:
+    """Decision tree by Gini impurity; ties go to the first feature, gains of
+    the last one count ``WEAK``."""
     share = float(y.mean()) if len(y) else 0.0
     if depth == 0 or len(y) < 2 * least or share in (0.0, 1.0):
         return (share,)
-    best = (share * (1 - share) * len(y) - 1e-9, None, None)
+    whole = share * (1 - share) * len(y)
+    best = (1e-9, None, None)
     for f in range(x.shape[1]):
         order = np.argsort(x[:, f], kind="stable")
         v, t = x[order, f], np.cumsum(y[order])
@@ -175,10 +202,11 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
             continue
         a, b = cut + 1.0, len(y) - cut - 1.0
         p, q = t[cut] / a, (t[-1] - t[cut]) / b
-        cost = p * (1 - p) * a + q * (1 - q) * b
-        k = int(cost.argmin())
-        if cost[k] < best[0] - 1e-12:
-            best = (float(cost[k]), f, float(v[cut[k]] + v[cut[k] + 1]) / 2)
+        gain = whole - p * (1 - p) * a - q * (1 - q) * b
+        k = int(gain.argmax())
+        worth = float(gain[k]) * (WEAK if f == x.shape[1] - 1 else 1.0)
+        if worth > best[0] + 1e-12:
+            best = (worth, f, float(v[cut[k]] + v[cut[k] + 1]) / 2)
     if best[1] is None:
         return (share,)
     low = x[:, best[1]] <= best[2]
@@ -195,10 +223,10 @@ def classify(tree: Tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def labelled() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the blocks of the example pages."""
+def labelled(examples: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of labelled pages, by default the examples."""
     xs, ys = [], []
-    for page in PAGES:
+    for page in pages() if examples is None else examples:
         found = blocks(f"<!DOCTYPE html><html><head><title>t</title></head><body>{page}</body></html>")
         ys += [b.text.startswith("+") for b in found]
         xs.append(features(found))
