@@ -58,13 +58,17 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class the document with the least id stays; of equal rows one."""
+    """Of each class the document with the least id stays; of rows with this id
+    and the same words the one with the least text, then columns."""
     found = near_dedup.near_duplicates(docs)
     null_id = F.lit(-(1 << 63))
     stay = found.where("first").select(F.coalesce("doc_id", null_id).alias("id"), F.col("node").alias("words")).distinct()
     rows = _rows(docs).select("row", F.coalesce("doc_id", null_id).alias("id"), near_dedup.node_of("text").alias("words"))
-    # copies of the first text under its id (or under none) are one document
-    kept = rows.join(stay, ["id", "words"], "left_semi").groupBy("id", "words").agg(F.first("row").alias("row"))
+    # copies of the first text under its id (or under none) are one document: that of the least text, then of the
+    # least other columns
+    others = F.to_json(F.struct(*(F.col(f"row.`{c}`") for c in docs.columns if c != "text")))
+    kept = rows.join(stay, ["id", "words"], "left_semi").groupBy("id", "words").agg(
+        F.min_by("row", F.struct(F.col("row.text"), others)).alias("row"))
     return _with_columns_of(docs, kept)
 
 
