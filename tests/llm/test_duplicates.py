@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from unitmart.llm import align, near_dedup, substring_dedup
 from unitmart.llm.components import components
@@ -265,3 +266,14 @@ def test_similar_texts_share_a_key(n, share, least):
         (a, b), _ = near_dedup.sketches(pa.array([" ".join(words), " ".join(edited(rng, words, share))]))
         hit += len(np.intersect1d(a, b)) > 0
     assert hit >= 200 * least
+
+
+def test_pipeline_keeps_the_least_of_rows_alike(spark, tmp_path):
+    import corpus_pipeline as C
+
+    rows = [(5, "one two  three four", "fr", "a", 1), (5, "one two three four", "fr", "b", 1), (5, "one two three four", "en", "b", 1),
+            (6, "one two three four", "de", "a", 1), (None, "six seven", "en", "a", 1), (None, "six  seven", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for part in (docs, docs.repartition(3).orderBy(F.desc("text"))):
+        out = sorted((tuple(r) for r in C.near_dedup_stage(spark, part, str(tmp_path)).collect()), key=str)
+        assert out == sorted([(5, "one two  three four", "fr", "a", 1), (None, "six  seven", None, None, None)], key=str)
