@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SMOKE_DIR, rows
 from unitmart.model import LANDING_SCHEMAS, OBJECTS
@@ -117,6 +118,24 @@ def test_drifted_fields_are_rescued_beside_unchanged_typed_rows(spark):
     assert counted["channel"][1] == "VARIANT" and counted["extra"][1] == "OBJECT<a: ARRAY<BIGINT>>"
 
 
+def test_only_records_with_a_lost_field_are_parsed_again(spark):
+    from unitmart.sources.drift import field_count, raw_fields
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    want = {  # text: (parsed again, rescued)
+        '{"a": 1, "b": "x"}': (False, None), '{"a": 1}': (False, None), "{}": (False, None),
+        '{"a": "n", "b": "x"}': (True, '{"a":"n"}'), '{"a": 1, "c": [2]}': (True, '{"c":[2]}'),
+        '{"a": 1, "b": null}': (True, None), '{"b": "x", "b": "x"}': (True, None), ' {"c": {"a": 1}}': (True, '{"c":{"a":1}}'),
+        "{'a': 1, 'c': 2}": (True, '{"c":2}'), '{"A": 1}': (True, '{"A":1}'),
+    }
+    raw = spark.createDataFrame([(t,) for t in want], "value string")
+    got = {r.t: r.j for r in parse_landing(raw.withColumn("t", F.col("value")), schema, rescue=True)
+           .select("t", F.to_json("_rescued").alias("j")).collect()}
+    assert got == {t: j for t, (_, j) in want.items()}
+    again = raw_fields(F.lit(None).cast("map<string,variant>"), F.col("value"), field_count(F.col("value")), F.col("typed"), schema)
+    typed = raw.select("value", F.from_json("value", schema).alias("typed"))
+    assert {r.value: r.p for r in typed.select("value", again.isNotNull().alias("p")).collect()} == {t: p for t, (p, _) in want.items()}
+
+
 def test_rescued_fields_reach_the_state(spark, scratch):
     feed = deals(spark, [(1, "bu_01", 1, "2024-01-01 00:00:00", 0)]).withColumn("channel", F.lit("web"))
     ingest(spark, feed, "crm", "deals", f"{scratch}/landing", f"{scratch}/audit")

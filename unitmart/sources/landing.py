@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import LINEAGE_FIELDS, UNKNOWN_BU
-from .drift import RESCUED, rescued, typed_and_raw
+from .drift import RESCUED, field_count, lost_fields, raw_fields, typed_and_raw, variant_of
 
 TENANT = "tenant"
 JSON_OPTIONS = {
@@ -131,9 +131,12 @@ def parse_landing(raw: DataFrame, schema: T.StructType, rescue: bool = False) ->
     does not take (see ``drift``)."""
     keep = [c for c in raw.columns if c != "value"]
     if rescue:
-        both = raw.select(F.explode(typed_and_raw(F.col("value"), schema)).alias("_r"), *keep)
-        lost = rescued(F.col("_r.typed"), F.col("_r.raw"), schema).alias(RESCUED)
-        return _batch_filled(both.select("_r.typed.*", lost, *keep), schema)
+        counted, typed = raw.withColumn("_fields", field_count(F.col("value"))), F.col("_r.typed")
+        each = counted.select(F.explode(typed_and_raw(F.col("value"), F.col("_fields"), schema)).alias("_r"),
+                              "_fields", F.when(F.col("_fields").isNotNull(), F.col("value")).alias("_text"), *keep)
+        each = each.withColumn("_raw", raw_fields(F.col("_r.raw"), F.col("_text"), F.col("_fields"), typed, schema))
+        each = each.withColumn("_lost", lost_fields(F.col("_raw"), typed, schema))
+        return _batch_filled(each.select("_r.typed.*", variant_of(F.col("_lost")).alias(RESCUED), *keep), schema)
     rows = raw.select(F.explode(F.from_json("value", T.ArrayType(schema))).alias("_r"), *keep)
     return _batch_filled(rows.select("_r.*", *keep), schema)
 
