@@ -296,3 +296,56 @@ def test_an_empty_table_can_be_read_with_its_columns(spark, scratch):
     assert rows(read_table(spark, scratch).groupBy("bu_id").count()) == [("bu_02", 50)]
     materialize(empty, scratch, ["bu_02"])
     assert read_table(spark, scratch).count() == 0 and dict(read_table(spark, scratch).dtypes)["bu_id"] == "string"
+
+
+def landed_bytes(spark, path):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0]
+
+
+def invoices(spark, n=3000):
+    k = F.col("id")
+    return spark.range(n, numPartitions=2).select(
+        F.concat(F.lit("INV-"), k.cast("string")).alias("invoice_id"), F.concat(F.lit("bu_0"), (k % 2 + 1).cast("string")).alias("bu_id"),
+        (k / 100).cast("decimal(18,2)").alias("amount"), F.when(k % 3 > 0, F.lit("a \"b\" [c]")).alias("status"))
+
+
+def test_arrays_are_landed_compressed_without_a_shuffle(spark, scratch):
+    df = invoices(spark)
+    for pretty in (True, False):
+        path, sc = f"{scratch}/{pretty}", spark.sparkContext
+        sc.setJobGroup(path, "landing")
+        write_landing(df, f"{path}/batch=0", "array", records_per_file=500, pretty=pretty)
+        jobs = sc.statusTracker().getJobIdsForGroup(path)
+        sc.setJobGroup("tests", "tests")
+        assert sum(len(sc.statusTracker().getJobInfo(j).stageIds) for j in jobs) == 1
+        texts = [r.value for r in read_landing(spark, path, fmt="array").collect()]
+        assert landed_bytes(spark, path) * 2 < sum(map(len, texts))
+        # 6 chunks of the 1500 rows of each task, in two units
+        sizes = read_landing(spark, path, fmt="array").select(F.size(F.from_json("value", "array<map<string,string>>")).alias("n"))
+        assert len(texts) == 12 and rows(sizes) == [(250,)] * 12
+        back = parse_landing(read_landing(spark, path, fmt="array"), df.schema)
+        assert rows(back.select(*df.columns)) == rows(df)
+        one = parse_landing(spark.createDataFrame([(texts[0],)], "value string"), df.schema)
+        again = one.agg(F.to_json(F.collect_list(F.struct(*df.columns)), {"pretty": str(pretty).lower()})).first()[0]
+        assert texts[0].rstrip("\n") == again
+
+
+def test_arrays_without_tenant_or_rows(spark, scratch):
+    df = invoices(spark, 10)
+    write_landing(df, f"{scratch}/some/batch=0", "array", tenant_col=None)
+    back = parse_landing(read_landing(spark, f"{scratch}/some", fmt="array", partitions=("batch",)), df.schema)
+    assert rows(back.select(*df.columns)) == rows(df)
+    write_landing(df.limit(0), f"{scratch}/none/batch=0", "array", tenant_col=None)
+    none = read_landing(spark, f"{scratch}/none", fmt="array", partitions=("batch",))
+    assert parse_landing(none, df.schema).count() == 0
+
+
+def test_lines_are_landed_compressed_in_bounded_files(spark, scratch):
+    df = invoices(spark)
+    write_landing(df, f"{scratch}/batch=0", records_per_file=500)
+    lines = read_landing(spark, scratch)
+    per_file = [r[0] for r in lines.groupBy("_file").count().select("count").collect()]
+    assert sum(per_file) == 3000 and max(per_file) <= 500
+    assert landed_bytes(spark, scratch) * 2 < lines.agg(F.sum(F.length("value"))).first()[0]
+    assert rows(parse_landing(lines, df.schema).select(*df.columns)) == rows(df)

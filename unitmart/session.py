@@ -8,7 +8,9 @@ that only one machine sees would make later reads incomplete.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,27 @@ def ensure_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+# Partition folders (units) that one task writes side by side. Up to so many it
+# need not sort its rows by folder first, which would spill; beyond, it does.
+OPEN_FOLDERS = 16
+
+
+@contextlib.contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Within, partitioned writes keep a file open per partition folder instead
+    of sorting by folder."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:

@@ -4,14 +4,17 @@ Layout: ``{root}/{source}/{object}/batch={id}/tenant={bu}/part-*.json``.
 ``tenant`` is a partition directory (the path tenant), while the payload keeps
 its own ``bu_id``. Two file forms:
 
-* ``lines`` (default): JSON lines, splittable, one file per task and tenant
-  (so sized by the bytes of an input split); what large extracts should use.
+* ``lines`` (default): JSON lines, in files of at most ``records_per_file``
+  rows; what large extracts should use.
 * ``array``: one JSON array per file, the contract form of the original
-  feeds. Rows are dealt round-robin (by row position, not content, so even
-  a mass of identical copies spreads) into enough chunks that each array
-  holds about ``records_per_file`` rows; no group is unbounded. Each array
-  is written as its own file and read back with ``wholetext`` (one file =
-  one row).
+  feeds. Rows are dealt by row position, not content (so even a mass of
+  identical copies spreads), into chunks of at most about ``records_per_file``
+  rows; no group is unbounded. Each task joins the arrays of its own rows,
+  without a shuffle. Each array is written as its own file and read back with
+  ``wholetext`` (one file = one row).
+
+Files are compressed: the text repeats its field names in every record. No
+file is large, so that it need not be split.
 
 Instants are written with microseconds (the JSON default keeps
 milliseconds, which would reorder CDC versions).
@@ -20,12 +23,15 @@ milliseconds, which would reorder CDC versions).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import LINEAGE_FIELDS, UNKNOWN_BU
+from ..session import unsorted_writes
 from .drift import RESCUED, field_count, lost_fields, raw_fields, typed_and_raw, variant_of
 
 TENANT = "tenant"
@@ -34,6 +40,7 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 DEFAULT_RECORDS_PER_FILE = 50_000
+COMPRESSION = "snappy"
 INSTANT_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -62,6 +69,31 @@ def instant_columns(feed_schema: T.StructType) -> list[str]:
     return [f.name for f in feed_schema.fields if isinstance(f.dataType, INSTANT_TYPES)]
 
 
+def _joined(records_per_file: int, pretty: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Join (tenant, record text) rows into (tenant, array text), one array per
+    tenant of every ``records_per_file`` rows of the task."""
+    begin, between, end = ("[ ", ", ", " ]") if pretty else ("[", ",", "]")
+
+    def arrays(held: dict[str | None, list[str]]) -> Iterator[pa.RecordBatch]:
+        for tenant, records in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([tenant], pa.string()), pa.array([begin + between.join(records) + end], pa.string())],
+                names=["tenant", "value"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = {}, 0
+        for batch in batches:
+            for tenant, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(tenant, []).append(record)
+                rows += 1
+                if rows == records_per_file:
+                    yield from arrays(held)
+                    held, rows = {}, 0
+        yield from arrays(held)
+
+    return run
+
+
 def write_landing(df: DataFrame, path: str, fmt: str = "lines", total_rows: int | None = None,
                   records_per_file: int = DEFAULT_RECORDS_PER_FILE,
                   tenant_col: str | None = "bu_id", pretty: bool = False,
@@ -84,22 +116,28 @@ def write_landing(df: DataFrame, path: str, fmt: str = "lines", total_rows: int
     if tenant_col is not None:
         df = df.withColumn(TENANT, F.coalesce(F.col(tenant_col), F.lit(UNKNOWN_BU)))
         partition = [TENANT]
+    json = {**JSON_OPTIONS, "pretty": str(pretty).lower()}
     if fmt == "lines":
-        seen(df).write.mode("overwrite").partitionBy(*partition).options(**JSON_OPTIONS).json(path)
+        out = seen(df).write.options(**JSON_OPTIONS).option("maxRecordsPerFile", records_per_file)
+        save = out.json
     elif fmt == "array":
-        place = F.monotonically_increasing_id()  # task in the upper bits, row of the task in the lower 33
         if total_rows is None:
-            chunk = F.struct(F.shiftright(place, 33), F.floor(place.bitwiseAND((1 << 33) - 1) / records_per_file))
+            tenant = F.col(TENANT) if partition else F.lit(None).cast("string")
+            records = seen(df).select(tenant.alias(TENANT), F.to_json(F.struct(*cols), json).alias("value"))
+            arrays = records.mapInArrow(_joined(records_per_file, pretty), f"{TENANT} string, value string")
         else:
+            place = F.monotonically_increasing_id()  # task in the upper bits, row of the task in the lower 33
             chunk = F.pmod(place, F.lit(max(1, math.ceil(total_rows / records_per_file))))
-        per_array = [getattr(F, how)(f"_measure_{m}").alias(f"_measure_{m}") for m, (_, how) in (measures or {}).items()]
-        arrays = df.groupBy(*partition, chunk.alias("_chunk")).agg(
-            F.to_json(F.collect_list(F.struct(*cols)),
-                      {**JSON_OPTIONS, "pretty": str(pretty).lower()}).alias("value"), *per_array)
-        (seen(arrays).select(*partition, "value").write.mode("overwrite").partitionBy(*partition)
-         .option("maxRecordsPerFile", 1).text(path))
+            per_array = [getattr(F, how)(f"_measure_{m}").alias(f"_measure_{m}") for m, (_, how) in (measures or {}).items()]
+            arrays = seen(df.groupBy(*partition, chunk.alias("_chunk")).agg(
+                F.to_json(F.collect_list(F.struct(*cols)), json).alias("value"), *per_array))
+        out = arrays.select(*partition, "value").write.option("maxRecordsPerFile", 1)
+        save = out.text
     else:
         raise ValueError(f"unknown landing format {fmt!r}")
+    out.mode("overwrite").partitionBy(*partition).option("compression", COMPRESSION)
+    with unsorted_writes(df.sparkSession):
+        save(path)
     return obs.get if measures else {}
 
 

@@ -21,6 +21,7 @@ from .state import ChangeTable
 
 
 MAX_BYTES_PER_TRIGGER = str(64 << 30)
+COMPRESSION = "zstd"  # landed text and the rows parsed from it repeat themselves
 
 
 def _await(query) -> None:
@@ -42,7 +43,7 @@ def start_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpo
                        max_bytes=MAX_BYTES_PER_TRIGGER, archive=archive)
     parts = [c for c in (TENANT,) if c in raw.columns]
     return (raw.writeStream.format("parquet").partitionBy(*parts)
-            .option("checkpointLocation", checkpoint)
+            .option("compression", COMPRESSION).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start(bronze_dir))
 
 
@@ -77,7 +78,8 @@ def run_staging_to_table(spark: SparkSession, bronze_dir: str, staged_dir: str,
     if not path_exists(spark, bronze_dir):
         return
     _await(stage(bronze_stream(spark, bronze_dir, partitions)).writeStream.format("parquet")
-           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(staged_dir))
+           .option("compression", COMPRESSION).option("checkpointLocation", checkpoint)
+           .trigger(availableNow=True).start(staged_dir))
 
 
 def start_silver(spark: SparkSession, bronze_dir: str, checkpoint: str,
