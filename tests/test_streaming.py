@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from unitmart.operators.cdc import latest_per_key
-from unitmart.session import path_exists
+from unitmart.session import list_names, path_exists
 from unitmart.sources.landing import landing_schema, write_landing
 from unitmart.streaming.flows import run_bronze, run_silver
 from unitmart.streaming.staging import stage
@@ -154,3 +154,17 @@ def test_state_of_an_empty_first_batch(spark, scratch):
     table.append(frame([(1, "bu_01", "2024-01-01 00:00:00", 0)]), 1)
     table.append(frame([]), 2)
     assert rows(table.view(), "k", "bu_id") == [(1, "bu_01")]
+
+
+def test_bronze_and_changes_are_compressed(spark, scratch):
+    feed = changes(spark, [(k, "a", "2024-01-05 00:00:00", 0) for k in range(50)]).withColumn(
+        "bu_id", F.concat(F.lit("bu_0"), (F.col("k") % 2 + 1).cast("string")))
+    write_landing(feed, f"{scratch}/landing/batch=0")
+    run_bronze(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ck/bronze")
+    table = ChangeTable(spark, f"{scratch}/state", ["k"])
+    run_silver(spark, f"{scratch}/bronze", f"{scratch}/ck/silver",
+               lambda raw: stage(raw, landing_schema(feed.schema)), table)
+    for path in (f"{scratch}/bronze/tenant=bu_01", f"{scratch}/state/changes/_batch=0/bu_id=bu_02"):
+        files = [n for n in list_names(spark, path) if n.endswith(".parquet")]
+        assert files and all(n.endswith(".zstd.parquet") for n in files)
+    assert rows(table.view().select(*feed.columns)) == rows(feed)

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from ..operators.cdc import DELETED, apply_changes, latest_per_key, live
 from ..operators.publish import NO_UNIT, keep_readable
-from ..session import list_names, path_exists, remove_path
+from ..session import list_names, path_exists, remove_path, unsorted_writes
 
 BATCH = "_batch"
+COMPRESSION = "zstd"
 
 
 class ChangeTable:
@@ -60,7 +61,8 @@ class ChangeTable:
             return  # a retried batch that a snapshot already holds
         parts = ["bu_id"] if "bu_id" in changes.columns else []
         path = f"{self.root}/changes/{BATCH}={batch_id}"
-        changes.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        with unsorted_writes(changes.sparkSession):
+            changes.write.mode("overwrite").partitionBy(*parts).option("compression", COMPRESSION).parquet(path)
         if parts:
             keep_readable(changes, path)
 
