@@ -15,7 +15,8 @@ in a document with a smaller id. Windows are judged on the input.
    different ones are cut into single windows, dealt by their own hash. Each
    shard builds a compressed FM-index over its segments and streams their
    windows through it by backward search. The windows of an interval of
-   suffixes get the least id of that interval.
+   suffixes get the least id of that interval. A segment that is the only one
+   of its anchor has no other to meet: its windows keep its own least id.
 4. *Removal.* The windows found under a smaller id go back to their documents,
    whose words are then removed and digested.
 
@@ -172,6 +173,21 @@ def segment_table(src: DataFrame, places: DataFrame) -> DataFrame:
                                 "anchor bigint, words binary")
 
 
+def _least(words: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each window of the pieces the least id under which it starts."""
+    index = FMIndex(_unpacked(np.frombuffer(b"".join(words.to_pylist()), np.uint8)), lengths, WINDOW)
+    n = np.maximum(lengths - WINDOW + 1, 0)
+    owner = np.repeat(np.arange(len(n)), n)
+    offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    low, high = index.search(index.start[owner] + offset, WINDOW)
+    of_suffix = ids[np.minimum(np.searchsorted(index.start, index.suffixes, "right") - 1, len(ids) - 1)]
+    # intervals of one length are equal or apart
+    start, back = np.unique(low, return_inverse=True)
+    stop = np.zeros(len(start), np.int64)
+    stop[back] = high
+    return np.minimum.reduceat(np.append(of_suffix, 0), np.column_stack([start, stop]).ravel())[::2][back]
+
+
 def search(pieces: DataFrame, count: int) -> DataFrame:
     """For pieces (key_a, key_b, route, id, words): the least id under which
     each of their windows starts, as (key_a, key_b, least array<bigint>).
@@ -180,20 +196,15 @@ def search(pieces: DataFrame, count: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         words = t.column("words").combine_chunks()
-        raw = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
         lengths = np.asarray(pc.binary_length(words)).astype(np.int64) // _WORD_BYTES
         ids = np.asarray(t.column("id").combine_chunks())
-        index = FMIndex(_unpacked(raw), lengths, WINDOW)
         n = np.maximum(lengths - WINDOW + 1, 0)
-        owner = np.repeat(np.arange(len(n)), n)
-        offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        low, high = index.search(index.start[owner] + offset, WINDOW)
-        of_suffix = ids[np.minimum(np.searchsorted(index.start, index.suffixes, "right") - 1, len(ids) - 1)]
-        # intervals of one length are equal or apart
-        start, back = np.unique(low, return_inverse=True)
-        stop = np.zeros(len(start), np.int64)
-        stop[back] = high
-        least = np.minimum.reduceat(np.append(of_suffix, 0), np.column_stack([start, stop]).ravel())[::2][back]
+        least = np.repeat(ids, n)
+        # the windows of a piece alone on its route start under no other id
+        _, back, pieces_on = np.unique(np.asarray(t.column("route").combine_chunks()), return_inverse=True, return_counts=True)
+        met = pieces_on[back] > 1
+        if met.any():
+            least[np.repeat(met, n)] = _least(words.filter(pa.array(met)), lengths[met], ids[met])
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(least))
         return pa.table({"key_a": t.column("key_a"), "key_b": t.column("key_b"), "least": lists})
 
@@ -257,10 +268,9 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.min("id").alias("id"), F.first("words").alias("words"), F.first("anchor").alias("anchor")))
     pieces = staged(spark, pieces, "pieces")
     least = _least_by_piece(spark, pieces)
-    marked = segments.select("id", "tie", "first", "key_a", "key_b").distinct().join(least, ["key_a", "key_b"]).select(
-        "id", "tie", F.explode(F.transform(F.filter(
-            F.transform("least", lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-            lambda e: e["x"] < F.col("id")), lambda e: (F.col("first") + e["i"]).cast("int"))).alias("window"))
+    marked = (segments.select("id", "tie", "first", "key_a", "key_b").distinct().join(least, ["key_a", "key_b"])
+              .select("id", "tie", "first", F.posexplode("least").alias("i", "x")).where("x < id")
+              .select("id", "tie", (F.col("first") + F.col("i")).alias("window")))
     return staged(spark, marked.groupBy("id", "tie").agg(F.collect_set("window").alias("windows")), "marked")
 
 
